@@ -166,21 +166,42 @@ def build_scd2(
         effective_to = F.col("_lead")
         is_current = F.col("_rn") == 1
     else:
-        # One row per (hot key, bucket): first order key and descending max.
+        # One row per (hot key, bucket), from hash-aggregatable primitives:
+        #   _first   first ordering value in the bucket (NULLs sort last),
+        #   _mx      largest ordering value,
+        #   _mx_lts  largest ordering value among rows with a load timestamp,
+        #   _nl      bucket holds a row with NULL ordering and a load timestamp.
+        ordc, ltsc = F.col(ordering), F.col(LOAD_TS)
         summary = (
             staged.where(F.col("_bounds").isNotNull())
             .groupBy(*keys, "_bucket")
             .agg(
-                F.min(_order_key(order_cols, descending=False)).alias("_amin"),
-                F.max(_order_key(order_cols, descending=True)).alias("_dmax"),
+                F.min(ordc).alias("_first"),
+                F.max(ordc).alias("_mx"),
+                F.max(F.when(ltsc.isNotNull(), ordc)).alias("_mx_lts"),
+                F.max(F.when(ordc.isNull() & ltsc.isNotNull(), F.lit(1))).alias("_nl"),
             )
         )
+        # The current row (first under the descending order) lies in the last
+        # bucket holding the key's largest ordering value with a load
+        # timestamp, else the last bucket holding that value; when every
+        # ordering value is NULL, the last bucket with a load timestamp, else
+        # the last bucket.  Bucket numbers follow the ascending order.
         by_key = Window.partitionBy(*keys)
+        top = F.max("_mx").over(by_key)
+
+        def last_bucket(cond: Column) -> Column:
+            return F.max(F.when(cond, F.col("_bucket"))).over(by_key)
+
+        winner = F.when(
+            top.isNotNull(),
+            F.coalesce(last_bucket(F.col("_mx_lts") == top), last_bucket(F.col("_mx") == top)),
+        ).otherwise(F.coalesce(last_bucket(F.col("_nl") == 1), F.max("_bucket").over(by_key)))
         stitched = summary.select(
             *[F.col(k).alias(f"_gk_{i}") for i, k in enumerate(keys)],
             F.col("_bucket").alias("_gb"),
-            F.lead(F.col("_amin.v0")).over(by_key.orderBy("_bucket")).alias("_next_from"),
-            (F.col("_dmax") == F.max("_dmax").over(by_key)).alias("_win"),
+            F.lead(F.col("_first")).over(by_key.orderBy("_bucket")).alias("_next_from"),
+            (F.col("_bucket") == winner).alias("_win"),
         )
         if n_buckets <= MAX_BROADCAST_BUCKETS:
             stitched = F.broadcast(stitched)
