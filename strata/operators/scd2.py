@@ -109,8 +109,13 @@ def build_scd2(
     null_flag_is_live: bool = False,
     tie_break: Sequence[str] | None = None,
     rows_per_bucket: int | None = None,
+    row_count_hint: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Return ``(history, current)`` for a bronze change log."""
+    """Return ``(history, current)`` for a bronze change log.
+
+    ``row_count_hint`` (an upper bound on the input rows, e.g. from the table
+    log) skips the hot-key sample when no key can fill two buckets.
+    """
     keys = list(keys)
     if not keys:
         raise ValueError("SCD2 requires primary key columns.")
@@ -130,7 +135,10 @@ def build_scd2(
     asc = [F.col(c).asc_nulls_last() for c in order_cols]
     desc = [F.col(c).desc_nulls_last() for c in order_cols]
     rpb = rows_per_bucket or rows_per_bucket_setting(bronze.sparkSession)
-    bounds = hot_key_bounds(bronze, keys, order_cols, rpb)
+    if row_count_hint is not None and row_count_hint < 2 * rpb:
+        bounds = None
+    else:
+        bounds = hot_key_bounds(bronze, keys, order_cols, rpb)
 
     if bounds is None:
         part = keys

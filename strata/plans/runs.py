@@ -23,7 +23,7 @@ from strata.config import SourceRegistration
 from strata.operators.bronze import enrich_bronze
 from strata.operators.quality import required_columns_result, rollup, row_count_result
 from strata.operators.scd2 import build_scd2, current_from_history
-from strata.operators.scope import impacted_keys, rewrite_impacted, rows_for_keys
+from strata.operators.scope import impacted_keys, rewrite_impacted, rows_for_keys, rows_without_keys
 from strata.plans.control import ControlPlane
 from strata.sources.extract import extract_window, run_instant, source_frame
 from strata.sources.tables import TableStore
@@ -38,15 +38,22 @@ class FoldResult:
     history_rows: int
     current_rows: int
     gold_rows: int
+    rebuilt_rows: int
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a row counter that is filled by whichever job runs it."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
 def write_observed(store: TableStore, name: str, df: DataFrame, replace: bool = True,
                    lineage: dict | None = None) -> int:
     """Write ``df`` as a new version of ``name`` and return its row count,
     counted in the writing job itself."""
-    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    counted, obs = observed(df)
     folder = store.new_folder(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    counted.write.parquet(folder)
     rows = int(obs.get["rows"])
     if replace:
         store.replace_folder(name, folder, df.schema, rows, lineage)
@@ -55,6 +62,14 @@ def write_observed(store: TableStore, name: str, df: DataFrame, replace: bool =
     return rows
 
 
+def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with exactly ``like``'s columns (missing ones NULL, typed)."""
+    have = set(df.columns)
+    return df.select(*[
+        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields
+    ])
+
+
 def _check_transform(cfg: SourceRegistration) -> None:
     if cfg.silver_transform_name.upper() != SCD2_TRANSFORM:
         raise ValueError(f"Unsupported silver transform: {cfg.silver_transform_name}")
@@ -69,6 +84,7 @@ def apply_transform(
     keys_df: DataFrame | None,
     null_safe: bool = False,
     lineage: dict | None = None,
+    row_count_hint: int | None = None,
 ) -> FoldResult:
     """SCD2 over ``scope``; rewrite the impacted keys of both silver tables
     (everything when ``keys_df`` is None), then publish gold."""
@@ -76,34 +92,50 @@ def apply_transform(
     keys = cfg.primary_keys
     if not keys:
         raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
-    history, current = build_scd2(
+    history, _ = build_scd2(
         scope,
         keys,
         cfg.ordering_column,
         delete_column=cfg.delete_indicator_column,
         deleted_values=cfg.deleted_values,
         null_flag_is_live=bool(cfg.options.get("null_flag_is_live", False)),
+        row_count_hint=row_count_hint,
     )
     hist_name, cur_name = cfg.silver_history_table, cfg.silver_current_table
-    partial = keys_df is not None
-    old_hist = store.read(hist_name) if partial and store.exists(hist_name) else None
-    new_hist = rewrite_impacted(old_hist, history, keys_df, keys, null_safe)
-    history_rows = write_observed(store, hist_name, new_hist, lineage=lineage)
-
-    if partial and store.exists(cur_name):
-        new_cur = rewrite_impacted(store.read(cur_name), current, keys_df, keys, null_safe)
+    null_live = bool(cfg.options.get("null_flag_is_live", False))
+    partial = keys_df is not None and store.exists(hist_name) and store.exists(cur_name)
+
+    # Rebuilt history rows go to their own folder; the table's other keys are
+    # carried over into a second folder of the same version.
+    rebuilt_folder = store.new_folder(hist_name)
+    counted, rebuilt_obs = observed(history)
+    counted.write.parquet(rebuilt_folder)
+    rebuilt_rows = int(rebuilt_obs.get["rows"])
+    parts, history_rows = [rebuilt_folder], rebuilt_rows
+    if partial:
+        kept = align_columns(rows_without_keys(store.read(hist_name), keys_df, keys, null_safe), history)
+        kept_folder = store.new_folder(hist_name)
+        kept_counted, kept_obs = observed(kept)
+        kept_counted.write.parquet(kept_folder)
+        parts.insert(0, kept_folder)
+        history_rows += int(kept_obs.get["rows"])
+    store.replace_parts(hist_name, parts, history.schema, history_rows, lineage)
+
+    # Current rows of the rebuilt keys come from the rebuilt folder only.
+    fresh_current = current_from_history(
+        store.read_parts(history.schema, [rebuilt_folder]), cfg.delete_indicator_column, cfg.deleted_values, null_live
+    )
+    if partial:
+        new_cur = rewrite_impacted(store.read(cur_name), fresh_current, keys_df, keys, null_safe)
     else:
-        new_cur = current_from_history(
-            store.read(hist_name), cfg.delete_indicator_column, cfg.deleted_values,
-            bool(cfg.options.get("null_flag_is_live", False)),
-        )
+        new_cur = fresh_current
     current_rows = write_observed(store, cur_name, new_cur, lineage=lineage)
 
     gold_rows = 0
     if cfg.gold_publish_name.upper() == PUBLISH_CURRENT and cfg.gold_table:
         store.share(cur_name, cfg.gold_table)
         gold_rows = current_rows
-    return FoldResult(history_rows, current_rows, gold_rows)
+    return FoldResult(history_rows, current_rows, gold_rows, rebuilt_rows)
 
 
 def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
@@ -132,8 +164,9 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
             new_rows = store.read_parts(bronze_head.schema, fresh)
             keys_df = impacted_keys(new_rows, cfg.primary_keys)
             scope = rows_for_keys(bronze_all, keys_df, cfg.primary_keys, null_safe=True)
-            return apply_transform(store, cfg, scope, keys_df, null_safe=True, lineage=lineage)
-    return apply_transform(store, cfg, bronze_all, None, lineage=lineage)
+            return apply_transform(store, cfg, scope, keys_df, null_safe=True, lineage=lineage,
+                                   row_count_hint=bronze_head.row_count)
+    return apply_transform(store, cfg, bronze_all, None, lineage=lineage, row_count_hint=bronze_head.row_count)
 
 
 def run_source(
