@@ -12,8 +12,9 @@ Semantics (per business key):
   (``upper(cast(flag as string)) IN deleted values``; a NULL flag drops the
   row unless ``null_flag_is_live``).
 
-A final tie-break on ``record_hash`` makes the choice among rows tied on
-(ordering, load ts) deterministic.
+Rows tied on (ordering, load ts) are ordered by ``record_hash`` and then by
+a per-row id, so the order is total: exactly one row per key is current, and
+even a large group of identical copies can be split across tasks.
 
 Scale: the plain plan is one hash exchange on the keys feeding two window
 sorts.  A key holding a large share of all rows would then sit in one task,
@@ -38,6 +39,7 @@ from strata.functions.options import DEFAULT_DELETED_VALUES
 from strata.session import cut_lineage
 
 LOAD_TS = "bronze_load_ts"
+ROW_ID = "_rid"
 HISTORY_TRAILER = ("pipeline_batch_id", "bronze_load_ts", "record_hash")
 SCD2_COLUMNS = ("effective_from", "effective_to", "is_current")
 
@@ -130,6 +132,8 @@ def build_scd2(
         raise ValueError(f"Source columns collide with SCD2 columns: {clash}")
     if tie_break is None:
         tie_break = [c for c in ("record_hash",) if c in bronze.columns]
+        bronze = bronze.withColumn(ROW_ID, F.monotonically_increasing_id())
+        tie_break = [*tie_break, ROW_ID]
     order_cols = [ordering, LOAD_TS, *tie_break]
 
     asc = [F.col(c).asc_nulls_last() for c in order_cols]

@@ -3,7 +3,8 @@
 Each side is projected to the columns it contributes before the join
 (column pruning reaches the scans).  Strategy is left to Catalyst/AQE: a
 small side is broadcast from its measured runtime size, a large one is
-shuffle-joined with AQE splitting a hot key on the fact side.
+shuffle-joined with AQE splitting a hot key on the fact (left) side; a hot
+key on a joined (right) side is split by :func:`skew_left_join`.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.skew import skew_left_join
+
 
 @dataclass
 class Side:
@@ -28,7 +31,7 @@ class Side:
     take: Sequence[tuple[str, str]] = field(default_factory=list)
 
 
-def left_join_chain(base: DataFrame, sides: Sequence[Side]) -> DataFrame:
+def left_join_chain(base: DataFrame, sides: Sequence[Side], skew_safe: bool = True) -> DataFrame:
     """Left-join every side in order; a side may join on columns an earlier
     side brought in.  Sides are aliased so equal names never clash."""
     result = base
@@ -36,11 +39,15 @@ def left_join_chain(base: DataFrame, sides: Sequence[Side]) -> DataFrame:
         prefix = f"_s{i}_"
         needed = {r for _, r in side.on} | {c for c, _ in side.take}
         right = side.frame.select(*[F.col(c).alias(prefix + c) for c in sorted(needed)])
-        cond = None
-        for left_col, right_col in side.on:
-            part = result[left_col] == right[prefix + right_col]
-            cond = part if cond is None else cond & part
-        result = result.join(right, cond, "left")
+        on = [(left_col, prefix + right_col) for left_col, right_col in side.on]
+        if skew_safe:
+            result = skew_left_join(result, right, on)
+        else:
+            cond = None
+            for left_col, right_col in on:
+                part = result[left_col] == right[right_col]
+                cond = part if cond is None else cond & part
+            result = result.join(right, cond, "left")
         result = result.select(
             *[c for c in result.columns if not c.startswith(prefix)],
             *[F.col(prefix + c).alias(alias) for c, alias in side.take],
