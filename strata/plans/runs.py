@@ -176,11 +176,13 @@ def run_source(
     forced_batch_id: int | None = None,
     requested_by: str = "runtime",
     as_of: str | None = None,
+    extract: DataFrame | None = None,
 ) -> int:
     """Run one registered source end to end; returns the batch id.
 
     ``as_of`` fixes the run instant (upper bound and load timestamp) as
     session-zone text; by default it is read from the session once.
+    ``extract`` replaces the registry-driven read (a streaming micro-batch).
     """
     store = control.store
     cfg = control.get_registration(source_name)
@@ -188,8 +190,9 @@ def run_source(
     batch_id = control.create_batch_run(source_name, run_mode, requested_by, forced_batch_id=forced_batch_id)
     try:
         instant = as_of or run_instant(spark)
-        source = source_frame(spark, cfg, store)
-        extract = extract_window(source, cfg, cfg.last_successful_watermark, instant)
+        if extract is None:
+            source = source_frame(spark, cfg, store)
+            extract = extract_window(source, cfg, cfg.last_successful_watermark, instant)
         landed = enrich_bronze(extract, cfg.source_name, batch_id, cfg.load_mode, F.lit(instant).cast("timestamp"))
 
         metrics = [F.count(F.lit(1)).alias("rows")]
