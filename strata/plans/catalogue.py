@@ -318,7 +318,7 @@ def q_union_by_name_evolve(spark, d):
 
 
 # ------------------------------------------------- runs, replays, restores
-def _events_control(spark, d) -> ControlPlane:
+def _events_control(spark, d, options_json: str = '{"required_columns": ["event_id", "ts", "user_id"]}') -> ControlPlane:
     """A fresh catalog with the events source registered (not yet run)."""
     store = scratch_store(spark)
     read(spark, d, "events").select(*EVENT_COLUMNS).createOrReplaceTempView("events_src")
@@ -332,7 +332,7 @@ def _events_control(spark, d) -> ControlPlane:
         "silver_current_table": reg.silver_current_table, "silver_history_table": reg.silver_history_table,
         "gold_table": reg.gold_table, "silver_transform_name": "scd2_current_history",
         "gold_publish_name": "publish_current_snapshot",
-        "options_json": '{"required_columns": ["event_id", "ts", "user_id"]}',
+        "options_json": options_json,
     }])
     return control
 
@@ -354,6 +354,28 @@ def _replay(spark, d, mode: str, **kw) -> DataFrame:
     return hist.withColumn("bronze_load_ts", F.col("bronze_load_ts").cast("timestamp_ntz")).select(*HISTORY_VIEW_COLUMNS)
 
 
+# Run instants of the four weekly landings used by the fold queries.
+FOLD_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-31 01:00:00"]
+
+
+def _weekly_runs(spark, d, fold_mode: str) -> DataFrame:
+    control = _events_control(spark, d, '{"fold_mode": "%s"}' % fold_mode)
+    for batch_id, cut in enumerate(FOLD_CUTS, start=1):
+        run_source(spark, control, "events", forced_batch_id=batch_id, as_of=cut)
+    hist = control.store.read("demo.silver.events_history")
+    return hist.withColumn("bronze_load_ts", F.col("bronze_load_ts").cast("timestamp_ntz")).select(*HISTORY_VIEW_COLUMNS)
+
+
+def q_fold_incremental(spark, d):
+    """Four weekly runs, silver folded incrementally (only keys of new batches)."""
+    return _weekly_runs(spark, d, "incremental")
+
+
+def q_fold_full(spark, d):
+    """Four weekly runs, silver rebuilt from all of bronze every run."""
+    return _weekly_runs(spark, d, "full")
+
+
 def q_two_batch_run(spark, d):
     control, _ = _two_runs(spark, d)
     cur = control.store.read("demo.gold.events")
@@ -541,6 +563,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_date_range_rebuild": q_replay_date_range_rebuild,
     "replay_entity_rebuild": q_replay_entity_rebuild,
     "two_batch_run": q_two_batch_run,
+    "fold_incremental": q_fold_incremental,
+    "fold_full": q_fold_full,
     "snapshot_restore": q_snapshot_restore,
     "run_metrics": q_run_metrics,
     "merge_upsert": q_merge_upsert,

@@ -186,8 +186,14 @@ class ControlPlane:
         return self.table("replay_request")
 
     # --------------------------------------------------------------- bootstrap
+    def ensure_namespaces(self) -> None:
+        """Create the layer namespaces of the catalog when absent."""
+        for ns in NAMESPACES:
+            self.store.create_namespace(f"{self.catalog}.{ns}")
+
     def bootstrap(self) -> None:
-        """Create the empty control tables when absent."""
+        """Create the namespaces and the empty control tables when absent."""
+        self.ensure_namespaces()
         for name, schema in (
             (self.registry, REGISTRATION_SCHEMA),
             (self.runs, RUN_SCHEMA),
@@ -201,6 +207,18 @@ class ControlPlane:
         for name in [*extra_tables, self.registry, self.runs, self.quality, self.replays]:
             self.store.drop(name, if_exists=True)
 
+    COMPACT_AFTER_PARTS = 32
+
+    def _insert(self, table: str, rows: DataFrame, n: int) -> None:
+        """Append control rows; once a table has many small folders, fold
+        them into one on the next insert."""
+        head = self.store.head(table)
+        if head is not None and head.op != "DROP" and len(head.parts) >= self.COMPACT_AFTER_PARTS:
+            total = None if head.row_count is None else head.row_count + n
+            self.store.replace(table, self.store.read(table).unionByName(rows).coalesce(1), row_count=total)
+        else:
+            self.store.append(table, rows, row_count=n)
+
     # ---------------------------------------------------------------- registry
     def register(self, rows: Sequence[dict]) -> None:
         """Upsert registrations by ``source_name``.  A new source is inserted
@@ -268,7 +286,7 @@ class ControlPlane:
         row = (int(batch_id), source_name, run_mode, "RUNNING", requested_by, replay_request_id,
                None, None, None, None, None, None, None, None, None)
         df = self.spark.createDataFrame([row], RUN_SCHEMA).withColumn("run_start_ts", F.current_timestamp())
-        self.store.append(self.runs, df, row_count=1)
+        self._insert(self.runs, df, 1)
         return int(batch_id)
 
     def finalize_batch_run(
@@ -309,7 +327,7 @@ class ControlPlane:
     def insert_quality_results(self, batch_id: int, source_name: str, results: Sequence[RuleResult]) -> None:
         rows = [(int(batch_id), source_name, *r.as_tuple(), None) for r in results]
         df = self.spark.createDataFrame(rows, QUALITY_SCHEMA).withColumn("evaluated_ts", F.current_timestamp())
-        self.store.append(self.quality, df, row_count=len(rows))
+        self._insert(self.quality, df, len(rows))
 
     def quality_results(self) -> DataFrame:
         return self.store.read(self.quality)
@@ -331,7 +349,7 @@ class ControlPlane:
         row = (int(replay_request_id), source_name, replay_mode, start_watermark, end_watermark, entity_predicate,
                snapshot_id, target_table, requested_by, "REQUESTED", None, None, None, notes)
         df = self.spark.createDataFrame([row], REPLAY_SCHEMA).withColumn("requested_ts", F.current_timestamp())
-        self.store.append(self.replays, df, row_count=1)
+        self._insert(self.replays, df, 1)
 
     def get_replay_request(self, replay_request_id: int) -> ReplayRequest:
         rows = (

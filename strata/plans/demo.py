@@ -196,6 +196,8 @@ def run_demo(spark: SparkSession, store: TableStore, as_of: tuple[str, str, str]
     control = ControlPlane(store, CATALOG)
     control.reset(demo_tables())
     control.bootstrap()
+    for source, schema in STAGING_SCHEMAS.items():
+        store.create_empty(f"{CATALOG}.staging.{source}_source", schema)
     control.register(registrations())
     seed(spark, store, SEED_BATCH_1)
     for source, (_, _, _, batch_id) in DEMO_SOURCES.items():

@@ -17,6 +17,17 @@ BRONZE = """bronze AS (
 # Bronze as landed by two pipeline runs: the load timestamp is each run's instant.
 RUN_BRONZE = BRONZE.replace("THEN TIMESTAMP '2024-01-15 01:00:00'", "THEN TIMESTAMP '2024-01-15 00:00:00'")
 
+# Bronze as landed by four weekly runs (load timestamp = run instant).
+WEEKLY_BRONZE = """bronze AS (
+  SELECT event_id, ts, user_id, event_type, value,
+    CAST(CASE WHEN ts <= TIMESTAMP '2024-01-08 00:00:00' THEN 1 WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN 2
+              WHEN ts <= TIMESTAMP '2024-01-22 00:00:00' THEN 3 ELSE 4 END AS BIGINT) AS pipeline_batch_id,
+    CASE WHEN ts <= TIMESTAMP '2024-01-08 00:00:00' THEN TIMESTAMP '2024-01-08 00:00:00'
+         WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN TIMESTAMP '2024-01-15 00:00:00'
+         WHEN ts <= TIMESTAMP '2024-01-22 00:00:00' THEN TIMESTAMP '2024-01-22 00:00:00'
+         ELSE TIMESTAMP '2024-01-31 01:00:00' END AS bronze_load_ts
+  FROM events WHERE ts <= TIMESTAMP '2024-01-31 01:00:00')"""
+
 HIST = """hist AS (
   SELECT event_id, ts, user_id, event_type, value, ts AS effective_from,
     LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts ASC NULLS LAST, bronze_load_ts ASC NULLS LAST) AS effective_to,
@@ -156,6 +167,8 @@ ORACLE: dict[str, str] = {
     "two_batch_run": _with(BRONZE, HIST) + (
         "SELECT user_id, event_id, effective_from, pipeline_batch_id FROM hist WHERE is_current"
     ),
+    "fold_incremental": _with(WEEKLY_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
+    "fold_full": _with(WEEKLY_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
     "snapshot_restore": _with(BRONZE) + (
         "SELECT user_id, MAX(ts) AS effective_from FROM bronze WHERE pipeline_batch_id = 1 GROUP BY user_id"
     ),

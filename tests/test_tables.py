@@ -55,3 +55,13 @@ def test_drop_and_empty(spark, store):
     with pytest.raises(ValueError):
         store.read("c.e")
     assert store.list_tables("c") == []
+
+
+def test_namespaces_and_preview(spark, store):
+    store.create_namespace("demo.bronze")
+    assert store.namespace_exists("demo.bronze") and store.list_tables("demo.bronze") == []
+    store.append("demo.bronze.x", spark.range(50))
+    store.append("demo.bronze.y", spark.range(5))
+    previews = store.preview("demo.bronze")
+    assert sorted(previews) == ["demo.bronze.x", "demo.bronze.y"]
+    assert previews["demo.bronze.x"].count() == 20 and previews["demo.bronze.y"].count() == 5
