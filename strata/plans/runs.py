@@ -3,27 +3,29 @@
 Compared with a naive sequence of lazy frames, the batch is evaluated once:
 the extract is written straight into a new bronze folder while an
 ``Observation`` collects its row count and maximum ordering value in the
-same job, and the folder is committed only when rows arrived.  Silver is then
-folded incrementally: only the keys present in bronze folders that the
-current history has not seen yet are re-windowed (equal to a full rebuild
-because SCD2 is computed per key; keys match null-safely), the current table
-is derived from the rebuilt history, and gold is published by sharing the
-current table's immutable folders.
+same job, and the folder is committed only when rows arrived.  Silver tables are stored
+in key-hash bucket folders and folded incrementally: only the buckets of keys
+in bronze folders the history has not seen yet are re-windowed (from their
+old history rows plus the new bronze rows), every other bucket folder is
+carried into the new version, the current table is derived from the rebuilt
+buckets, and gold is published by sharing the current table's immutable
+folders.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import SourceRegistration
 from strata.operators.bronze import enrich_bronze
 from strata.operators.quality import required_columns_result, rollup, row_count_result
 from strata.operators.scd2 import build_scd2, current_from_history
-from strata.operators.scope import impacted_keys, rewrite_impacted, rows_for_keys, rows_without_keys
+from strata.operators.scope import rows_for_keys, rows_without_keys
 from strata.plans.control import ControlPlane
 from strata.sources.extract import extract_window, run_instant, source_frame
 from strata.sources.tables import TableStore
@@ -32,6 +34,11 @@ from strata.sources.tables import TableStore
 SCD2_TRANSFORM = "SCD2_CURRENT_HISTORY"
 PUBLISH_CURRENT = "PUBLISH_CURRENT_SNAPSHOT"
 
+BUCKET = "_kb"
+ROWS_PER_SILVER_BUCKET = 4_000_000
+MAX_SILVER_BUCKETS = 4096
+_BUCKET_DIR = re.compile(r"/_kb=(\d+)/?$")
+
 
 @dataclass
 class FoldResult:
@@ -77,59 +84,130 @@ def _check_transform(cfg: SourceRegistration) -> None:
         raise ValueError(f"Source {cfg.source_name} must define both silver tables.")
 
 
-def apply_transform(
+def silver_buckets(spark: SparkSession, cfg: SourceRegistration, bronze_rows: int | None) -> int:
+    """Number of key-hash buckets of the silver tables.
+
+    ``options.silver_buckets`` or ``strata.silver.buckets`` when set; else a
+    power of two giving about ``ROWS_PER_SILVER_BUCKET`` bronze rows per
+    bucket, at most ``MAX_SILVER_BUCKETS``.  When the count grows the next
+    fold is a full rebuild (once per doubling).
+    """
+    value = cfg.options.get("silver_buckets") or spark.conf.get("strata.silver.buckets", None)
+    if value:
+        return int(value)
+    need = max(1, -(-(bronze_rows or 0) // ROWS_PER_SILVER_BUCKET))
+    nb = 1
+    while nb < need and nb < MAX_SILVER_BUCKETS:
+        nb *= 2
+    return nb
+
+
+def bucket_column(keys: list[str], buckets: int) -> Column:
+    """Storage bucket of a key (NULL keys hash to a fixed bucket too)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def bucket_of(part: str) -> int | None:
+    match = _BUCKET_DIR.search(part)
+    return int(match.group(1)) if match else None
+
+
+def write_buckets(store: TableStore, name: str, df: DataFrame, keys: list[str], buckets: int) -> tuple[list[str], int]:
+    """Write ``df`` split into one sub-folder per storage bucket; returns the
+    bucket folders and the row count (counted by the writing job)."""
+    data = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_column(keys, buckets))
+    counted, obs = observed(data)
+    folder = store.new_folder(name)
+    counted.write.partitionBy(BUCKET).parquet(folder)
+    return store.subfolders(folder), int(obs.get["rows"])
+
+
+def _split_parts(parts: list[str], touched: set[int] | None) -> tuple[list[str], list[str]]:
+    """(parts to rewrite, parts to carry over); folders without a bucket are rewritten."""
+    if touched is None:
+        return list(parts), []
+    hit = [p for p in parts if bucket_of(p) is None or bucket_of(p) in touched]
+    return hit, [p for p in parts if p not in set(hit)]
+
+
+def _total(store: TableStore, name: str, head, dropped_parts: list[str], added: int) -> int:
+    """Row count of a new version = old count - rows of rewritten folders + new rows."""
+    if head is None or head.op == "DROP":
+        return added
+    if not dropped_parts:
+        return (head.row_count if head.row_count is not None else store.read(name).count()) + added
+    old = head.row_count if head.row_count is not None else store.read(name).count()
+    return old - store.read_parts(head.schema, dropped_parts).count() + added
+
+
+def fold_silver(
     store: TableStore,
     cfg: SourceRegistration,
     scope: DataFrame,
-    keys_df: DataFrame | None,
+    touched: set[int] | None = None,
+    keys_df: DataFrame | None = None,
     null_safe: bool = False,
     lineage: dict | None = None,
     row_count_hint: int | None = None,
 ) -> FoldResult:
-    """SCD2 over ``scope``; rewrite the impacted keys of both silver tables
-    (everything when ``keys_df`` is None), then publish gold."""
+    """Re-window ``scope`` into the silver tables, bucket by bucket.
+
+    ``touched`` None rebuilds both tables from ``scope``.  Otherwise only the
+    listed storage buckets are rewritten and every other bucket folder is
+    carried into the new version unchanged.  With ``keys_df`` (a partial
+    replay) rows of the touched buckets whose key is not in ``keys_df`` are
+    kept as they were; without it ``scope`` must hold every row of the
+    touched buckets.  Gold is then published from the current table.
+    """
     _check_transform(cfg)
     keys = cfg.primary_keys
     if not keys:
         raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
+    spark = scope.sparkSession
+    nb = silver_buckets(spark, cfg, row_count_hint)
+    null_live = bool(cfg.options.get("null_flag_is_live", False))
     history, _ = build_scd2(
-        scope,
+        scope.withColumn(BUCKET, bucket_column(keys, nb)),
         keys,
         cfg.ordering_column,
         delete_column=cfg.delete_indicator_column,
         deleted_values=cfg.deleted_values,
-        null_flag_is_live=bool(cfg.options.get("null_flag_is_live", False)),
+        null_flag_is_live=null_live,
         row_count_hint=row_count_hint,
+        cluster_by=BUCKET,
     )
+    history, rebuilt_obs = observed(history)
+    hist_schema = history.drop(BUCKET).schema
     hist_name, cur_name = cfg.silver_history_table, cfg.silver_current_table
-    null_live = bool(cfg.options.get("null_flag_is_live", False))
-    partial = keys_df is not None and store.exists(hist_name) and store.exists(cur_name)
-
-    # Rebuilt history rows go to their own folder; the table's other keys are
-    # carried over into a second folder of the same version.
-    rebuilt_folder = store.new_folder(hist_name)
-    counted, rebuilt_obs = observed(history)
-    counted.write.parquet(rebuilt_folder)
+    note = {**(lineage or {}), "buckets": nb}
+
+    # history: rewrite touched buckets, carry the rest
+    hist_head = store.head(hist_name) if touched is not None else None
+    live = hist_head is not None and hist_head.op != "DROP"
+    rewrite, carry = _split_parts(hist_head.parts, touched) if live else ([], [])
+    frame = history
+    if keys_df is not None and rewrite:
+        kept = rows_without_keys(store.read_parts(hist_head.schema, rewrite), keys_df, keys, null_safe)
+        frame = align_columns(kept, history.drop(BUCKET)).unionByName(history.drop(BUCKET))
+    new_parts, written = write_buckets(store, hist_name, frame, keys, nb)
     rebuilt_rows = int(rebuilt_obs.get["rows"])
-    parts, history_rows = [rebuilt_folder], rebuilt_rows
-    if partial:
-        kept = align_columns(rows_without_keys(store.read(hist_name), keys_df, keys, null_safe), history)
-        kept_folder = store.new_folder(hist_name)
-        kept_counted, kept_obs = observed(kept)
-        kept_counted.write.parquet(kept_folder)
-        parts.insert(0, kept_folder)
-        history_rows += int(kept_obs.get["rows"])
-    store.replace_parts(hist_name, parts, history.schema, history_rows, lineage)
-
-    # Current rows of the rebuilt keys come from the rebuilt folder only.
-    fresh_current = current_from_history(
-        store.read_parts(history.schema, [rebuilt_folder]), cfg.delete_indicator_column, cfg.deleted_values, null_live
+    history_rows = _total(store, hist_name, hist_head if live else None, rewrite, written)
+    store.replace_parts(hist_name, carry + new_parts, hist_schema, history_rows, note)
+
+    # current: derived from the rewritten history buckets only
+    cur_head = store.head(cur_name) if touched is not None else None
+    cur_live = cur_head is not None and cur_head.op != "DROP"
+    cur_rewrite, cur_carry = _split_parts(cur_head.parts, touched) if cur_live else ([], [])
+    fresh = current_from_history(
+        store.read_parts(hist_schema, new_parts), cfg.delete_indicator_column, cfg.deleted_values, null_live
     )
-    if partial:
-        new_cur = rewrite_impacted(store.read(cur_name), fresh_current, keys_df, keys, null_safe)
-    else:
-        new_cur = fresh_current
-    current_rows = write_observed(store, cur_name, new_cur, lineage=lineage)
+    if keys_df is not None and cur_rewrite:
+        rebuilt_current = rows_for_keys(fresh, keys_df, keys, null_safe)
+        kept_current = rows_without_keys(store.read_parts(cur_head.schema, cur_rewrite), keys_df, keys, null_safe)
+        fresh = align_columns(kept_current, rebuilt_current).unionByName(rebuilt_current)
+    cur_parts, cur_written = write_buckets(store, cur_name, fresh, keys, nb)
+    current_rows = _total(store, cur_name, cur_head if cur_live else None, cur_rewrite, cur_written)
+    store.replace_parts(cur_name, cur_carry + cur_parts, hist_schema, current_rows, note)
 
     gold_rows = 0
     if cfg.gold_publish_name.upper() == PUBLISH_CURRENT and cfg.gold_table:
@@ -141,32 +219,44 @@ def apply_transform(
 def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
     """Fold bronze into silver.
 
-    Incremental (default, ``options.fold_mode``): re-window only the keys of
-    bronze folders added since the bronze version the history was built from.
-    Falls back to a full rebuild when there is no such lineage (first build,
-    after a restore) or bronze was rewritten.
+    Incremental (default, ``options.fold_mode``): the storage buckets of the
+    keys in bronze folders added since the bronze version the history was
+    built from are re-windowed from their old history rows plus the new
+    bronze rows; every other bucket is carried over.  Bronze is not
+    re-read.  Equal to a full rebuild because SCD2 is computed per key and
+    each history row stands for one bronze row.  Falls back to a full
+    rebuild without such lineage (first build, after a restore, bucket count
+    changed) or when bronze was rewritten.
     """
     _check_transform(cfg)
+    spark = store.spark
     bronze_head = store.head(cfg.bronze_table)
-    bronze_all = store.read(cfg.bronze_table)
     lineage = {"bronze_version": bronze_head.version}
+    nb = silver_buckets(spark, cfg, bronze_head.row_count)
     hist_head = store.head(cfg.silver_history_table)
     if (
         cfg.fold_mode == "incremental"
         and hist_head is not None
         and hist_head.op != "DROP"
         and "bronze_version" in hist_head.lineage
+        and hist_head.lineage.get("buckets") == nb
         and store.exists(cfg.silver_current_table)
     ):
         seen = store.head(cfg.bronze_table, hist_head.lineage["bronze_version"])
         if seen is not None and set(seen.parts) <= set(bronze_head.parts):
             fresh = [p for p in bronze_head.parts if p not in set(seen.parts)]
             new_rows = store.read_parts(bronze_head.schema, fresh)
-            keys_df = impacted_keys(new_rows, cfg.primary_keys)
-            scope = rows_for_keys(bronze_all, keys_df, cfg.primary_keys, null_safe=True)
-            return apply_transform(store, cfg, scope, keys_df, null_safe=True, lineage=lineage,
-                                   row_count_hint=bronze_head.row_count)
-    return apply_transform(store, cfg, bronze_all, None, lineage=lineage, row_count_hint=bronze_head.row_count)
+            touched = {
+                int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
+            }  # at most ``nb`` values
+            like = [c for c in bronze_head.schema.fieldNames() if c not in ("source_name", "load_mode")]
+            rewrite, _ = _split_parts(hist_head.parts, touched)
+            old_rows = store.read_parts(hist_head.schema, rewrite).select(*like)
+            scope = old_rows.unionByName(new_rows.select(*like))
+            return fold_silver(store, cfg, scope, touched=touched, lineage=lineage,
+                               row_count_hint=bronze_head.row_count)
+    return fold_silver(store, cfg, store.read(cfg.bronze_table), lineage=lineage,
+                       row_count_hint=bronze_head.row_count)
 
 
 def run_source(
