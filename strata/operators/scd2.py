@@ -112,18 +112,18 @@ def build_scd2(
     tie_break: Sequence[str] | None = None,
     rows_per_bucket: int | None = None,
     row_count_hint: int | None = None,
-    cluster_by: str | None = None,
+    cluster_by: str | Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(history, current)`` for a bronze change log.
 
     ``row_count_hint`` (an upper bound on the input rows, e.g. from the table
     log) skips the hot-key sample when no key can fill two buckets.
 
-    ``cluster_by`` names a column that is a function of the keys (a storage
-    bucket).  The window input is then hash-partitioned on it (plus the
-    hot-key range bucket) and sorted by it first, so a writer partitioning by
-    that column gets about one file per storage bucket and needs no extra
-    sort.
+    ``cluster_by`` names columns that are functions of the keys (a storage
+    bucket, then a sub-bucket).  The window input is then hash-partitioned on
+    them (plus the hot-key range bucket) and sorted by them first, so a writer
+    partitioning by the storage bucket gets few files per bucket and needs no
+    extra sort.
     """
     keys = list(keys)
     if not keys:
@@ -151,12 +151,12 @@ def build_scd2(
     else:
         bounds = hot_key_bounds(bronze, keys, order_cols, rpb)
 
-    lead_cols = [cluster_by] if cluster_by else []
+    lead_cols = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or [])
     if bounds is None:
         part = [*lead_cols, *keys]
         staged = bronze
-        if cluster_by:
-            staged = staged.repartition(F.col(cluster_by))
+        if lead_cols:
+            staged = staged.repartition(*[F.col(c) for c in lead_cols])
     else:
         n_buckets = bounds.select(F.sum(F.size("_bounds") + 1)).first()[0] or 0
         renamed = {k: f"_hk_{i}" for i, k in enumerate(keys)}
@@ -175,8 +175,8 @@ def build_scd2(
             .drop(*renamed.values())
         )
         part = [*lead_cols, *keys, "_bucket"]
-        if cluster_by:
-            staged = staged.repartition(F.col(cluster_by), F.col("_bucket"))
+        if lead_cols:
+            staged = staged.repartition(*[F.col(c) for c in lead_cols], F.col("_bucket"))
 
     w_asc = Window.partitionBy(*part).orderBy(*asc)
     w_desc = Window.partitionBy(*part).orderBy(*desc)

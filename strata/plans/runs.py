@@ -35,6 +35,7 @@ SCD2_TRANSFORM = "SCD2_CURRENT_HISTORY"
 PUBLISH_CURRENT = "PUBLISH_CURRENT_SNAPSHOT"
 
 BUCKET = "_kb"
+SUB_BUCKET = "_ks"
 ROWS_PER_SILVER_BUCKET = 4_000_000
 MAX_SILVER_BUCKETS = 4096
 _BUCKET_DIR = re.compile(r"/_kb=(\d+)/?$")
@@ -165,18 +166,22 @@ def fold_silver(
         raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
     spark = scope.sparkSession
     nb = silver_buckets(spark, cfg, row_count_hint)
+    # Window groups of about ROWS_PER_SILVER_BUCKET rows: a storage bucket is
+    # split further by a second key hash once buckets outgrow that size.
+    subs = max(1, -(-(row_count_hint or 0) // (nb * ROWS_PER_SILVER_BUCKET)))
     null_live = bool(cfg.options.get("null_flag_is_live", False))
     history, _ = build_scd2(
-        scope.withColumn(BUCKET, bucket_column(keys, nb)),
+        scope.withColumn(BUCKET, bucket_column(keys, nb))
+        .withColumn(SUB_BUCKET, F.pmod(F.xxhash64(F.lit("sub"), *[F.col(k) for k in keys]), F.lit(subs))),
         keys,
         cfg.ordering_column,
         delete_column=cfg.delete_indicator_column,
         deleted_values=cfg.deleted_values,
         null_flag_is_live=null_live,
         row_count_hint=row_count_hint,
-        cluster_by=BUCKET,
+        cluster_by=[BUCKET, SUB_BUCKET],
     )
-    history, rebuilt_obs = observed(history)
+    history, rebuilt_obs = observed(history.drop(SUB_BUCKET))
     hist_schema = history.drop(BUCKET).schema
     hist_name, cur_name = cfg.silver_history_table, cfg.silver_current_table
     note = {**(lineage or {}), "buckets": nb}
