@@ -86,6 +86,10 @@ def hot_key_bounds(frame: DataFrame, keys: Sequence[str], order_cols: Sequence[s
     fraction = min(1.0, SAMPLES_PER_BUCKET / float(rows_per_bucket))
     akey = _order_key(order_cols, descending=False).alias("_akey")
     sampled = frame.select(*keys, akey).sample(False, fraction, seed=_SAMPLE_SEED)
+    # cheap first pass (one partial aggregate): is any key hot at all?
+    busy = sampled.groupBy(*keys).count().where(F.col("count") >= 2 * SAMPLES_PER_BUCKET)
+    if not busy.take(1):
+        return None
     per_key = Window.partitionBy(*keys)
     ordered = Window.partitionBy(*keys).orderBy(F.col("_akey"))
     edges = (
@@ -96,9 +100,8 @@ def hot_key_bounds(frame: DataFrame, keys: Sequence[str], order_cols: Sequence[s
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_akey")).alias("_bounds"))
     )
-    if not edges.take(1):
-        return None
-    return cut_lineage(edges)
+    edges = cut_lineage(edges)
+    return edges if edges.take(1) else None
 
 
 def build_scd2(

@@ -17,6 +17,9 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Post-shuffle partitions of ~256 MB; AQE coalesces or splits around it.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Parquet data written by the store is always read with its own schema.
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -24,19 +27,25 @@ SCALE_DEFAULTS = {
 
 
 def build_session(app_name: str = "strata", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the scale defaults applied."""
+    """Create (or reuse) a session; scale defaults fill only unset keys."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SCALE_DEFAULTS, **(conf or {})}.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    apply_scale_defaults(spark, explicit=conf)
+    return spark
 
 
-def apply_scale_defaults(spark: SparkSession) -> None:
+def apply_scale_defaults(spark: SparkSession, explicit: dict | None = None) -> None:
+    """Set each scale default unless the caller or the cluster profile
+    (spark-defaults / spark-submit) already set that key."""
+    cluster = spark.sparkContext.getConf()
     for key, value in SCALE_DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
+        if (explicit and key in explicit) or cluster.contains(key):
+            continue
+        spark.conf.set(key, value)
 
 
 def warehouse_root(spark: SparkSession) -> str:
