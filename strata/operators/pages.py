@@ -33,16 +33,36 @@ ACCENT_PALETTE = [
 ]
 
 
-def page_title(html: Column, fallback: Column) -> Column:
-    return F.when(html.rlike(TITLE_PATTERN), F.regexp_extract(html, TITLE_PATTERN, 1)).otherwise(fallback)
+# Each pattern is evaluated once per page: the whole match (group 0) is
+# extracted, a non-empty match means "found" (a match always contains its
+# tags), and the captured text is cut out with plain string functions.
+_TITLE_OPEN, _TITLE_CLOSE = len("<title>"), len("</title>")
+_BODY_CLOSE = len("</body>")
 
 
-def has_body(html: Column) -> Column:
-    return F.coalesce(html.rlike(BODY_PATTERN), F.lit(False))
+def title_match(html: Column) -> Column:
+    return F.regexp_extract(html, TITLE_PATTERN, 0)
 
 
-def page_body(html: Column) -> Column:
-    return F.regexp_extract(html, BODY_PATTERN, 1)
+def body_match(html: Column) -> Column:
+    return F.regexp_extract(html, BODY_PATTERN, 0)
+
+
+def page_title(match: Column, fallback: Column) -> Column:
+    """Title text of a title match, or ``fallback`` when there was none."""
+    text = F.substr(match, F.lit(_TITLE_OPEN + 1), F.length(match) - _TITLE_OPEN - _TITLE_CLOSE)
+    return F.when(F.coalesce(match, F.lit("")) != "", text).otherwise(fallback)
+
+
+def has_body(match: Column) -> Column:
+    return F.coalesce(match, F.lit("")) != ""
+
+
+def page_body(match: Column) -> Column:
+    """Text between the opening body tag (which ends at the first '>', as the
+    tag pattern excludes '>') and the closing tag that ends the match."""
+    start = F.instr(match, ">") + 1
+    return F.coalesce(F.substr(match, start, F.length(match) - start + 1 - _BODY_CLOSE), F.lit(""))
 
 
 def palette_manifest(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -55,17 +75,21 @@ def palette_manifest(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
 
 def extract_pages(manifest: DataFrame, pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Manifest left-joined to pages with title, body flag, body and status."""
-    src = pages.select(F.col(id_col).alias("_pid"), F.col(html_col).alias("_html"))
+    src = pages.select(
+        F.col(id_col).alias("_pid"),
+        title_match(F.col(html_col)).alias("_tm"),
+        body_match(F.col(html_col)).alias("_bm"),
+    )
     joined = manifest.join(src, manifest["slug"] == src["_pid"], "left")
-    html = F.col("_html")
+    found = has_body(F.col("_bm"))
     return joined.select(
         "slug", "accent", "accent2",
         F.col("_pid").alias("page_id"),
-        page_title(html, F.col("slug").cast("string")).alias("title"),
-        has_body(html).alias("has_body"),
-        page_body(html).alias("body"),
+        page_title(F.col("_tm"), F.col("slug").cast("string")).alias("title"),
+        found.alias("has_body"),
+        page_body(F.col("_bm")).alias("body"),
         F.when(F.col("_pid").isNull(), F.lit("SOURCE_NOT_FOUND"))
-        .when(~has_body(html), F.lit("NO_BODY"))
+        .when(~found, F.lit("NO_BODY"))
         .otherwise(F.lit("CREATED"))
         .alias("status"),
     )

@@ -32,9 +32,10 @@ def rows_per_task_setting(spark) -> int:
     return int(value) if value else DEFAULT_ROWS_PER_TASK
 
 
-def hot_keys(df: DataFrame, cols: Sequence[str], rows_per_task: int) -> DataFrame | None:
+def hot_keys(df: DataFrame, cols: Sequence[str], rows_per_task: int) -> tuple[DataFrame, int] | None:
     """Keys estimated to hold more than ``2 * rows_per_task`` rows, with a
-    salt count ``_salts`` (estimated rows / rows_per_task); NULL keys never
+    salt count ``_salts`` (estimated rows / rows_per_task), and how many there
+    are (at most rows / (2 * rows_per_task) by construction); NULL keys never
     join and are ignored.  ``None`` when there is no such key."""
     fraction = min(1.0, SAMPLES_PER_TASK / float(rows_per_task))
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
@@ -46,9 +47,7 @@ def hot_keys(df: DataFrame, cols: Sequence[str], rows_per_task: int) -> DataFram
     if not counts.take(1):
         return None
     hot = cut_lineage(counts.select(*cols, F.ceil(F.col("_n") / SAMPLES_PER_TASK).cast("int").alias("_salts")))
-    if hot.count() > MAX_HOT_KEYS:
-        raise ValueError("too many hot keys to broadcast; raise strata.join.rowsPerTask")
-    return hot
+    return hot, hot.count()
 
 
 def _eq(left: DataFrame, lcols: Sequence[str], right: DataFrame, rcols: Sequence[str]) -> Column:
@@ -62,12 +61,14 @@ def skew_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, st
     lcols = [a for a, _ in on]
     rcols = [b for _, b in on]
     rpt = rows_per_task or rows_per_task_setting(left.sparkSession)
-    hot = hot_keys(right, rcols, rpt)
-    if hot is None:
+    found = hot_keys(right, rcols, rpt)
+    if found is None:
         return left.join(right, _eq(left, lcols, right, rcols), "left")
-
-    hl = F.broadcast(hot.select(*[F.col(c).alias(f"_hl{i}") for i, c in enumerate(rcols)], F.col("_salts").alias("_ls")))
-    hr = F.broadcast(hot.select(*[F.col(c).alias(f"_hr{i}") for i, c in enumerate(rcols)], F.col("_salts").alias("_rs")))
+    hot, n_hot = found
+    # broadcast only below a checked size; otherwise AQE picks the strategy
+    small = F.broadcast if n_hot <= MAX_HOT_KEYS else (lambda df: df)
+    hl = small(hot.select(*[F.col(c).alias(f"_hl{i}") for i, c in enumerate(rcols)], F.col("_salts").alias("_ls")))
+    hr = small(hot.select(*[F.col(c).alias(f"_hr{i}") for i, c in enumerate(rcols)], F.col("_salts").alias("_rs")))
     lmark = left.join(hl, _eq(left, lcols, hl, [f"_hl{i}" for i in range(len(rcols))]), "left")
     lmark = lmark.drop(*[f"_hl{i}" for i in range(len(rcols))]).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ls"), F.lit(1)) - 1))
