@@ -65,3 +65,19 @@ def test_namespaces_and_preview(spark, store):
     previews = store.preview("demo.bronze")
     assert sorted(previews) == ["demo.bronze.x", "demo.bronze.y"]
     assert previews["demo.bronze.x"].count() == 20 and previews["demo.bronze.y"].count() == 5
+
+
+def test_append_log_is_incremental(spark, store, monkeypatch):
+    import json
+
+    import strata.sources.tables as tables
+
+    monkeypatch.setattr(tables, "CHECKPOINT_EVERY", 4)
+    for i in range(9):
+        store.append("b.log", spark.range(i, i + 1))
+    fresh = TableStore(spark, store.root)  # no cache: resolves from the log files
+    assert fresh.read("b.log").count() == 9
+    assert sorted(r.id for r in fresh.read("b.log", version=6).collect()) == list(range(6))
+    entries = [json.loads(store._read_text(f"{store._log_path('b.log')}/{v:020d}.json")) for v in range(1, 10)]
+    assert [e["parts"] is None for e in entries] == [False, True, True, False, True, True, True, False, True]
+    assert all(len(e["added"]) == 1 for e in entries if e["parts"] is None)
