@@ -239,13 +239,19 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
     lineage = {"bronze_version": bronze_head.version}
     nb = silver_buckets(spark, cfg, bronze_head.row_count)
     hist_head = store.head(cfg.silver_history_table)
+    cur_head = store.head(cfg.silver_current_table)
     if (
         cfg.fold_mode == "incremental"
         and hist_head is not None
         and hist_head.op != "DROP"
         and "bronze_version" in hist_head.lineage
         and hist_head.lineage.get("buckets") == nb
-        and store.exists(cfg.silver_current_table)
+        and cur_head is not None
+        and cur_head.op != "DROP"
+        # both tables must come from the same fold (a fold that failed
+        # between the two commits, or a restore of one table, forces a rebuild)
+        and cur_head.lineage.get("bronze_version") == hist_head.lineage["bronze_version"]
+        and cur_head.lineage.get("buckets") == nb
     ):
         seen = store.head(cfg.bronze_table, hist_head.lineage["bronze_version"])
         if seen is not None and set(seen.parts) <= set(bronze_head.parts):
