@@ -123,10 +123,13 @@ def write_buckets(store: TableStore, name: str, df: DataFrame, keys: list[str],
     return store.subfolders(folder), int(obs.get["rows"])
 
 
-def _split_parts(parts: list[str], touched: set[int] | None) -> tuple[list[str], list[str]]:
-    """(parts to rewrite, parts to carry over); folders without a bucket are rewritten."""
-    if touched is None:
-        return list(parts), []
+def _split_parts(head, touched: set[int] | None, buckets: int) -> tuple[list[str], list[str]]:
+    """(folders to rewrite, folders to carry over).  Everything is rewritten
+    when the table was laid out with another bucket count (or restored from
+    a version without one); folders without a bucket are always rewritten."""
+    parts = list(head.parts)
+    if touched is None or head.lineage.get("buckets") != buckets:
+        return parts, []
     hit = [p for p in parts if bucket_of(p) is None or bucket_of(p) in touched]
     return hit, [p for p in parts if p not in set(hit)]
 
@@ -189,7 +192,7 @@ def fold_silver(
     # history: rewrite touched buckets, carry the rest
     hist_head = store.head(hist_name) if touched is not None else None
     live = hist_head is not None and hist_head.op != "DROP"
-    rewrite, carry = _split_parts(hist_head.parts, touched) if live else ([], [])
+    rewrite, carry = _split_parts(hist_head, touched, nb) if live else ([], [])
     frame = history
     if keys_df is not None and rewrite:
         kept = rows_without_keys(store.read_parts(hist_head.schema, rewrite), keys_df, keys, null_safe)
@@ -202,7 +205,7 @@ def fold_silver(
     # current: derived from the rewritten history buckets only
     cur_head = store.head(cur_name) if touched is not None else None
     cur_live = cur_head is not None and cur_head.op != "DROP"
-    cur_rewrite, cur_carry = _split_parts(cur_head.parts, touched) if cur_live else ([], [])
+    cur_rewrite, cur_carry = _split_parts(cur_head, touched, nb) if cur_live else ([], [])
     fresh = current_from_history(
         store.read_parts(hist_schema, new_parts), cfg.delete_indicator_column, cfg.deleted_values, null_live
     )
@@ -261,7 +264,7 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
                 int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
             }  # at most ``nb`` values
             like = [c for c in bronze_head.schema.fieldNames() if c not in ("source_name", "load_mode")]
-            rewrite, _ = _split_parts(hist_head.parts, touched)
+            rewrite, _ = _split_parts(hist_head, touched, nb)
             old_rows = store.read_parts(hist_head.schema, rewrite).select(*like)
             scope = old_rows.unionByName(new_rows.select(*like))
             return fold_silver(store, cfg, scope, touched=touched, lineage=lineage,
