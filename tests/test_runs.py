@@ -283,3 +283,32 @@ def test_partial_replay_after_bucket_count_changed(spark):
     after = sorted(tuple(str(v) for v in r) for r in store.read("demo.silver.src_history").collect())
     assert after == before
     assert store.read("demo.silver.src_current").count() == 4
+
+
+def test_incremental_by_numeric_sequence_and_date(spark):
+    for tag, column, values in (
+        ("BIGINT", "seq", [5, 9, 12]),
+        ("DATE", "d", ["2026-01-01", "2026-01-02", "2026-01-03"]),
+    ):
+        store = TableStore(spark, f"{warehouse_root(spark)}/seq_{uuid.uuid4().hex[:8]}")
+        control = ControlPlane(store)
+        control.bootstrap()
+        control.register([{
+            "source_name": "s", "source_object": "demo.staging.s", "load_mode": "INCREMENTAL_TS",
+            "watermark_column": column, "watermark_type": tag, "primary_keys": ["id"],
+            "bronze_table": "demo.bronze.s", "silver_current_table": "demo.silver.s_cur",
+            "silver_history_table": "demo.silver.s_hist",
+        }])
+        dtype = "bigint" if tag == "BIGINT" else "date"
+        rows = spark.createDataFrame([(1, values[0]), (2, values[1])], f"id long, raw string").selectExpr(
+            "id", f"CAST(raw AS {dtype}) AS {column}")
+        store.replace("demo.staging.s", rows)
+        run_source(spark, control, "s", as_of="2026-02-01 00:00:00")
+        assert control.get_registration("s").last_successful_watermark == str(values[1])
+        more = spark.createDataFrame([(1, values[0]), (2, values[1]), (1, values[2])], "id long, raw string")
+        store.replace("demo.staging.s", more.selectExpr("id", f"CAST(raw AS {dtype}) AS {column}"))
+        batch = run_source(spark, control, "s", as_of="2026-02-01 00:00:00")
+        run = control.run_log().where(F.col("batch_id") == batch).first()
+        assert (run["rows_read"], run["watermark_value"]) == (1, str(values[2]))
+        cur = {r["id"]: str(r[column]) for r in store.read("demo.silver.s_cur").collect()}
+        assert cur == {1: str(values[2]), 2: str(values[1])}
