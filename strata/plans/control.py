@@ -215,7 +215,7 @@ class ControlPlane:
         head = self.store.head(table)
         if head is not None and head.op != "DROP" and len(head.parts) >= self.COMPACT_AFTER_PARTS:
             total = None if head.row_count is None else head.row_count + n
-            self.store.replace(table, self.store.read(table).unionByName(rows).coalesce(1), row_count=total)
+            self.store.replace(table, self.store.read(table).unionByName(rows), row_count=total)
         else:
             self.store.append(table, rows, row_count=n)
 
