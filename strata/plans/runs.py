@@ -55,21 +55,6 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_observed(store: TableStore, name: str, df: DataFrame, replace: bool = True,
-                   lineage: dict | None = None) -> int:
-    """Write ``df`` as a new version of ``name`` and return its row count,
-    counted in the writing job itself."""
-    counted, obs = observed(df)
-    folder = store.new_folder(name)
-    counted.write.parquet(folder)
-    rows = int(obs.get["rows"])
-    if replace:
-        store.replace_folder(name, folder, df.schema, rows, lineage)
-    else:
-        store.append_folder(name, folder, df.schema, rows, lineage)
-    return rows
-
-
 def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     """``df`` with exactly ``like``'s columns (missing ones NULL, typed)."""
     have = set(df.columns)
