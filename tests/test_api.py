@@ -1,0 +1,34 @@
+"""Function-style entry points drive the same machinery."""
+
+import uuid
+
+from strata import api
+from strata.plans.demo import DEMO_SOURCES, SEED_BATCH_1, STAGING_SCHEMAS, registrations, seed
+from strata.sources.tables import TableStore
+
+
+def test_function_api_round_trip(spark):
+    root = spark.conf.get("spark.sql.warehouse.dir") + f"/api_{uuid.uuid4().hex[:8]}"
+    spark.conf.set("strata.warehouse", root)
+    try:
+        api.ensure_catalog_namespaces(spark, "demo")
+        control = api.control_plane(spark, "demo")
+        store = TableStore(spark, root)
+        for source, schema in STAGING_SCHEMAS.items():
+            store.create_empty(f"demo.staging.{source}_source", schema)
+        control.register(registrations())
+        seed(spark, store, SEED_BATCH_1)
+        assert api.list_active_sources(spark, "demo") == sorted(DEMO_SOURCES)
+        batch = api.run_pipeline_for_source(spark, "customer", catalog="demo", forced_batch_id=1001)
+        assert batch == 1001
+        cfg = api.get_source_registration(spark, "customer", "demo")
+        assert cfg.last_successful_watermark == "2026-04-01 08:15:00"
+        hist, cur = api.build_scd2_frames(store.read(cfg.bronze_table), cfg)
+        assert hist.count() == 2 and cur.count() == 2
+        assert api.run_quality_checks(spark, 77, cfg, store.read(cfg.bronze_table), "demo") == "PASSED"
+        control.submit_replay(5, "customer", "FULL_REBUILD")
+        assert api.list_requested_replays(spark, "demo") == [5]
+        assert api.run_replay_request(spark, 5, "demo") == 1002
+        assert api.get_replay_request(spark, 5, "demo").request_status == "COMPLETED"
+    finally:
+        spark.conf.unset("strata.warehouse")
