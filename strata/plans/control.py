@@ -234,6 +234,11 @@ class ControlPlane:
                 rec["enabled"] = True
             records.append(tuple(rec[f.name] for f in REGISTRATION_SCHEMA.fields))
         source = self.spark.createDataFrame(records, REGISTRATION_SCHEMA)
+        head = self.store.head(self.registry)
+        if head is not None and head.op != "DROP" and head.row_count == 0 and \
+                len({r[0] for r in records}) == len(records):
+            self.store.append(self.registry, source, row_count=len(records))  # nothing to match yet
+            return
         target = self.store.read(self.registry)
         merged = upsert(target, source, ["source_name"], REGISTRATION_CONFIG_COLUMNS)
         self.store.replace(self.registry, merged)
