@@ -209,6 +209,22 @@ def fold_silver(
     return FoldResult(history_rows, current_rows, gold_rows, rebuilt_rows)
 
 
+def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int) -> set[int] | None:
+    """Touched buckets from the key hashes recorded by the landings after
+    version ``seen``; ``None`` when a landing did not record them or the
+    bucket count does not divide the recorded hash range."""
+    if MAX_SILVER_BUCKETS % buckets:
+        return None
+    out: set[int] = set()
+    for version in range(seen + 1, latest + 1):
+        head = store.head(bronze, version)
+        hashes = None if head is None else head.lineage.get("key_hashes")
+        if hashes is None:
+            return None
+        out.update(int(h) % buckets for h in hashes)
+    return out
+
+
 def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
     """Fold bronze into silver.
 
@@ -245,9 +261,11 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
         if seen is not None and set(seen.parts) <= set(bronze_head.parts):
             fresh = [p for p in bronze_head.parts if p not in set(seen.parts)]
             new_rows = store.read_parts(bronze_head.schema, fresh)
-            touched = {
-                int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
-            }  # at most ``nb`` values
+            touched = _recorded_buckets(store, cfg.bronze_table, seen.version, bronze_head.version, nb)
+            if touched is None:  # not recorded at landing: one pass over the new rows
+                touched = {
+                    int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
+                }  # at most ``nb`` values
             like = [c for c in bronze_head.schema.fieldNames() if c not in ("source_name", "load_mode")]
             rewrite, _ = _split_parts(hist_head, touched, nb)
             old_rows = store.read_parts(hist_head.schema, rewrite).select(*like)
@@ -288,6 +306,9 @@ def run_source(
         ordering = cfg.ordering_column
         if ordering and ordering in extract.columns:
             metrics.append(F.max(F.col(ordering)).cast("string").alias("mark"))
+        if cfg.primary_keys and all(k in landed.columns for k in cfg.primary_keys):
+            # at most MAX_SILVER_BUCKETS distinct values: the fold's touched buckets
+            metrics.append(F.collect_set(bucket_column(cfg.primary_keys, MAX_SILVER_BUCKETS)).alias("hashes"))
         obs = Observation(f"land_{uuid.uuid4().hex[:12]}")
         folder = store.new_folder(cfg.bronze_table)
         landed.observe(obs, *metrics).write.parquet(folder)
@@ -302,7 +323,10 @@ def run_source(
             )
             return batch_id
 
-        store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage={"batch_id": batch_id})
+        note = {"batch_id": batch_id}
+        if observed.get("hashes") is not None:
+            note["key_hashes"] = sorted(int(h) for h in observed["hashes"])
+        store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
         results = [row_count_result(rows), required_columns_result(landed.columns, cfg.required_columns)]
         control.insert_quality_results(batch_id, source_name, results)
         quality = rollup(results)
