@@ -19,7 +19,7 @@ from strata.config import DEFAULT_PUBLISH, DEFAULT_TRANSFORM, ReplayRequest, Sou
 from strata.functions.options import normalize_list_col, options_col
 from strata.operators.merge import keyed_update, upsert
 from strata.operators.quality import RuleResult
-from strata.sources.tables import TableStore
+from strata.sources.tables import COMMIT_ATTEMPTS, CommitConflict, TableStore
 
 CATALOG_DEFAULT = "demo"
 # The layer namespaces of a catalog.
@@ -209,13 +209,25 @@ class ControlPlane:
 
     COMPACT_AFTER_PARTS = 32
 
+    def _rewrite(self, table: str, change) -> None:
+        """Read-modify-write of a control table with optimistic concurrency:
+        ``change(current_rows)`` is recomputed from the latest version when
+        another writer committed in between."""
+        for _ in range(COMMIT_ATTEMPTS):
+            head = self.store.head(table)
+            try:
+                self.store.replace(table, change(self.store.read(table)), expected_version=head.version)
+                return
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{table}: gave up after {COMMIT_ATTEMPTS} concurrent updates")
+
     def _insert(self, table: str, rows: DataFrame, n: int) -> None:
         """Append control rows; once a table has many small folders, fold
         them into one on the next insert."""
         head = self.store.head(table)
         if head is not None and head.op != "DROP" and len(head.parts) >= self.COMPACT_AFTER_PARTS:
-            total = None if head.row_count is None else head.row_count + n
-            self.store.replace(table, self.store.read(table).unionByName(rows), row_count=total)
+            self._rewrite(table, lambda current: current.unionByName(rows))
         else:
             self.store.append(table, rows, row_count=n)
 
@@ -239,9 +251,7 @@ class ControlPlane:
                 len({r[0] for r in records}) == len(records):
             self.store.append(self.registry, source, row_count=len(records))  # nothing to match yet
             return
-        target = self.store.read(self.registry)
-        merged = upsert(target, source, ["source_name"], REGISTRATION_CONFIG_COLUMNS)
-        self.store.replace(self.registry, merged)
+        self._rewrite(self.registry, lambda target: upsert(target, source, ["source_name"], REGISTRATION_CONFIG_COLUMNS))
 
     def registrations(self) -> DataFrame:
         return self.store.read(self.registry)
@@ -262,8 +272,7 @@ class ControlPlane:
         return [str(r["source_name"]) for r in rows]
 
     def update_source_watermark(self, source_name: str, batch_id: int, watermark: str | None) -> None:
-        reg = self.registrations()
-        updated = keyed_update(
+        self._rewrite(self.registry, lambda reg: keyed_update(
             reg,
             F.col("source_name") == F.lit(source_name),
             {
@@ -271,8 +280,7 @@ class ControlPlane:
                 "last_batch_id": F.lit(int(batch_id)).cast("bigint"),
                 "updated_ts": F.current_timestamp(),
             },
-        )
-        self.store.replace(self.registry, updated)
+        ))
 
     # ----------------------------------------------------------------- run log
     def next_batch_id(self) -> int:
@@ -307,8 +315,7 @@ class ControlPlane:
         watermark_value: str | None = None,
         error_message: str | None = None,
     ) -> None:
-        runs = self.store.read(self.runs)
-        updated = keyed_update(
+        self._rewrite(self.runs, lambda runs: keyed_update(
             runs,
             (F.col("batch_id") == F.lit(int(batch_id))) & (F.col("source_name") == F.lit(source_name)),
             {
@@ -322,8 +329,7 @@ class ControlPlane:
                 "watermark_value": F.lit(watermark_value).cast("string"),
                 "error_message": F.lit(error_message).cast("string"),
             },
-        )
-        self.store.replace(self.runs, updated)
+        ))
 
     def run_log(self) -> DataFrame:
         return self.store.read(self.runs)
@@ -378,13 +384,11 @@ class ControlPlane:
         return [int(r["replay_request_id"]) for r in rows]
 
     def mark_replay_request(self, replay_request_id: int, status: str) -> None:
-        df = self.store.read(self.replays)
-        updated = keyed_update(
+        self._rewrite(self.replays, lambda df: keyed_update(
             df,
             F.col("replay_request_id") == F.lit(int(replay_request_id)),
             status_assignments(status, F.current_timestamp()),
-        )
-        self.store.replace(self.replays, updated)
+        ))
 
     def replay_requests(self) -> DataFrame:
         return self.store.read(self.replays)
