@@ -29,6 +29,7 @@ class Side:
     frame: DataFrame
     on: Sequence[tuple[str, str]]
     take: Sequence[tuple[str, str]] = field(default_factory=list)
+    rows: int | None = None  # known upper bound on the side's rows (skips the hot-key sample when small)
 
 
 def left_join_chain(base: DataFrame, sides: Sequence[Side], skew_safe: bool = True) -> DataFrame:
@@ -41,7 +42,7 @@ def left_join_chain(base: DataFrame, sides: Sequence[Side], skew_safe: bool = Tr
         right = side.frame.select(*[F.col(c).alias(prefix + c) for c in sorted(needed)])
         on = [(left_col, prefix + right_col) for left_col, right_col in side.on]
         if skew_safe:
-            result = skew_left_join(result, right, on)
+            result = skew_left_join(result, right, on, right_rows=side.rows)
         else:
             cond = None
             for left_col, right_col in on:
@@ -71,9 +72,11 @@ SALES_SERVING_COLUMNS = [
 
 
 def sales_fulfilment(orders: DataFrame, customer: DataFrame, product: DataFrame,
-                     invoice: DataFrame, shipment: DataFrame) -> DataFrame:
+                     invoice: DataFrame, shipment: DataFrame, rows: dict[str, int | None] | None = None) -> DataFrame:
     """Serving table over the five gold snapshots (one row per order, times
-    matching invoices x shipments)."""
+    matching invoices x shipments).  ``rows`` may give known row counts of
+    the joined sides (customer, product, invoice, shipment)."""
+    rows = rows or {}
     base = orders.select(
         "order_id", "customer_id", "product_id", "order_status", "order_amount", "order_date",
         F.col("effective_from").alias("_o_from"),
@@ -82,16 +85,17 @@ def sales_fulfilment(orders: DataFrame, customer: DataFrame, product: DataFrame,
         base,
         [
             Side(customer, [("customer_id", "customer_id")],
-                 [("customer_name", "customer_name"), ("location", "customer_location"), ("effective_from", "_c_from")]),
+                 [("customer_name", "customer_name"), ("location", "customer_location"), ("effective_from", "_c_from")],
+                 rows.get("customer")),
             Side(product, [("product_id", "product_id")],
                  [("product_name", "product_name"), ("category", "category"), ("unit_price", "unit_price"),
-                  ("effective_from", "_p_from")]),
+                  ("effective_from", "_p_from")], rows.get("product")),
             Side(invoice, [("order_id", "order_id")],
                  [("invoice_id", "invoice_id"), ("invoice_status", "invoice_status"),
-                  ("invoice_amount", "invoice_amount"), ("effective_from", "_i_from")]),
+                  ("invoice_amount", "invoice_amount"), ("effective_from", "_i_from")], rows.get("invoice")),
             Side(shipment, [("order_id", "order_id")],
                  [("shipment_id", "shipment_id"), ("shipment_status", "shipment_status"),
-                  ("warehouse_code", "warehouse_code"), ("effective_from", "_s_from")]),
+                  ("warehouse_code", "warehouse_code"), ("effective_from", "_s_from")], rows.get("shipment")),
         ],
     )
     wide = wide.withColumn(

@@ -55,12 +55,16 @@ def _eq(left: DataFrame, lcols: Sequence[str], right: DataFrame, rcols: Sequence
 
 
 def skew_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                   rows_per_task: int | None = None) -> DataFrame:
+                   rows_per_task: int | None = None, right_rows: int | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left.a = right.b AND ...`` with hot right keys
-    split over several tasks.  Column names of the two sides must differ."""
+    split over several tasks.  Column names of the two sides must differ.
+    ``right_rows`` (an upper bound, e.g. from a table log) skips the sample
+    when no key of the right side can be hot."""
     lcols = [a for a, _ in on]
     rcols = [b for _, b in on]
     rpt = rows_per_task or rows_per_task_setting(left.sparkSession)
+    if right_rows is not None and right_rows < 2 * rpt:
+        return left.join(right, _eq(left, lcols, right, rcols), "left")
     found = hot_keys(right, rcols, rpt)
     if found is None:
         return left.join(right, _eq(left, lcols, right, rcols), "left")

@@ -180,7 +180,9 @@ def demo_tables() -> list[str]:
 def build_serving(store: TableStore) -> DataFrame:
     """``CREATE OR REPLACE`` the serving table from the five gold snapshots."""
     gold = {s: store.read(f"{CATALOG}.gold.{s}_serving") for s in DEMO_SOURCES}
-    wide = sales_fulfilment(gold["orders"], gold["customer"], gold["product"], gold["invoice"], gold["shipment"])
+    counts = {s: store.head(f"{CATALOG}.gold.{s}_serving").row_count for s in DEMO_SOURCES}
+    wide = sales_fulfilment(gold["orders"], gold["customer"], gold["product"], gold["invoice"], gold["shipment"],
+                            rows=counts)
     name = f"{CATALOG}.gold.sales_order_fulfillment"
     store.replace(name, wide)
     return store.read(name)
