@@ -37,6 +37,7 @@ PUBLISH_CURRENT = "PUBLISH_CURRENT_SNAPSHOT"
 BUCKET = "_kb"
 SUB_BUCKET = "_ks"
 ROWS_PER_SILVER_BUCKET = 4_000_000
+ROWS_PER_WINDOW_GROUP = 1_000_000
 MAX_SILVER_BUCKETS = 4096
 _BUCKET_DIR = re.compile(r"/_kb=(\d+)/?$")
 
@@ -154,9 +155,10 @@ def fold_silver(
         raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
     spark = scope.sparkSession
     nb = silver_buckets(spark, cfg, row_count_hint)
-    # Window groups of about ROWS_PER_SILVER_BUCKET rows: a storage bucket is
-    # split further by a second key hash once buckets outgrow that size.
-    subs = max(1, -(-(row_count_hint or 0) // (nb * ROWS_PER_SILVER_BUCKET)))
+    # Window groups of about ROWS_PER_WINDOW_GROUP rows: each storage bucket
+    # is split further by a second key hash, so window tasks stay bounded and
+    # a table smaller than one bucket still uses several tasks.
+    subs = max(1, -(-(row_count_hint or 0) // (nb * ROWS_PER_WINDOW_GROUP)))
     null_live = bool(cfg.options.get("null_flag_is_live", False))
     history, _ = build_scd2(
         scope.withColumn(BUCKET, bucket_column(keys, nb))
