@@ -357,9 +357,37 @@ def run_all_sources(
     forced_batch_id: int | None = None,
     requested_by: str = "runtime",
     as_of: str | None = None,
+    parallelism: int = 1,
 ) -> list[int]:
-    """Run one source, or every enabled source in name order (fail fast)."""
+    """Run one source, or every enabled source in name order.
+
+    ``parallelism`` 1 runs them one after another and stops at the first
+    failure.  Above 1, sources run concurrently from a thread pool (Spark
+    schedules their jobs side by side; control-table commits are
+    optimistic): batch ids are allocated up front, every source runs, and
+    the first failure in name order is raised at the end.
+    """
     sources = [source] if source else control.list_active_sources()
     if not sources:
         raise ValueError(f"No active sources were found in {control.registry}.")
-    return [run_source(spark, control, s, forced_batch_id, requested_by, as_of) for s in sources]
+    if parallelism <= 1 or len(sources) == 1:
+        return [run_source(spark, control, s, forced_batch_id, requested_by, as_of) for s in sources]
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    first = forced_batch_id or control.next_batch_id()
+    ids = [forced_batch_id or first + i for i in range(len(sources))]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = [
+            pool.submit(run_source, spark, control, s, batch_id, requested_by, as_of)
+            for s, batch_id in zip(sources, ids)
+        ]
+    results, errors = [], []
+    for future in futures:
+        try:
+            results.append(future.result())
+        except Exception as exc:  # collected; raised after every source ran
+            errors.append(exc)
+    if errors:
+        raise errors[0]
+    return results
