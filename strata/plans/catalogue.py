@@ -247,6 +247,15 @@ def q_scd2_sequence(spark, d):
     return hist.select("o_custkey", "o_orderkey", "o_orderstatus", "effective_from", "effective_to", "is_current")
 
 
+def q_scd2_composite_key(spark, d):
+    """Composite business key (customer, priority), sequence column o_orderkey."""
+    orders = read(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey", "o_totalprice")
+    bronze = enrich_bronze(orders, "orders", 1, "FULL", ntz("2024-02-01 00:00:00"))
+    hist, cur = build_scd2(bronze, ["o_custkey", "o_orderpriority"], "o_orderkey")
+    return hist.select("o_custkey", "o_orderpriority", "o_orderkey", "o_totalprice", "effective_from", "effective_to",
+                       "is_current")
+
+
 def part_snapshots(spark, d) -> DataFrame:
     part = read(spark, d, "part")
     changed = F.col("p_partkey") % 10 == 0
@@ -552,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_current_cdc": q_scd2_current_cdc,
     "scd2_sequence": q_scd2_sequence,
     "scd2_full_snapshots": q_scd2_full_snapshots,
+    "scd2_composite_key": q_scd2_composite_key,
     "gold_snapshot": q_gold_snapshot,
     "impacted_keys": q_impacted_keys,
     "anti_remaining": q_anti_remaining,

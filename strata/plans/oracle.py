@@ -129,6 +129,12 @@ ORACLE: dict[str, str] = {
         "LEAD(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS effective_to, "
         "ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1 AS is_current FROM orders"
     ),
+    "scd2_composite_key": (
+        "SELECT o_custkey, o_orderpriority, o_orderkey, o_totalprice, o_orderkey AS effective_from, "
+        "LEAD(o_orderkey) OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS effective_to, "
+        "ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey DESC) = 1 AS is_current "
+        "FROM orders"
+    ),
     "scd2_full_snapshots": _with(PBRONZE) + (
         "SELECT p_partkey, p_name, p_retailprice, chg_ts AS effective_from, "
         "LEAD(chg_ts) OVER (PARTITION BY p_partkey ORDER BY chg_ts, bronze_load_ts) AS effective_to, "

@@ -73,3 +73,13 @@ def test_fold_with_buckets_subbuckets_and_hot_keys(spark, monkeypatch):
             assert ok, f"{name}: {msg}"
     finally:
         spark.conf.unset("strata.scd2.rowsPerBucket")
+
+
+def test_composite_key_hot_path(spark):
+    spark.conf.set("strata.scd2.rowsPerBucket", "2")
+    try:
+        df = entry.queries()["scd2_composite_key"](spark, SF_SMALL)
+        ok, msg = compare(df, duck(SF_SMALL), entry.oracle_sql()["scd2_composite_key"])
+    finally:
+        spark.conf.unset("strata.scd2.rowsPerBucket")
+    assert ok, msg
