@@ -77,26 +77,27 @@ def hot_key_bounds(frame: DataFrame, keys: Sequence[str], order_cols: Sequence[s
     """Bucket edges for keys with more than ``rows_per_bucket`` rows.
 
     A seeded Bernoulli sample with about ``SAMPLES_PER_BUCKET`` rows per
-    bucket is taken; a key with at least two buckets' worth of sampled rows
-    is hot, and every ``SAMPLES_PER_BUCKET``-th sampled order key becomes an
-    edge.  Returns ``None`` when no key is hot, else a checkpointed table
+    bucket is taken (every row when buckets are smaller than that); a key
+    with at least two buckets' worth of sampled rows is hot, and every
+    bucket's worth of sampled order keys ends with an edge.  Returns ``None`` when no key is hot, else a checkpointed table
     (keys..., ``_bounds`` sorted array) whose row count is bounded by the
     number of buckets.
     """
     fraction = min(1.0, SAMPLES_PER_BUCKET / float(rows_per_bucket))
+    per_edge = max(1, round(rows_per_bucket * fraction))  # sampled rows per bucket
     akey = _order_key(order_cols, descending=False).alias("_akey")
     sampled = frame.select(*keys, akey).sample(False, fraction, seed=_SAMPLE_SEED)
     # cheap first pass (one partial aggregate): is any key hot at all?
-    busy = sampled.groupBy(*keys).count().where(F.col("count") >= 2 * SAMPLES_PER_BUCKET)
+    busy = sampled.groupBy(*keys).count().where(F.col("count") >= 2 * per_edge)
     if not busy.take(1):
         return None
     per_key = Window.partitionBy(*keys)
     ordered = Window.partitionBy(*keys).orderBy(F.col("_akey"))
     edges = (
         sampled.withColumn("_n", F.count(F.lit(1)).over(per_key))
-        .where(F.col("_n") >= 2 * SAMPLES_PER_BUCKET)
+        .where(F.col("_n") >= 2 * per_edge)
         .withColumn("_rn", F.row_number().over(ordered))
-        .where(F.col("_rn") % SAMPLES_PER_BUCKET == 0)
+        .where(F.col("_rn") % per_edge == 0)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_akey")).alias("_bounds"))
     )

@@ -38,15 +38,16 @@ def hot_keys(df: DataFrame, cols: Sequence[str], rows_per_task: int) -> tuple[Da
     are (at most rows / (2 * rows_per_task) by construction); NULL keys never
     join and are ignored.  ``None`` when there is no such key."""
     fraction = min(1.0, SAMPLES_PER_TASK / float(rows_per_task))
+    per_task = max(1.0, rows_per_task * fraction)  # sampled rows that stand for one task's worth
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
     counts = (
         df.select(*cols).where(not_null).sample(False, fraction, seed=_SEED)
         .groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= 2 * SAMPLES_PER_TASK)
+        .where(F.col("_n") >= 2 * per_task)
     )
     if not counts.take(1):
         return None
-    hot = cut_lineage(counts.select(*cols, F.ceil(F.col("_n") / SAMPLES_PER_TASK).cast("int").alias("_salts")))
+    hot = cut_lineage(counts.select(*cols, F.ceil(F.col("_n") / F.lit(per_task)).cast("int").alias("_salts")))
     return hot, hot.count()
 
 

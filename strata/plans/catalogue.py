@@ -43,6 +43,7 @@ from strata.operators.scope import (
     union_evolving,
 )
 from strata.operators.serving import Side, greatest_of, left_join_chain
+from strata.operators.skew import skew_left_join
 from strata.plans.control import ControlPlane, next_id, normalize_registrations, status_assignments
 from strata.plans.metrics import run_counts
 from strata.plans.replay import run_replay
@@ -169,6 +170,15 @@ def q_extract_incremental(spark, d):
     return extract_window(_events_cols(spark, d), events_registration(), "2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
+def q_extract_sequence(spark, d):
+    """Incremental extract ordered by a numeric sequence column: lower bound
+    from the stored mark, no wall-clock upper bound."""
+    reg = SourceRegistration(source_name="orders", bronze_table="b", load_mode="CDC", sequence_column="o_orderkey",
+                             watermark_type="BIGINT", primary_keys=["o_custkey"])
+    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return extract_window(orders, reg, "7000", "2024-01-20 00:00:00")
+
+
 def q_high_water_mark(spark, d):
     return high_water_mark(read(spark, d, "events"), "ts")
 
@@ -240,6 +250,26 @@ def q_scd2_current_cdc(spark, d):
     return cur.select(*HISTORY_VIEW_COLUMNS, "del_flag")
 
 
+def q_scd2_current_null_live(spark, d):
+    """Soft deletes with NULL flags treated as live rows (option ``null_flag_is_live``)."""
+    flag = (
+        F.when(F.col("event_type") == "error", F.lit("YES"))
+        .when(F.col("event_type") == "view", F.lit(None).cast("string"))
+        .otherwise(F.lit("no"))
+    )
+    bronze = events_bronze(spark, d).withColumn("del_flag", flag)
+    _, cur = build_scd2(bronze, ["user_id"], "ts", delete_column="del_flag", null_flag_is_live=True)
+    return cur.select(*HISTORY_VIEW_COLUMNS, "del_flag")
+
+
+def q_scd2_hot_split(spark, d):
+    """SCD2 with a bucket size of 20 rows: every user is a hot key, split into
+    range buckets and stitched back (the plan a key holding a large share of
+    the rows gets at scale)."""
+    hist, _ = build_scd2(events_bronze(spark, d), ["user_id"], "ts", rows_per_bucket=20)
+    return hist.select(*HISTORY_VIEW_COLUMNS)
+
+
 def q_scd2_sequence(spark, d):
     orders = read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
     bronze = enrich_bronze(orders, "orders", 1, "FULL", ntz("2024-02-01 00:00:00"))
@@ -497,6 +527,15 @@ def q_serving_order_fulfilment(spark, d):
     )
 
 
+def q_skew_join_salted(spark, d):
+    """orders LEFT JOIN lineitem with a per-task size of 2 rows: every order
+    with lines is a hot right-side key and takes the salted path."""
+    orders = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    items = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    joined = skew_left_join(orders, items, [("o_orderkey", "l_orderkey")], rows_per_task=2)
+    return joined.select("o_orderkey", "o_orderstatus", "l_linenumber", "l_partkey")
+
+
 def q_serving_sparse(spark, d):
     orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read(spark, d, "customer").where((F.col("c_acctbal") > 0) & (F.col("c_mktsegment") == "BUILDING"))
@@ -548,6 +587,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_full": q_extract_full,
     "extract_first_run": q_extract_first_run,
     "extract_incremental": q_extract_incremental,
+    "extract_sequence": q_extract_sequence,
     "high_water_mark": q_high_water_mark,
     "watermark_text": q_watermark_text,
     "watermark_cast": q_watermark_cast,
@@ -559,6 +599,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_history": q_scd2_history,
     "scd2_current": q_scd2_current,
     "scd2_current_cdc": q_scd2_current_cdc,
+    "scd2_current_null_live": q_scd2_current_null_live,
+    "scd2_hot_split": q_scd2_hot_split,
     "scd2_sequence": q_scd2_sequence,
     "scd2_full_snapshots": q_scd2_full_snapshots,
     "scd2_composite_key": q_scd2_composite_key,
@@ -586,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "options_parse": q_options_parse,
     "serving_order_fulfilment": q_serving_order_fulfilment,
     "serving_sparse": q_serving_sparse,
+    "skew_join_salted": q_skew_join_salted,
     "page_title": q_page_title,
     "page_body": q_page_body,
     "page_status": q_page_status,

@@ -92,6 +92,7 @@ ORACLE: dict[str, str] = {
         "SELECT event_id, ts, user_id FROM events "
         "WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'"
     ),
+    "extract_sequence": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey > 7000",
     "high_water_mark": "SELECT MAX(ts) AS max_value FROM events",
     "watermark_text": (
         "SELECT event_id, CAST(ts AS VARCHAR) AS mark_ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS mark_date, "
@@ -124,6 +125,15 @@ ORACLE: dict[str, str] = {
         f"SELECT {HIST_COLS}, del_flag FROM flagged WHERE is_current "
         "AND NOT (UPPER(CAST(del_flag AS VARCHAR)) IN ('Y', 'YES', 'TRUE', '1', 'D'))"
     ),
+    "scd2_current_null_live": _with(
+        BRONZE, HIST,
+        "flagged AS (SELECT *, CASE WHEN event_type = 'error' THEN 'YES' WHEN event_type = 'view' THEN NULL "
+        "ELSE 'no' END AS del_flag FROM hist)",
+    ) + (
+        f"SELECT {HIST_COLS}, del_flag FROM flagged WHERE is_current "
+        "AND (del_flag IS NULL OR NOT (UPPER(CAST(del_flag AS VARCHAR)) IN ('Y', 'YES', 'TRUE', '1', 'D')))"
+    ),
+    "scd2_hot_split": _with(BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
     "scd2_sequence": (
         "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderkey AS effective_from, "
         "LEAD(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS effective_to, "
@@ -229,6 +239,10 @@ ORACLE: dict[str, str] = {
         "LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey LEFT JOIN part p ON l.l_partkey = p.p_partkey "
         "LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey"
     ),
+    "skew_join_salted": (
+        "SELECT o.o_orderkey, o.o_orderstatus, l.l_linenumber, l.l_partkey "
+        "FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey"
+    ),
     "serving_sparse": (
         "SELECT o.o_orderkey, c.c_name, p.p_name, GREATEST(o.o_orderdate, p.d) AS serving_effective_from "
         "FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING') c "
