@@ -45,8 +45,10 @@ SCD2_COLUMNS = ("effective_from", "effective_to", "is_current")
 
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
 SAMPLES_PER_BUCKET = 20
-# Upper bound on broadcast bucket rows (bucket edges of all hot keys).
-MAX_BROADCAST_BUCKETS = 2_000_000
+# Broadcast bound for the bucket-edge and stitch tables: one row per bucket of
+# a hot key (about 100 bytes each), so 100k buckets stay near 10 MB; above it
+# the same tables are joined without a broadcast hint.
+MAX_BROADCAST_BUCKETS = 100_000
 _SAMPLE_SEED = 20240101
 
 

@@ -23,7 +23,8 @@ from strata.session import cut_lineage
 
 DEFAULT_ROWS_PER_TASK = 4_000_000
 SAMPLES_PER_TASK = 20
-MAX_HOT_KEYS = 1_000_000
+# Broadcast bound for the hot-key table (key + salt count per row).
+MAX_HOT_KEYS = 500_000
 _SEED = 7
 
 
