@@ -130,6 +130,18 @@ def _total(store: TableStore, name: str, head, dropped_parts: list[str], added:
     return old - store.read_parts(head.schema, dropped_parts).count() + added
 
 
+def fold_settings(cfg: SourceRegistration) -> dict:
+    """Everything the silver tables depend on besides the bronze rows; an
+    incremental fold is only valid when these are unchanged."""
+    return {
+        "keys": list(cfg.primary_keys),
+        "ordering": cfg.ordering_column,
+        "delete_column": cfg.delete_indicator_column,
+        "deleted_values": list(cfg.deleted_values),
+        "null_flag_is_live": bool(cfg.options.get("null_flag_is_live", False)),
+    }
+
+
 def fold_silver(
     store: TableStore,
     cfg: SourceRegistration,
@@ -174,7 +186,7 @@ def fold_silver(
     history, rebuilt_obs = observed(history.drop(SUB_BUCKET))
     hist_schema = history.drop(BUCKET).schema
     hist_name, cur_name = cfg.silver_history_table, cfg.silver_current_table
-    note = {**(lineage or {}), "buckets": nb}
+    note = {**(lineage or {}), "buckets": nb, "settings": fold_settings(cfg)}
 
     # history: rewrite touched buckets, carry the rest
     hist_head = store.head(hist_name) if touched is not None else None
@@ -211,17 +223,18 @@ def fold_silver(
     return FoldResult(history_rows, current_rows, gold_rows, rebuilt_rows)
 
 
-def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int) -> set[int] | None:
+def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int,
+                      keys: list[str]) -> set[int] | None:
     """Touched buckets from the key hashes recorded by the landings after
-    version ``seen``; ``None`` when a landing did not record them or the
-    bucket count does not divide the recorded hash range."""
+    version ``seen``; ``None`` when a landing did not record them (or hashed
+    other key columns) or the bucket count does not divide the hash range."""
     if MAX_SILVER_BUCKETS % buckets:
         return None
     out: set[int] = set()
     for version in range(seen + 1, latest + 1):
         head = store.head(bronze, version)
         hashes = None if head is None else head.lineage.get("key_hashes")
-        if hashes is None:
+        if hashes is None or head.lineage.get("hash_keys") != list(keys):
             return None
         out.update(int(h) % buckets for h in hashes)
     return out
@@ -258,12 +271,16 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
         # between the two commits, or a restore of one table, forces a rebuild)
         and cur_head.lineage.get("bronze_version") == hist_head.lineage["bronze_version"]
         and cur_head.lineage.get("buckets") == nb
+        # a re-registration with other keys, ordering or delete rules rebuilds
+        and hist_head.lineage.get("settings") == fold_settings(cfg)
+        and cur_head.lineage.get("settings") == fold_settings(cfg)
     ):
         seen = store.head(cfg.bronze_table, hist_head.lineage["bronze_version"])
         if seen is not None and set(seen.parts) <= set(bronze_head.parts):
             fresh = [p for p in bronze_head.parts if p not in set(seen.parts)]
             new_rows = store.read_parts(bronze_head.schema, fresh)
-            touched = _recorded_buckets(store, cfg.bronze_table, seen.version, bronze_head.version, nb)
+            touched = _recorded_buckets(store, cfg.bronze_table, seen.version, bronze_head.version, nb,
+                                        cfg.primary_keys)
             if touched is None:  # not recorded at landing: one pass over the new rows
                 touched = {
                     int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
@@ -328,6 +345,7 @@ def run_source(
         note = {"batch_id": batch_id}
         if observed.get("hashes") is not None:
             note["key_hashes"] = sorted(int(h) for h in observed["hashes"])
+            note["hash_keys"] = list(cfg.primary_keys)
         store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
         results = [row_count_result(rows), required_columns_result(landed.columns, cfg.required_columns)]
         control.insert_quality_results(batch_id, source_name, results)

@@ -312,3 +312,22 @@ def test_incremental_by_numeric_sequence_and_date(spark):
         assert (run["rows_read"], run["watermark_value"]) == (1, str(values[2]))
         cur = {r["id"]: str(r[column]) for r in store.read("demo.silver.s_cur").collect()}
         assert cur == {1: str(values[2]), 2: str(values[1])}
+
+
+def test_reregistered_keys_rebuild_silver(spark):
+    """Changing the primary keys between runs must not merge into history
+    laid out for the old keys: the next fold rebuilds."""
+    store, control = make(spark, delete=None, options_json='{"silver_buckets": 4}')
+    stage(spark, store, BATCH_A)
+    run_source(spark, control, "src", as_of="2026-01-01 12:00:00")
+    control.register([{"source_name": "src", "source_object": "demo.staging.src", "load_mode": "CDC",
+                       "watermark_column": "ts", "watermark_type": "TIMESTAMP", "primary_keys": ["grp"],
+                       "bronze_table": "demo.bronze.src", "silver_current_table": "demo.silver.src_current",
+                       "silver_history_table": "demo.silver.src_history", "gold_table": "demo.gold.src",
+                       "options_json": '{"silver_buckets": 4}'}])
+    stage(spark, store, BATCH_B)
+    run_source(spark, control, "src", as_of="2026-01-02 12:00:00")
+    cur = sorted((r["grp"], r["val"]) for r in store.read("demo.silver.src_current").collect())
+    assert cur == [("a", "v2"), ("b", "null-key-2")]  # one current row per group over all bronze rows
+    hist = store.read("demo.silver.src_history")
+    assert hist.count() == 7 and hist.where("is_current").count() == 2
