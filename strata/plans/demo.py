@@ -212,3 +212,28 @@ def run_demo(spark: SparkSession, store: TableStore, as_of: tuple[str, str, str]
                           notes="Rebuild customer history and current from bronze")
     run_replay(spark, control, 9001)
     return control
+
+
+def main() -> None:
+    """Run the demo into the session's warehouse and show what it produced."""
+    from strata.session import build_session, warehouse_root
+
+    spark = build_session("strata-demo")
+    try:
+        store = TableStore(spark, warehouse_root(spark) + "/demo_catalog")
+        control = run_demo(spark, store)
+        control.run_log().select(
+            "batch_id", "source_name", "run_mode", "run_status", "rows_read", "silver_rows_written", "watermark_value"
+        ).orderBy("batch_id").show(truncate=False)
+        for layer in ("silver", "gold"):
+            for name, preview in store.preview(f"{CATALOG}.{layer}").items():
+                print(f"=== {name}")
+                preview.show(truncate=False)
+        store.read(f"{CATALOG}.gold.sales_order_fulfillment").orderBy("order_id").show(truncate=False)
+        control.replay_requests().select("replay_request_id", "source_name", "request_status").show()
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()
