@@ -30,5 +30,14 @@ def test_function_api_round_trip(spark):
         assert api.list_requested_replays(spark, "demo") == [5]
         assert api.run_replay_request(spark, 5, "demo") == 1002
         assert api.get_replay_request(spark, 5, "demo").request_status == "COMPLETED"
+        current = "demo.silver.customer_current"
+        first = store.head(current).version
+        api.run_pipeline_for_source(spark, "orders", catalog="demo", forced_batch_id=1101)
+        api.restore_table_version(spark, current, first)
+        assert store.read(current).count() == 2 and store.head(current).lineage == {"restored_from": first}
+        run = api.create_batch_run(spark, "orders", "MANUAL", "tester", "demo")
+        api.finalize_batch_run(spark, run, "orders", "demo", "FAILED", error_message="stopped by hand")
+        row = api.control_plane(spark, "demo").run_log().where(f"batch_id = {run}").first()
+        assert (row["run_status"], row["error_message"]) == ("FAILED", "stopped by hand")
     finally:
         spark.conf.unset("strata.warehouse")
