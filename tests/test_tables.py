@@ -120,3 +120,14 @@ def test_control_update_retries_on_conflict(spark, store, monkeypatch):
     monkeypatch.setattr(store, "read", real_read)
     marks = {r["source_name"]: r["last_successful_watermark"] for r in control.registrations().collect()}
     assert marks == {"a": "mark-a", "b": "mark-b"}  # neither update is lost
+
+
+def test_latest_version_hint_may_lag(spark, store):
+    for i in range(4):
+        store.append("h.t", spark.range(i, i + 1))
+    store._write_hint("h.t", 2)  # a hint that lags behind (e.g. a concurrent writer's)
+    fresh = TableStore(spark, store.root)
+    assert fresh.head("h.t").version == 4 and fresh.read("h.t").count() == 4
+    fs, jpath = store._fs(f"{store._log_path('h.t')}/_last")
+    fs.delete(jpath, False)  # no hint at all: the log is listed
+    assert TableStore(spark, store.root).head("h.t").version == 4
