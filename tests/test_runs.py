@@ -241,7 +241,7 @@ batch_rows = st.lists(
 )
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(batches=st.lists(batch_rows, min_size=2, max_size=3))
 def test_incremental_folds_equal_one_full_rebuild(spark, batches):
     """Any sequence of landed batches, folded incrementally into 4 buckets,
