@@ -32,8 +32,8 @@ def _row_sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return total[ptr[1:]] - total[ptr[:-1]]
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int, rounds: int = 60,
-        rate: float = 0.5, decay: float = 1e-6, seed: int = 7) -> HashedModel | None:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int, rounds: int = 20,
+        rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> HashedModel | None:
     """Adagrad over sparse rows ``(feature ids, values)``; every fifth row is
     held back for the calibration.  None when only one class is present."""
     labels = np.asarray(labels, np.float64)
@@ -69,20 +69,25 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int,
 
 
 def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Newton steps on the two-parameter logistic fit, with Platt's soft targets."""
+    """Two-parameter logistic fit with Platt's soft targets: Newton steps on a
+    ridge towards (1, 0), halved until the loss falls."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+
+    def loss(a, c):
+        z = a * raw + c
+        return (np.logaddexp(0, z) - t * z).sum() + 0.5 * (a - 1) ** 2 + 0.5 * c * c
+
     a, c = 1.0, 0.0
     for _ in range(50):
         p = sigmoid(a * raw + c)
-        d, v = p - t, np.maximum(p * (1 - p), 1e-9)
-        ga, gc = (d * raw).sum() + 1e-3 * (a - 1), d.sum()
-        haa, hac, hcc = (v * raw * raw).sum() + 1e-3, (v * raw).sum(), v.sum() + 1e-9
-        det = haa * hcc - hac * hac
-        if det <= 1e-12:
-            break
-        step_a, step_c = (hcc * ga - hac * gc) / det, (haa * gc - hac * ga) / det
-        a, c = a - step_a, c - step_c
-        if abs(step_a) + abs(step_c) < 1e-9:
+        d, v = p - t, p * (1 - p)
+        grad = np.array([(d * raw).sum() + a - 1, d.sum() + c])
+        step = np.linalg.solve([[(v * raw * raw).sum() + 1, (v * raw).sum()], [(v * raw).sum(), v.sum() + 1]], grad)
+        share, now = 1.0, loss(a, c)
+        while share > 1e-6 and loss(a - share * step[0], c - share * step[1]) > now:
+            share /= 2
+        a, c = a - share * step[0], c - share * step[1]
+        if abs(step).max() < 1e-9:
             break
-    return (float(a), float(c)) if np.isfinite(a) and np.isfinite(c) and a > 0 else (1.0, 0.0)
+    return (float(a), float(c)) if a > 0 else (1.0, 0.0)
