@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules
+from strata.llm import packing, page_text, piece_encoding, quality_rules, secret_scan
 from strata.llm.common import table
 
 
@@ -16,7 +16,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_scores(docs, model)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, decoded again; the text comes back as a hash."""
+    decoded = piece_encoding.decode(piece_encoding.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", "n_ids", "ids_crc32", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
+    "op5_packing": op5_packing,
+    "op9_page_text": op9_page_text,
+    "op10_piece_encoding": op10_piece_encoding,
     "op6_quality_rules": op6_quality_rules,
 }
 
