@@ -155,3 +155,43 @@ def keep_columns(df: DataFrame, *names: str) -> DataFrame:
 
 def partitions_for(spark: SparkSession, floor: int = 1) -> int:
     return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a fresh folder of the shared checkpoint folder and read it
+    back: lineage ends there, and an executor's loss costs no recomputation."""
+    import uuid
+
+    from strata.session import checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/strata-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b); root is the smallest node
+    of its connected component.
+
+    Alternating large-star and small-star rounds: each is one grouped minimum
+    and one join, and no node's neighbours are gathered in one place."""
+
+    def minima(pairs):  # (u, v) -> smallest of u and its neighbours
+        return pairs.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
+
+    e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    before = None
+    while True:
+        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.join(minima(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        small = (large.join(minima(large), "u")
+                 .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("p"))
+                 .select("p.*").where("u != v").distinct())
+        e = materialize(small)
+        now = tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+        if now == before:
+            break
+        before = now
+    roots = e.select("v").distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, page_text, piece_encoding, quality_rules, secret_scan
+from strata.llm import jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan
 from strata.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op9_page_text": op9_page_text,
     "op10_piece_encoding": op10_piece_encoding,
