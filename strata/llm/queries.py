@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan
+from strata.llm import jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan, suffix_dedup
 from strata.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_scores(docs, model)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remaining(table(spark, sf_dir, "documents")).drop("ranges")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -40,6 +44,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
