@@ -20,8 +20,6 @@ ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
-from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -145,34 +143,32 @@ def _default_path() -> str:
 
 
 class Bm25:
-    """Inverted index over one shard's documents, term -> (documents, weights)."""
+    """Inverted index over one shard's documents: postings sorted by term, with
+    the BM25 weight of each (term, document)."""
 
     def __init__(self, docs: list[np.ndarray]):
-        bags = [Counter(d.tolist()) for d in docs]
-        size = np.array([max(len(d), 1) for d in docs], float)
-        norm = K1 * (1 - B + B * size / max(size.mean(), 1.0)) if len(docs) else size
-        posting: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, bag in enumerate(bags):
-            for term, tf in bag.items():
-                posting[term].append((i, tf))
-        n = len(docs)
-        self.bags, self.idf, self.posting = bags, {}, {}
-        for term, hits in posting.items():
-            if len(hits) > 1:
-                self.idf[term] = log(1 + (n - len(hits) + 0.5) / (len(hits) + 0.5))
-                ids = np.array([h[0] for h in hits])
-                tf = np.array([h[1] for h in hits], float)
-                self.posting[term] = (ids, self.idf[term] * tf * (K1 + 1) / (tf + norm[ids]))
-        self.n = n
+        n = self.n = len(docs)
+        size = np.array([len(d) for d in docs], np.int64)
+        key = np.concatenate([*docs, np.zeros(0, np.uint32)]).astype(np.int64) * max(n, 1) + np.repeat(np.arange(n), size)
+        key, tf = np.unique(key, return_counts=True)
+        term, self.doc = key // max(n, 1), key % max(n, 1)
+        self.first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
+        hits = np.diff(np.r_[self.first, len(term)])
+        idf = np.repeat(np.log(1 + (n - hits + 0.5) / (hits + 0.5)) * (hits > 1), hits)
+        norm = K1 * (1 - B + B * size / max(size.mean() if n else 0.0, 1.0))
+        self.weight = idf * tf * (K1 + 1) / (tf + norm[self.doc])
+        self.last = self.first + hits
+        self.slot = np.repeat(np.arange(len(hits)), hits)  # posting list of each entry
+        # a document's own entries, the most telling first (then by term)
+        self.order = np.lexsort((term, -idf * tf / (tf + K1), self.doc))
+        self.start = np.searchsorted(self.doc[self.order], np.arange(n + 1))
 
     def neighbours(self, doc: int) -> np.ndarray:
         """Other documents by falling score (ties: smaller position)."""
-        bag = self.bags[doc]
-        terms = sorted((t for t in bag if t in self.idf), key=lambda t: (-self.idf[t] * bag[t] / (bag[t] + K1), t))[:QUERY_TERMS]
         score = np.zeros(self.n)
-        for t in terms:
-            ids, weight = self.posting[t]
-            score[ids] += weight
+        for entry in self.order[self.start[doc] : min(self.start[doc] + QUERY_TERMS, self.start[doc + 1])]:
+            lo, hi = self.first[self.slot[entry]], self.last[self.slot[entry]]
+            score[self.doc[lo:hi]] += self.weight[lo:hi]
         score[doc] = 0
         order = np.argsort(-score, kind="stable")
         return order[score[order] > 0]

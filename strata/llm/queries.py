@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan, suffix_dedup
+from strata.llm import (jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan, suffix_dedup, toxicity,
+                        vector_search)
 from strata.llm.common import table
 
 
@@ -24,6 +25,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.similar_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -33,6 +39,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
@@ -46,8 +56,10 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
+    "op7_vector_search": op7_vector_search,
     "op9_page_text": op9_page_text,
     "op10_piece_encoding": op10_piece_encoding,
     "op6_quality_rules": op6_quality_rules,
