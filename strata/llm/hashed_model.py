@@ -33,9 +33,11 @@ def _row_sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int, rounds: int = 20,
-        rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> HashedModel | None:
+        rate: float = 0.1, decay: float = 1e-4, seed: int = 7, least_z: float = 0.0) -> HashedModel | None:
     """Adagrad over sparse rows ``(feature ids, values)``; every fifth row is
-    held back for the calibration.  None when only one class is present."""
+    held back for the calibration.  None when only one class is present.  With
+    ``least_z`` only features whose presence differs between the classes by that
+    many standard errors (of the smoothed log odds) get a weight."""
     labels = np.asarray(labels, np.float64)
     if len(labels) == 0 or labels.min() == labels.max():
         return None
@@ -43,6 +45,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int,
     held = order[::5] if len(rows) >= 50 else order[:0]
     train = np.setdiff1d(order, held)
     np.random.default_rng(seed).shuffle(train)
+    allowed = np.ones(dim)
+    if least_z:
+        n1, n0 = (np.bincount(np.concatenate([rows[i][0] for i in train if labels[i] == k]), minlength=dim) + 0.5 for k in (1, 0))
+        odds = np.log(n1 / (labels[train].sum() + 1)) - np.log(n0 / ((1 - labels[train]).sum() + 1))
+        allowed = (np.abs(odds) >= least_z * np.sqrt(1 / n1 + 1 / n0)).astype(float)
     w, g2, b, gb2 = np.zeros(dim), np.full(dim, 1e-8), 0.0, 1e-8
     size = max(16, len(train) // 40)
     batches = []
@@ -56,7 +63,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int,
         for ids, ptr, idx, val in batches:
             err = (sigmoid(_row_sums(w[idx] * val, ptr) + b) - labels[ids]) * weight[ids] / len(ids)
             grad = np.bincount(idx, np.repeat(err, np.diff(ptr)) * val, minlength=dim)
-            grad += decay * w
+            grad = (grad + decay * w) * allowed
             g2 += grad * grad
             w -= rate * grad / np.sqrt(g2)
             gb2 += err.sum() ** 2

@@ -220,7 +220,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 9000) -> tuple[np.
     rows = (texts.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("label", "text")
             .mapInArrow(_sparse_rows(chars), "label int, ids binary").orderBy("ids", "label").limit(2 * max_rows).toArrow())
     feats = [np.frombuffer(i, np.int32) for i in rows.column("ids").to_pylist()]
-    model = fit([(f, np.ones(len(f), np.float32)) for f in feats], np.array(rows.column("label").to_pylist(), float), DIM, rounds=15, rate=0.05, decay=1e-5)
+    model = fit([(f, np.ones(len(f), np.float32)) for f in feats], np.array(rows.column("label").to_pylist(), float), DIM,
+                rounds=30, least_z=4.0)
     if model is None:
         model = HashedModel(np.zeros(DIM, np.float32), math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     return chars, model
