@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (jaccard_join, packing, page_text, piece_encoding, quality_rules, secret_scan, suffix_dedup, toxicity,
-                        vector_search)
+from strata.llm import (jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+                        toxicity, vector_search)
 from strata.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_scores.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op7_vector_search": op7_vector_search,
+    "op8_ppm_scores": op8_ppm_scores,
     "op9_page_text": op9_page_text,
     "op10_piece_encoding": op10_piece_encoding,
     "op6_quality_rules": op6_quality_rules,
