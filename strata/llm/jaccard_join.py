@@ -339,9 +339,14 @@ def _set_prefixes(order: int, levels: np.ndarray, percent: int):
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents without those whose component has a smaller id; of equal
-    rows with that id one stays."""
-    found = similar_components(docs, width, percent)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]) if "text" in docs.columns else kept
+    """One document of each component, the one that names it; all columns stay.
+
+    Of rows equal in id and text one stays.  Rows without an id stay unless their
+    component is named by an id or they repeat such a row."""
+    found = materialize(similar_components(docs, width, percent))
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    stay = materialize(stay)
+    kept = docs.join(stay.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    if stay.where("_rows > 1").limit(1).count() == 0:
+        return kept
+    return kept.dropDuplicates(["doc_id", "text"])

@@ -1,7 +1,7 @@
 """LM scoring by prediction by partial matching, pretrained on the corpus.
 
-The model is a byte-context trie of order 4 counted over the training documents
-(A-Z lower-cased, four start marks before and one end symbol after each text).
+The model is a byte-context trie of order 5 counted over the training documents
+(A-Z lower-cased, five start marks before and one end symbol after each text).
 A symbol unseen in a context escapes to the next shorter one; an escape is
 charged by method C (distinct symbols / (count + distinct symbols)), and symbols
 of the longer context are excluded below.  A text's score is the log10
@@ -9,10 +9,10 @@ probability of its bytes and its end.
 
 Neither the trie nor the word counts are broadcast: they grow with the corpus.
 Documents are dealt to blocks of about ``BLOCK_BYTES``.  A block sends its
-distinct byte 5-grams and word hashes, with their training counts, to trie
-buckets (5-grams by the last two context bytes, so a bucket owns the orders 4 to
+distinct byte 6-grams and word hashes, with their training counts, to trie
+buckets (6-grams by the last two context bytes, so a bucket owns the orders 5 to
 2 of its contexts).  A bucket adds the counts and sends back the log probability
-of each requested 5-gram and the count of each requested word; the block then
+of each requested 6-gram and the count of each requested word; the block then
 reads its documents' scores off.  Orders 1 and 0 are one dense table of 65,536
 counts.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import (FOLD, fold_of, keep_columns, materialize, mix, slices, span_hashes, text_buffer, text_hash,
                                word_spans)
 
-ORDER = 4
+ORDER = 5
 START, END = 0xFE, 0xFF  # bytes that no UTF-8 text holds
 BLOCK_BYTES = 16_000_000
 HELD_FOLD = 1
@@ -48,7 +48,7 @@ WORDS, GRAMS, TOTALS = 0, 1, 2
 
 
 def grams_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(5-gram, document) of every symbol, the end symbols included."""
+    """(6-gram, document) of every symbol, the end symbols included."""
     n = len(off) - 1
     doc = np.repeat(np.arange(n), np.diff(off))
     stream = np.full(len(buf) + (ORDER + 1) * n, START, np.uint8)
@@ -107,7 +107,7 @@ def _parts(data: pa.Table):
 
 
 def distinct_of(data: pa.Table):
-    """The block's distinct words and 5-grams with their training counts."""
+    """The block's distinct words and 6-grams with their training counts."""
     found = {WORDS: [], GRAMS: []}
     for part in _parts(data):
         buf, off = text_buffer(part.column("text"))
@@ -144,7 +144,7 @@ def _request(buckets: int):
 
 
 def log_probabilities(g: np.ndarray, c: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """log10 p(last byte | four bytes before) of sorted distinct 5-grams, of which
+    """log10 p(last byte | five bytes before) of sorted distinct 6-grams, of which
     ``c`` were seen in training; ``pairs[x, y]`` counts y after x over the corpus.
 
     The symbols of a context are also symbols of every shorter one, so at order
