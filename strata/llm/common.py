@@ -30,7 +30,16 @@ _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_CODE = np.random.default_rng(20240607).integers(1, 1 << 63, 256).astype(np.uint64)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows, unless the cluster says otherwise:
+    texts are long, and a batch is held by the JVM and by Python at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -344,9 +344,9 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     Of rows equal in id and text one stays.  Rows without an id stay unless their
     component is named by an id or they repeat such a row."""
     found = materialize(similar_components(docs, width, percent))
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
     stay = materialize(stay)
-    kept = docs.join(stay.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    if stay.where("_rows > 1").limit(1).count() == 0:
+    kept = docs.join(stay.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    if stay.where("__rows > 1").limit(1).count() == 0:
         return kept
     return kept.dropDuplicates(["doc_id", "text"])

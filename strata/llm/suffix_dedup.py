@@ -345,9 +345,9 @@ def _hot_windows(span: int):
 # ---- the operator -----------------------------------------------------------------------
 
 
-def _with_marks(docs: DataFrame, marks: DataFrame, how: str = "inner") -> DataFrame:
+def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     marks = marks.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("m").alias("found"))
-    return docs.join(marks, docs.doc_id.eqNullSafe(marks["_id"]) & (docs.th == marks["_th"]), how).drop("_id", "_th")
+    return docs.join(marks, docs.doc_id.eqNullSafe(marks["_id"]) & (docs.th == marks["_th"])).drop("_id", "_th")
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -387,9 +387,12 @@ def _cut(data: bytes, found) -> tuple[bytes, list[tuple[int, int]]]:
 
 
 def _joined(docs: DataFrame, span: int, gram: int, hot: int) -> DataFrame:
-    docs = docs.withColumn("th", text_hash(F.col("text")))
-    cuts = repeated_spans(keep_columns(docs, "doc_id", "text", "th"), span, gram, hot)
-    return _with_marks(docs, cuts.select("doc_id", "th", F.struct("lo", "hi").alias("m")), "left")
+    """The documents, all columns kept, with their repeated ranges (``__found``)."""
+    hashed = keep_columns(docs, "doc_id", "text").withColumn("th", text_hash(F.col("text")))
+    cuts = repeated_spans(hashed, span, gram, hot).select("doc_id", "th", F.struct("lo", "hi").alias("m"))
+    marks = cuts.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("m").alias("__found"))
+    same = docs.doc_id.eqNullSafe(marks["__id"]) & (text_hash(docs.text) == marks["__th"])
+    return docs.join(marks, same, "left").drop("__id", "__th")
 
 
 def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -399,7 +402,7 @@ def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HO
         for batch in batches:
             for part in slices(batch):
                 out = []
-                for doc_id, text, found in zip(part.column("doc_id").to_pylist(), part.column("text"), part.column("found").to_pylist()):
+                for doc_id, text, found in zip(part.column("doc_id").to_pylist(), part.column("text"), part.column("__found").to_pylist()):
                     data = text.as_buffer().to_pybytes() if text.is_valid else b""
                     kept, ranges = _cut(data, found)
                     out.append({"doc_id": doc_id, "n_bytes": len(data), "n_removed": len(data) - len(kept), "n_spans": len(ranges),
@@ -408,7 +411,7 @@ def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HO
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                         ("kept_sha256", pa.string()), ("ranges", pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))])
-    return (_joined(keep_columns(docs, "doc_id", "text"), span, gram, hot).select("doc_id", "text", "found")
+    return (_joined(keep_columns(docs, "doc_id", "text"), span, gram, hot).select("doc_id", "text", "__found")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, ranges array<struct<lo:long,hi:long>>"))
 
 
@@ -421,7 +424,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                text, found = part.column("text"), part.column("found").to_pylist()
+                text, found = part.column("text"), part.column("__found").to_pylist()
                 new = [_cut(t.as_buffer().to_pybytes(), f)[0].decode("utf-8", "ignore") if f else t.as_py() for t, f in zip(text, found)]
                 keep = [i for i, (t, f) in enumerate(zip(new, found)) if not f or t.strip()]
                 columns = []
@@ -434,4 +437,4 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
                     columns.append(column)
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields]).take(pa.array(keep, pa.int64()))
 
-    return _joined(docs, span, gram, hot).select(*[F.col(c) for c in schema.names], "found").mapInArrow(run, schema)
+    return _joined(docs, span, gram, hot).select(*[F.col(c) for c in schema.names], "__found").mapInArrow(run, schema)
