@@ -36,9 +36,9 @@ from strata.llm.common import (FOLD, components, keep_columns, materialize, mix,
 
 WIDTH = 4
 PERCENT = 85
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 ORDERS = 3
-HOOK_ROUNDS = 3
+HOOK_ROUNDS = 2
 SPREAD = 8
 
 
@@ -125,7 +125,7 @@ def _add_counts(batches):
 
 
 def frequency_levels(census: DataFrame) -> np.ndarray:
-    """log2 levels of the sketch: 64 blocks, 2 MB in all whatever the input."""
+    """log2 levels of the sketch: 64 blocks, 8 MB in all whatever the input."""
     added = (census.where("block >= 0").select("block", "counts").repartition(16, "block").sortWithinPartitions("block")
              .mapInArrow(_add_counts, "block int, counts binary").collect())
     counts = np.zeros((64, (1 << SKETCH_BITS) // 64), np.int64)
@@ -179,28 +179,35 @@ def _by_token(batches, names):
         yield held
 
 
-def _shared(batches):
-    """The rows of tokens that several classes have, each (token, class) once."""
-    for token, cls, n, pos in _by_token(batches, ["token", "cls", "n", "pos"]):
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1])
-        token, cls, n, pos = token[new], cls[new], n[new], pos[new]
-        both = np.zeros(len(token), bool)
-        same = token[1:] == token[:-1]
-        both[1:] = same
-        both[:-1] |= same
-        if both.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[both]) for c in (token, cls, n, pos)], names=["token", "cls", "n", "pos"])
+def _shared(percent: int):
+    """The rows of tokens that another class of a fitting size has too, each
+    (token, class) once.  Next to its neighbours by size a class sees at once
+    whether any class of its token fits."""
+
+    def run(batches):
+        for token, cls, n, pos in _by_token(batches, ["token", "cls", "n", "pos"]):
+            order = np.lexsort((cls, n, token))
+            token, cls, n, pos = (c[order] for c in (token, cls, n, pos))
+            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1])][: len(token)]
+            token, cls, n, pos = token[new], cls[new], n[new], pos[new]
+            fits = (token[1:] == token[:-1]) & (least_overlap(n[1:].astype(np.int64), percent) <= n[:-1])
+            both = np.r_[False, fits][: len(token)]
+            both[: len(fits)] |= fits
+            if both.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[both]) for c in (token, cls, n, pos)], names=["token", "cls", "n", "pos"])
+
+    return run
 
 
 def sorted_by_token(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token", "cls", "n")
 
 
-def _bound(n1, p1, n2, p2, percent):
-    """Whether a pair whose first shared prefix token stands at these positions
-    can still overlap enough."""
-    return (100 + percent) * np.minimum(n1 - p1, n2 - p2) >= percent * (n1 + n2)
+def _fit(n1, p1, n2, p2, percent):
+    """Whether sizes allow a link, and positions too if this is the first prefix
+    token that the pair shares."""
+    sizes = least_overlap(np.maximum(n1, n2), percent) <= np.minimum(n1, n2)
+    return sizes & ((100 + percent) * np.minimum(n1 - p1, n2 - p2) >= percent * (n1 + n2))
 
 
 def _hooks(turn: int, percent: int):
@@ -216,8 +223,8 @@ def _hooks(turn: int, percent: int):
             token, cls, n, pos, root = (c[order] for c in (token, cls, n, pos, root))
             first = np.r_[True, token[1:] != token[:-1]]
             lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-            ok = (root != root[lead]) & (least_overlap(np.maximum(n, n[lead]), percent) <= np.minimum(n, n[lead])) \
-                & _bound(n, pos, n[lead], pos[lead], percent)
+            n, pos = n.astype(np.int64), pos.astype(np.int64)
+            ok = (root != root[lead]) & _fit(n, pos, n[lead], pos[lead], percent)
             if ok.any():
                 yield pa.RecordBatch.from_arrays([pa.array(cls[ok]), pa.array(cls[lead][ok])], names=["a", "b"])
 
@@ -230,15 +237,22 @@ def _crossings(percent: int):
 
     def run(batches):
         for token, cls, n, pos, root in _by_token(batches, ["token", "cls", "n", "pos", "root"]):
+            n, pos = n.astype(np.int64), pos.astype(np.int64)
             edges = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
+            two = edges[:-1][np.diff(edges) == 2]  # most groups hold two classes
+            ok = (root[two] != root[two + 1]) & _fit(n[two], pos[two], n[two + 1], pos[two + 1], percent)
+            a, b = cls[two[ok]], cls[two[ok] + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             for lo, hi in zip(edges[:-1], edges[1:]):
+                if hi - lo < 3:
+                    continue
                 r = root[lo:hi]
                 if (r == r[0]).all():
                     continue
-                c, size, at = cls[lo:hi], n[lo:hi].astype(np.int64), pos[lo:hi].astype(np.int64)
+                c, size, at = cls[lo:hi], n[lo:hi], pos[lo:hi]
                 names, group, many = np.unique(r, return_inverse=True, return_counts=True)
                 for i in np.flatnonzero(group != many.argmax()):  # members of the largest component meet only the others
-                    ok = (r != r[i]) & (least_overlap(np.maximum(size, size[i]), percent) <= np.minimum(size, size[i])) & _bound(size, at, size[i], at[i], percent)
+                    ok = (r != r[i]) & _fit(size, at, size[i], at[i], percent)
                     ok &= (group == many.argmax()) | (c > c[i])
                     if ok.any():
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[ok], c[i])), pa.array(np.maximum(c[ok], c[i]))], names=["a", "b"])
@@ -272,7 +286,7 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     census = materialize(docs.mapInArrow(_census(width), "doc_id long, n long, cls long, block int, counts binary"))
     rows = census.where("block < 0").select("doc_id", "n", "cls")
     levels = frequency_levels(census)
-    shared = materialize(sorted_by_token(docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA)).mapInArrow(_shared, PREFIX_SCHEMA))
+    shared = materialize(sorted_by_token(docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA)).mapInArrow(_shared(percent), PREFIX_SCHEMA))
     classes = rows.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("least"))
     names = components(_links(docs, rows, classes, shared, levels, width, percent))
     least = classes.join(names, classes.cls == names.node, "left").select("cls", "n", "least", F.coalesce("root", "cls").alias("root"))
@@ -298,28 +312,20 @@ def _links(docs, rows, classes, shared, levels, width, percent) -> DataFrame:
     links = None
     roots = None
     for turn in range(HOOK_ROUNDS):
-        pairs = _with_roots(shared, roots).mapInArrow(_hooks(turn, percent), "a long, b long")
+        pairs = sorted_by_token(_with_roots(shared, roots)).mapInArrow(_hooks(turn, percent), "a long, b long")
         votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
         best = votes.groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
         found = materialize(verified(best, sets, percent))
         links = found if links is None else links.union(found)
         roots = components(links)
-    parts = [_with_roots(shared, roots)]
-    alive = _alive(parts[0])
+    first = materialize(_with_roots(shared, roots))
+    found = materialize(sorted_by_token(first).mapInArrow(_crossings(percent), "a long, b long").distinct())
+    alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
+    few = materialize(sets.join(alive, "cls", "left_semi"))
     for order in range(1, ORDERS):
-        prefixes = sets.join(alive, "cls", "left_semi").mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA)
-        parts.append(_with_roots(prefixes, roots))
-    found = None
-    for part in parts:
-        pairs = part.mapInArrow(_crossings(percent), "a long, b long").distinct()
-        found = pairs if found is None else found.join(pairs, ["a", "b"], "left_semi")
-    return links.union(materialize(verified(found, sets, percent)))
-
-
-def _alive(rows: DataFrame) -> DataFrame:
-    """Classes on a token whose group still spans several components."""
-    open_tokens = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
-    return rows.join(open_tokens, "token", "left_semi").select("cls").distinct()
+        prefixes = _with_roots(few.mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA), roots)
+        found = found.join(sorted_by_token(prefixes).mapInArrow(_crossings(percent), "a long, b long").distinct(), ["a", "b"], "left_semi")
+    return links.union(materialize(verified(found, few, percent)))
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -327,7 +333,7 @@ def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
         named = rows.withColumn("root", F.col("cls"))
     else:
         named = rows.join(roots, rows.cls == roots.node, "left").select("token", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-    return sorted_by_token(named)
+    return named
 
 
 def _set_prefixes(order: int, levels: np.ndarray, percent: int):

@@ -61,10 +61,22 @@ class WordTokens(dict):
         self[word] = ids
         return ids
 
-    def learn(self, words: set[str]) -> None:
-        """Encode many new strings in one call, told apart by a lone digit
-        (always a token of its own); strings that hold that digit are left to
-        ``__missing__``."""
+    def learn(self, words: list[str]) -> None:
+        """Encode new strings.  A word of plain letters with at most one mark
+        behind it has the ids of the lower-cased word, then those of the mark, so
+        such strings share their words' ids."""
+        parts = {}
+        for w in words:
+            core, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" else (w, "")
+            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
+                parts[w] = (core.lower(), mark)
+        self._encode({p for pair in parts.values() for p in pair if p and p not in self} | {w for w in words if w not in parts})
+        for w, (core, mark) in parts.items():
+            self[w] = self[core] + (self[mark] if mark else b"")
+
+    def _encode(self, words: set[str]) -> None:
+        """Many strings in one call, told apart by a lone digit (always a token
+        of its own); strings that hold that digit are left to ``__missing__``."""
         words = [w for w in words if "0" not in w]
         stop = self.tokenizer.encode("0", add_special_tokens=False).ids
         if len(words) < 2 or len(stop) != 1:
