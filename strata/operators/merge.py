@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -43,11 +43,15 @@ def upsert(
 
     Target columns outside ``update_columns`` keep their value on a match;
     inserted rows take every column the source has (NULL for the others).
-    Output has the target's columns in the target's order.
+    Output has the target's columns in the target's order.  Two source rows that
+    match one target row make the job fail.
     """
     keys = list(keys)
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
+    # several source rows for one target row have no defined result; the count
+    # shares the join's partitioning by key
+    same_key = Window.partitionBy(*[F.col(f"s_{k}") for k in keys])
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns]).withColumn("_s", F.count(F.lit(1)).over(same_key))
     cond = None
     for k in keys:
         part = F.col(f"t_{k}") == F.col(f"s_{k}")
@@ -55,12 +59,14 @@ def upsert(
     joined = t.join(s, cond, "full_outer")
     in_t = F.col("_t").isNotNull()
     in_s = F.col("_s").isNotNull()
+    repeated = in_t & (F.col("_s") > 1)
     out = []
     for c in target.columns:
         dtype = target.schema[c].dataType
         src = F.col(f"s_{c}").cast(dtype) if c in source.columns else F.lit(None).cast(dtype)
         if c in keys:
-            expr = F.when(in_t, F.col(f"t_{c}")).otherwise(src)
+            clash = F.raise_error(F.lit(f"Upsert: several source rows match one target row on {', '.join(keys)}"))
+            expr = F.when(repeated, clash.cast(dtype)).when(in_t, F.col(f"t_{c}")).otherwise(src)
         elif c in update_columns:
             expr = F.when(in_s, src).otherwise(F.col(f"t_{c}"))
         else:

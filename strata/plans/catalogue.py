@@ -47,7 +47,7 @@ from strata.operators.skew import skew_left_join
 from strata.plans.control import ControlPlane, next_id, normalize_registrations, status_assignments
 from strata.plans.metrics import run_counts
 from strata.plans.replay import run_replay
-from strata.plans.runs import run_source
+from strata.plans.runs import run_source, write_buckets
 from strata.session import warehouse_root
 from strata.sources.extract import date_range_predicate, extract_window, high_water_mark, source_frame
 from strata.sources.tables import TableStore
@@ -60,8 +60,8 @@ TABLES = (
 # Scenario constants (batch cut-offs, load instants, replay windows).
 BATCH1_END = "2024-01-15 00:00:00"
 BATCH1_LOAD = "2024-01-15 01:00:00"
-BATCH2_END = "2024-01-31 01:00:00"
-BATCH2_LOAD = "2024-01-31 01:00:00"
+BATCH2_END = "2200-01-01 00:00:00"
+BATCH2_LOAD = "2200-01-01 00:00:00"
 RANGE_START = "2024-01-29 00:00:00"
 RANGE_END = "2024-01-29 06:00:00"
 ENTITY_PREDICATE = "user_id IN (3, 7, 11) OR value > 200"
@@ -357,14 +357,9 @@ def q_union_by_name_evolve(spark, d):
 
 
 # ------------------------------------------------- runs, replays, restores
-def _events_control(spark, d, options_json: str = '{"required_columns": ["event_id", "ts", "user_id"]}') -> ControlPlane:
-    """A fresh catalog with the events source registered (not yet run)."""
-    store = scratch_store(spark)
-    read(spark, d, "events").select(*EVENT_COLUMNS).createOrReplaceTempView("events_src")
-    control = ControlPlane(store)
-    control.bootstrap()
+def _events_row(options_json: str) -> dict:
     reg = events_registration()
-    control.register([{
+    return {
         "source_name": reg.source_name, "source_type": "TABLE", "source_object": reg.source_object,
         "enabled": True, "load_mode": reg.load_mode, "watermark_column": "ts", "watermark_type": "TIMESTAMP",
         "primary_keys": ["user_id"], "bronze_table": reg.bronze_table,
@@ -372,7 +367,16 @@ def _events_control(spark, d, options_json: str = '{"required_columns": ["event_
         "gold_table": reg.gold_table, "silver_transform_name": "scd2_current_history",
         "gold_publish_name": "publish_current_snapshot",
         "options_json": options_json,
-    }])
+    }
+
+
+def _events_control(spark, d, options_json: str = '{"required_columns": ["event_id", "ts", "user_id"]}') -> ControlPlane:
+    """A fresh catalog with the events source registered (not yet run)."""
+    store = scratch_store(spark)
+    read(spark, d, "events").select(*EVENT_COLUMNS).createOrReplaceTempView("events_src")
+    control = ControlPlane(store)
+    control.bootstrap()
+    control.register([_events_row(options_json)])
     return control
 
 
@@ -384,25 +388,137 @@ def _two_runs(spark, d) -> tuple[ControlPlane, int]:
     return control, after_first
 
 
+def _history_view(control: ControlPlane) -> DataFrame:
+    hist = control.store.read("demo.silver.events_history")
+    # load instants are session-zone timestamps; their wall-clock text is zone-free
+    return hist.withColumn("bronze_load_ts", F.col("bronze_load_ts").cast("timestamp_ntz")).select(*HISTORY_VIEW_COLUMNS)
+
+
+def _damage_silver(control: ControlPlane) -> None:
+    """Spoil both silver tables, in their own layout: every row is marked, and
+    the history loses its closed versions."""
+    for name in ("demo.silver.events_history", "demo.silver.events_current"):
+        head = control.store.head(name)
+        spoiled = control.store.read(name).where("is_current").withColumn("event_type", F.lit("damaged"))
+        parts, rows = write_buckets(control.store, name, spoiled, ["user_id"], head.lineage["buckets"])
+        control.store.replace_parts(name, parts, head.schema, rows, head.lineage)
+
+
 def _replay(spark, d, mode: str, **kw) -> DataFrame:
+    """Two runs, spoiled silver tables, then the replay: keys in its scope come
+    back whole, all others stay spoiled."""
     control, _ = _two_runs(spark, d)
+    _damage_silver(control)
     control.submit_replay(9001, "events", mode, **kw)
     run_replay(spark, control, 9001)
-    hist = control.store.read("demo.silver.events_history")
-    # load instants are session-zone timestamps; their wall-clock text is zone-free
-    return hist.withColumn("bronze_load_ts", F.col("bronze_load_ts").cast("timestamp_ntz")).select(*HISTORY_VIEW_COLUMNS)
+    return _history_view(control)
+
+
+# The failed run's instant in the replay-after-failure scenario.
+FAILED_RUN = "2024-01-22 00:00:00"
+
+
+def q_replay_after_failed_run(spark, d):
+    """Run 2 lands a batch and fails its gate, a partial replay follows, run 3
+    lands everything after the mark again: no landed row may be lost."""
+    control = _events_control(spark, d)
+    run_source(spark, control, "events", forced_batch_id=1, as_of=BATCH1_END)
+    control.register([_events_row('{"required_columns": ["missing_column"]}')])
+    try:
+        run_source(spark, control, "events", forced_batch_id=2, as_of=FAILED_RUN)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("run 2 must fail its quality gate")
+    control.register([_events_row('{"required_columns": ["event_id"]}')])
+    control.submit_replay(9003, "events", "ENTITY", entity_predicate="user_id = 3")
+    run_replay(spark, control, 9003)
+    run_source(spark, control, "events", forced_batch_id=7, as_of=BATCH2_END)
+    return _history_view(control)
+
+
+def q_replay_empty_scope(spark, d):
+    """A partial replay without matching rows changes nothing and is logged."""
+    control, _ = _two_runs(spark, d)
+    control.submit_replay(9004, "events", "ENTITY", entity_predicate="user_id IS NULL AND user_id IS NOT NULL")
+    run_replay(spark, control, 9004)
+    rows = control.store.read("demo.silver.events_history").groupBy(F.lit(9004).alias("replay_request_id")).agg(F.count(F.lit(1)).alias("history_rows"))
+    log = control.run_log().select("replay_request_id", "run_mode", "run_status", "quality_status", "rows_read")
+    request = control.replay_requests().select("replay_request_id", "request_status")
+    return request.join(log, "replay_request_id").join(rows, "replay_request_id").drop("replay_request_id")
+
+
+def q_run_log_rows(spark, d):
+    """The run log that two runs wrote."""
+    control, _ = _two_runs(spark, d)
+    return control.run_log().select(
+        "batch_id", "source_name", "run_mode", "run_status", "rows_read", "bronze_rows_written", "silver_rows_written",
+        "gold_rows_written", "quality_status", "watermark_value")
+
+
+def q_quality_rows(spark, d):
+    """The quality results that two runs wrote, a missing column among those asked for."""
+    control = _events_control(spark, d)
+    run_source(spark, control, "events", forced_batch_id=1, as_of=BATCH1_END)
+    control.register([_events_row('{"required_columns": ["event_id", "missing_column"]}')])
+    try:
+        run_source(spark, control, "events", forced_batch_id=2, as_of=BATCH2_END)
+    except ValueError:
+        pass  # the gate; its rows are what is asked for
+    return control.quality_results().select("batch_id", "rule_name", "rule_status", "observed_value", "expected_value")
+
+
+def _registered_customers(spark, d) -> ControlPlane:
+    """One registration per nation, every fifth disabled, then all upserted again
+    with another load mode while marks stay."""
+    control = ControlPlane(scratch_store(spark))
+    control.bootstrap()
+    nations = read(spark, d, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").collect()  # a registry is small
+
+    def row(n, mode):
+        return {"source_name": n["n_name"], "source_object": f"src_{n['n_nationkey']}", "load_mode": mode, "enabled": n["n_nationkey"] % 5 != 0,
+                "bronze_table": f"demo.bronze.n{n['n_nationkey']}", "primary_keys": ["id"]}
+
+    control.register([row(n, "FULL") for n in nations])
+    for n in nations[:3]:
+        control.update_source_watermark(n["n_name"], 7, f"mark-{n['n_nationkey']}")
+    control.register([row(n, "CDC") for n in nations])
+    return control
+
+
+def q_registry_rows(spark, d):
+    """The registry after registration, marks and re-registration."""
+    return _registered_customers(spark, d).registrations().select(
+        "source_name", "source_object", "load_mode", "enabled", "bronze_table", "last_successful_watermark", "last_batch_id")
+
+
+def q_active_sources(spark, d):
+    """The enabled sources in the order runs take them."""
+    names = _registered_customers(spark, d).list_active_sources()
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, source_name string")
+
+
+def q_requested_replays(spark, d):
+    """Requests still open, in the order the runner takes them."""
+    control = ControlPlane(scratch_store(spark))
+    control.bootstrap()
+    for n in read(spark, d, "nation").select("n_nationkey", "n_name").orderBy(F.desc("n_nationkey")).collect():
+        control.submit_replay(n["n_nationkey"], n["n_name"], "FULL_REBUILD")
+        if n["n_nationkey"] % 4 == 0:
+            control.mark_replay_request(n["n_nationkey"], "COMPLETED")
+    ids = control.list_requested_replays()
+    return spark.createDataFrame([(i, n) for i, n in enumerate(ids)], "position int, replay_request_id long")
 
 
 # Run instants of the four weekly landings used by the fold queries.
-FOLD_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-31 01:00:00"]
+FOLD_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2200-01-01 00:00:00"]
 
 
 def _weekly_runs(spark, d, fold_mode: str) -> DataFrame:
-    control = _events_control(spark, d, '{"fold_mode": "%s"}' % fold_mode)
+    control = _events_control(spark, d, '{"fold_mode": "%s", "silver_buckets": 16}' % fold_mode)
     for batch_id, cut in enumerate(FOLD_CUTS, start=1):
         run_source(spark, control, "events", forced_batch_id=batch_id, as_of=cut)
-    hist = control.store.read("demo.silver.events_history")
-    return hist.withColumn("bronze_load_ts", F.col("bronze_load_ts").cast("timestamp_ntz")).select(*HISTORY_VIEW_COLUMNS)
+    return _history_view(control)
 
 
 def q_fold_incremental(spark, d):
@@ -611,6 +727,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_entity_scope": q_replay_entity_scope,
     "rewrite_impacted": q_rewrite_impacted,
     "union_by_name_evolve": q_union_by_name_evolve,
+    "replay_after_failed_run": q_replay_after_failed_run,
+    "replay_empty_scope": q_replay_empty_scope,
+    "run_log_rows": q_run_log_rows,
+    "quality_rows": q_quality_rows,
+    "registry_rows": q_registry_rows,
+    "active_sources": q_active_sources,
+    "requested_replays": q_requested_replays,
     "replay_full_rebuild": q_replay_full_rebuild,
     "replay_date_range_rebuild": q_replay_date_range_rebuild,
     "replay_entity_rebuild": q_replay_entity_rebuild,

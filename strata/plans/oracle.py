@@ -11,8 +11,8 @@ BRONZE = """bronze AS (
   SELECT event_id, ts, user_id, event_type, value,
     CAST(CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN 1 ELSE 2 END AS BIGINT) AS pipeline_batch_id,
     CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN TIMESTAMP '2024-01-15 01:00:00'
-         ELSE TIMESTAMP '2024-01-31 01:00:00' END AS bronze_load_ts
-  FROM events WHERE ts <= TIMESTAMP '2024-01-31 01:00:00')"""
+         ELSE TIMESTAMP '2200-01-01 00:00:00' END AS bronze_load_ts
+  FROM events WHERE ts <= TIMESTAMP '2200-01-01 00:00:00')"""
 
 # Bronze as landed by two pipeline runs: the load timestamp is each run's instant.
 RUN_BRONZE = BRONZE.replace("THEN TIMESTAMP '2024-01-15 01:00:00'", "THEN TIMESTAMP '2024-01-15 00:00:00'")
@@ -25,8 +25,8 @@ WEEKLY_BRONZE = """bronze AS (
     CASE WHEN ts <= TIMESTAMP '2024-01-08 00:00:00' THEN TIMESTAMP '2024-01-08 00:00:00'
          WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN TIMESTAMP '2024-01-15 00:00:00'
          WHEN ts <= TIMESTAMP '2024-01-22 00:00:00' THEN TIMESTAMP '2024-01-22 00:00:00'
-         ELSE TIMESTAMP '2024-01-31 01:00:00' END AS bronze_load_ts
-  FROM events WHERE ts <= TIMESTAMP '2024-01-31 01:00:00')"""
+         ELSE TIMESTAMP '2200-01-01 00:00:00' END AS bronze_load_ts
+  FROM events WHERE ts <= TIMESTAMP '2200-01-01 00:00:00')"""
 
 HIST = """hist AS (
   SELECT event_id, ts, user_id, event_type, value, ts AS effective_from,
@@ -35,6 +35,15 @@ HIST = """hist AS (
     pipeline_batch_id, bronze_load_ts
   FROM bronze)"""
 
+# Run 2 failed its gate after landing; run 7 landed everything after run 1's mark again.
+RELANDED_BRONZE = """bronze AS (
+  SELECT event_id, ts, user_id, event_type, value, CAST(1 AS BIGINT) AS pipeline_batch_id, TIMESTAMP '2024-01-15 00:00:00' AS bronze_load_ts
+  FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00'
+  UNION ALL SELECT event_id, ts, user_id, event_type, value, 2, TIMESTAMP '2024-01-22 00:00:00'
+  FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts <= TIMESTAMP '2024-01-22 00:00:00'
+  UNION ALL SELECT event_id, ts, user_id, event_type, value, 7, TIMESTAMP '2200-01-01 00:00:00'
+  FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00')"""
+
 KEYS = """keys AS (
   SELECT DISTINCT user_id FROM bronze
   WHERE ts >= TIMESTAMP '2024-01-29 00:00:00' AND ts < TIMESTAMP '2024-01-29 06:00:00')"""
@@ -43,6 +52,14 @@ EKEYS = """ekeys AS (SELECT DISTINCT user_id FROM bronze WHERE user_id IN (3, 7,
 
 HIST_COLS = "event_id, ts, user_id, event_type, value, effective_from, effective_to, is_current, pipeline_batch_id, bronze_load_ts"
 
+def _spoiled(keys: str) -> str:
+    """History after a partial replay of spoiled tables: keys outside the scope
+    keep the marked current rows only."""
+    return (f"SELECT event_id, ts, user_id, CASE WHEN inside THEN event_type ELSE 'damaged' END AS event_type, value, effective_from, "
+            f"effective_to, is_current, pipeline_batch_id, bronze_load_ts "
+            f"FROM (SELECT *, user_id IN (SELECT user_id FROM {keys}) AS inside FROM hist) WHERE inside OR is_current")
+
+
 PBRONZE = """pbronze AS (
   SELECT p_partkey, p_name, p_retailprice, TIMESTAMP '2024-01-01 00:00:00' AS chg_ts,
          CAST(1 AS BIGINT) AS pipeline_batch_id, TIMESTAMP '2024-01-01 01:00:00' AS bronze_load_ts FROM part
@@ -177,9 +194,35 @@ ORACLE: dict[str, str] = {
         "WHERE c_mktsegment = 'BUILDING' "
         "UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment IS DISTINCT FROM 'BUILDING'"
     ),
+    "replay_date_range_rebuild": _with(RUN_BRONZE, HIST, KEYS) + _spoiled("keys"),
+    "replay_entity_rebuild": _with(RUN_BRONZE, HIST, EKEYS) + _spoiled("ekeys"),
+    "replay_after_failed_run": _with(RELANDED_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
+    "replay_empty_scope": _with(BRONZE) + (
+        "SELECT 'COMPLETED' AS request_status, 'REPLAY_ENTITY' AS run_mode, 'SUCCESS' AS run_status, 'NO_DATA' AS quality_status, "
+        "CAST(0 AS BIGINT) AS rows_read, COUNT(*) AS history_rows FROM bronze"),
+    "run_log_rows": _with(BRONZE) + (
+        "SELECT b.batch_id, 'events' AS source_name, 'PIPELINE_INCREMENTAL_TS' AS run_mode, 'SUCCESS' AS run_status, "
+        "COUNT(*) FILTER (pipeline_batch_id = b.batch_id) AS rows_read, COUNT(*) FILTER (pipeline_batch_id = b.batch_id) AS bronze_rows_written, "
+        "COUNT(*) + COUNT(DISTINCT user_id) AS silver_rows_written, COUNT(DISTINCT user_id) AS gold_rows_written, 'PASSED' AS quality_status, "
+        "strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(MAX(ts)) % 1000000 = 0 THEN '' "
+        "ELSE rtrim('.' || lpad(CAST(microsecond(MAX(ts)) % 1000000 AS VARCHAR), 6, '0'), '0') END AS watermark_value "
+        "FROM bronze JOIN (SELECT CAST(unnest([1, 2]) AS BIGINT) AS batch_id) b ON pipeline_batch_id <= b.batch_id GROUP BY b.batch_id"),
+    "quality_rows": _with(BRONZE) + (
+        "SELECT pipeline_batch_id AS batch_id, 'bronze_row_count' AS rule_name, 'PASSED' AS rule_status, CAST(COUNT(*) AS VARCHAR) AS observed_value, "
+        "'>= 0' AS expected_value FROM bronze GROUP BY 1 UNION ALL "
+        "SELECT CAST(b AS BIGINT), 'required_columns_present', CASE b WHEN 1 THEN 'PASSED' ELSE 'FAILED' END, "
+        "'event_id, ts, user_id, event_type, value, pipeline_batch_id, bronze_load_ts, source_name, load_mode, record_hash', "
+        "CASE b WHEN 1 THEN 'event_id, ts, user_id' ELSE 'event_id, missing_column' END FROM (SELECT unnest([1, 2]) AS b)"),
+    "registry_rows": (
+        "SELECT n_name AS source_name, 'src_' || n_nationkey AS source_object, 'CDC' AS load_mode, n_nationkey % 5 <> 0 AS enabled, "
+        "'demo.bronze.n' || n_nationkey AS bronze_table, CASE WHEN rn <= 3 THEN 'mark-' || n_nationkey END AS last_successful_watermark, "
+        "CASE WHEN rn <= 3 THEN CAST(7 AS BIGINT) END AS last_batch_id FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY n_nationkey) AS rn FROM nation)"),
+    "active_sources": (
+        "SELECT CAST(ROW_NUMBER() OVER (ORDER BY n_name) - 1 AS INTEGER) AS position, n_name AS source_name FROM nation WHERE n_nationkey % 5 <> 0"),
+    "requested_replays": (
+        "SELECT CAST(ROW_NUMBER() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS position, CAST(n_nationkey AS BIGINT) AS replay_request_id "
+        "FROM nation WHERE n_nationkey % 4 <> 0"),
     "replay_full_rebuild": _with(RUN_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
-    "replay_date_range_rebuild": _with(RUN_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
-    "replay_entity_rebuild": _with(RUN_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
     "two_batch_run": _with(BRONZE, HIST) + (
         "SELECT user_id, event_id, effective_from, pipeline_batch_id FROM hist WHERE is_current"
     ),

@@ -38,7 +38,7 @@ BUCKET = "_kb"
 SUB_BUCKET = "_ks"
 ROWS_PER_SILVER_BUCKET = 4_000_000
 ROWS_PER_WINDOW_GROUP = 1_000_000
-MAX_SILVER_BUCKETS = 4096
+LANDING_HASHES = 4096  # range of the key hashes that a landing records
 _BUCKET_DIR = re.compile(r"/_kb=(\d+)/?$")
 
 
@@ -71,20 +71,24 @@ def _check_transform(cfg: SourceRegistration) -> None:
         raise ValueError(f"Source {cfg.source_name} must define both silver tables.")
 
 
-def silver_buckets(spark: SparkSession, cfg: SourceRegistration, bronze_rows: int | None) -> int:
+def silver_buckets(spark: SparkSession, cfg: SourceRegistration, bronze_rows: int | None, history=None) -> int:
     """Number of key-hash buckets of the silver tables.
 
-    ``options.silver_buckets`` or ``strata.silver.buckets`` when set; else a
-    power of two giving about ``ROWS_PER_SILVER_BUCKET`` bronze rows per
-    bucket, at most ``MAX_SILVER_BUCKETS``.  When the count grows the next
-    fold is a full rebuild (once per doubling).
+    ``options.silver_buckets`` or ``strata.silver.buckets`` when set; else the
+    count that ``history`` (the table's head) was laid out with; else, for a
+    new table, a power of two giving about ``ROWS_PER_SILVER_BUCKET`` bronze
+    rows per bucket.  Only a changed setting lays a table out anew.
     """
     value = cfg.options.get("silver_buckets") or spark.conf.get("strata.silver.buckets", None)
     if value:
+        if int(value) < 1:
+            raise ValueError(f"silver_buckets must be at least 1, not {value}")
         return int(value)
+    if history is not None and history.op != "DROP" and history.lineage.get("buckets"):
+        return int(history.lineage["buckets"])
     need = max(1, -(-(bronze_rows or 0) // ROWS_PER_SILVER_BUCKET))
     nb = 1
-    while nb < need and nb < MAX_SILVER_BUCKETS:
+    while nb < need:
         nb *= 2
     return nb
 
@@ -166,7 +170,7 @@ def fold_silver(
     if not keys:
         raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
     spark = scope.sparkSession
-    nb = silver_buckets(spark, cfg, row_count_hint)
+    nb = silver_buckets(spark, cfg, row_count_hint, store.head(cfg.silver_history_table))
     # Window groups of about ROWS_PER_WINDOW_GROUP rows: each storage bucket
     # is split further by a second key hash, so window tasks stay bounded and
     # a table smaller than one bucket still uses several tasks.
@@ -228,7 +232,7 @@ def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, bu
     """Touched buckets from the key hashes recorded by the landings after
     version ``seen``; ``None`` when a landing did not record them (or hashed
     other key columns) or the bucket count does not divide the hash range."""
-    if MAX_SILVER_BUCKETS % buckets:
+    if LANDING_HASHES % buckets:
         return None
     out: set[int] = set()
     for version in range(seen + 1, latest + 1):
@@ -240,7 +244,13 @@ def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, bu
     return out
 
 
-def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
+def folded_version(store: TableStore, cfg: SourceRegistration) -> int | None:
+    """The bronze version that the silver history was built from."""
+    head = store.head(cfg.silver_history_table) if cfg.silver_history_table else None
+    return None if head is None or head.op == "DROP" else head.lineage.get("bronze_version")
+
+
+def fold_new_batches(store: TableStore, cfg: SourceRegistration, bronze_head=None) -> FoldResult:
     """Fold bronze into silver.
 
     Incremental (default, ``options.fold_mode``): the storage buckets of the
@@ -254,10 +264,10 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
     """
     _check_transform(cfg)
     spark = store.spark
-    bronze_head = store.head(cfg.bronze_table)
+    bronze_head = bronze_head or store.head(cfg.bronze_table)  # one version for the whole fold
     lineage = {"bronze_version": bronze_head.version}
-    nb = silver_buckets(spark, cfg, bronze_head.row_count)
     hist_head = store.head(cfg.silver_history_table)
+    nb = silver_buckets(spark, cfg, bronze_head.row_count, hist_head)
     cur_head = store.head(cfg.silver_current_table)
     if (
         cfg.fold_mode == "incremental"
@@ -291,10 +301,28 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration) -> FoldResult:
             scope = old_rows.unionByName(new_rows.select(*like))
             return fold_silver(store, cfg, scope, touched=touched, lineage=lineage,
                                row_count_hint=bronze_head.row_count)
-    return fold_silver(store, cfg, store.read(cfg.bronze_table), lineage=lineage,
+    return fold_silver(store, cfg, store.read(cfg.bronze_table, bronze_head.version), lineage=lineage,
                        row_count_hint=bronze_head.row_count)
 
 
+def landed_before(store: TableStore, bronze: str, tag: str | None) -> dict | None:
+    """The landing that bronze holds under ``tag``, looked up from the newest
+    version back (a stream only ever repeats its last batch)."""
+    head = store.head(bronze) if tag else None
+    version = head.version if head is not None and head.op != "DROP" else 0
+    while version > 0:
+        entry = store.head(bronze, version)
+        if entry is None or entry.op == "DROP":
+            return None
+        found = entry.lineage.get("tag")
+        if found == tag:
+            return entry.lineage
+        if found and found.rpartition(":")[0] == tag.rpartition(":")[0]:
+            return None  # an older batch of the same stream
+        version -= 1
+    return None
+
+
 def run_source(
     spark: SparkSession,
     control: ControlPlane,
@@ -303,12 +331,15 @@ def run_source(
     requested_by: str = "runtime",
     as_of: str | None = None,
     extract: DataFrame | None = None,
+    landing_tag: str | None = None,
 ) -> int:
     """Run one registered source end to end; returns the batch id.
 
     ``as_of`` fixes the run instant (upper bound and load timestamp) as
     session-zone text; by default it is read from the session once.
-    ``extract`` replaces the registry-driven read (a streaming micro-batch).
+    ``extract`` replaces the registry-driven read (a streaming micro-batch);
+    with ``landing_tag`` a batch that bronze already holds under that tag is
+    not landed again, only checked, folded and logged.
     """
     store = control.store
     cfg = control.get_registration(source_name)
@@ -326,14 +357,18 @@ def run_source(
         if ordering and ordering in extract.columns:
             metrics.append(F.max(F.col(ordering)).cast("string").alias("mark"))
         if cfg.primary_keys and all(k in landed.columns for k in cfg.primary_keys):
-            # at most MAX_SILVER_BUCKETS distinct values: the fold's touched buckets
-            metrics.append(F.collect_set(bucket_column(cfg.primary_keys, MAX_SILVER_BUCKETS)).alias("hashes"))
-        obs = Observation(f"land_{uuid.uuid4().hex[:12]}")
-        folder = store.new_folder(cfg.bronze_table)
-        landed.observe(obs, *metrics).write.parquet(folder)
-        observed = obs.get
-        rows = int(observed["rows"])
-        mark = observed.get("mark")
+            # at most LANDING_HASHES distinct values: the fold's touched buckets
+            metrics.append(F.collect_set(bucket_column(cfg.primary_keys, LANDING_HASHES)).alias("hashes"))
+        earlier = landed_before(store, cfg.bronze_table, landing_tag)
+        if earlier is None:
+            obs = Observation(f"land_{uuid.uuid4().hex[:12]}")
+            folder = store.new_folder(cfg.bronze_table)
+            landed.observe(obs, *metrics).write.parquet(folder)
+            seen = obs.get
+        else:
+            seen = {"rows": earlier["rows"], "mark": earlier["mark"]}
+        rows = int(seen["rows"])
+        mark = seen.get("mark")
 
         if rows == 0:
             control.finalize_batch_run(
@@ -342,11 +377,12 @@ def run_source(
             )
             return batch_id
 
-        note = {"batch_id": batch_id}
-        if observed.get("hashes") is not None:
-            note["key_hashes"] = sorted(int(h) for h in observed["hashes"])
-            note["hash_keys"] = list(cfg.primary_keys)
-        store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
+        if earlier is None:
+            note = {"batch_id": batch_id, "tag": landing_tag, "rows": rows, "mark": mark}
+            if seen.get("hashes") is not None:
+                note["key_hashes"] = sorted(int(h) for h in seen["hashes"])
+                note["hash_keys"] = list(cfg.primary_keys)
+            store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
         results = [row_count_result(rows), required_columns_result(landed.columns, cfg.required_columns)]
         control.insert_quality_results(batch_id, source_name, results)
         quality = rollup(results)

@@ -6,9 +6,10 @@ micro-batch to :func:`strata.plans.runs.run_source` as the extract, so every
 micro-batch is landed in bronze, checked, folded into silver and published
 exactly like a scheduled run.
 
-A micro-batch may be re-delivered after a failure; a run row tagged with the
-query id and epoch that already succeeded makes the repeat a no-op, which
-keeps bronze free of duplicates (exactly-once together with the checkpoint).
+A micro-batch may be delivered again after a failure.  Its landing in bronze
+carries the query name and epoch: a batch whose run succeeded is skipped, and one
+that was landed before its run failed is not landed again but folded and logged.
+One query writes a source at a time.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def stream_source(
         )
         if done:
             return
-        run_source(spark, control, source_name, requested_by=tag, extract=batch)
+        run_source(spark, control, source_name, requested_by=tag, extract=batch, landing_tag=tag)
 
     writer = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint_location).foreachBatch(land)
     if trigger:
