@@ -8,7 +8,7 @@ Sub-packages:
   quality, serving, pages)
 * ``plans``     -- control tables, source runs, replays, the query catalogue
 * ``streaming`` -- micro-batch landing through Structured Streaming
-* ``api``       -- function-style entry points taking ``(spark, ..., catalog)``
+* ``jobs``      -- spark-submit entry points
 """
 
 __version__ = "0.1.0"

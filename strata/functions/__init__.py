@@ -1,30 +1,18 @@
 """Column expressions shared by operators (all JVM-side, no Python UDFs)."""
 
 from strata.functions.hashing import record_hash_col
-from strata.functions.options import (
-    DEFAULT_DELETED_VALUES,
-    INCREMENTAL_MODES,
-    deleted_values,
-    normalize_list,
-    normalize_list_col,
-    options_col,
-    parse_options,
-    required_columns,
-)
+from strata.functions.options import DEFAULT_DELETED_VALUES, INCREMENTAL_MODES, json_field, normalize_list_col, options_col
 from strata.functions.watermark import mark_literal, mark_text, mark_text_col, normalize_tag
 
 __all__ = [
     "DEFAULT_DELETED_VALUES",
     "INCREMENTAL_MODES",
-    "deleted_values",
+    "json_field",
     "mark_literal",
     "mark_text",
     "mark_text_col",
-    "normalize_list",
     "normalize_list_col",
     "normalize_tag",
     "options_col",
-    "parse_options",
     "record_hash_col",
-    "required_columns",
 ]

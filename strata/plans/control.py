@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.config import DEFAULT_PUBLISH, DEFAULT_TRANSFORM, ReplayRequest, SourceRegistration
+from strata.config import DEFAULT_PUBLISH, DEFAULT_TRANSFORM, ReplayRequest, SourceRegistration, from_row
 from strata.functions.options import normalize_list_col, options_col
 from strata.operators.merge import keyed_update, upsert
 from strata.operators.quality import RuleResult
@@ -147,6 +147,11 @@ def normalize_registrations(df: DataFrame) -> DataFrame:
     return out
 
 
+def normalize_requests(df: DataFrame) -> DataFrame:
+    """Replay requests with upper-cased mode and status (blank ones NULL)."""
+    return df.withColumns({c: F.upper(F.nullif(F.col(c), F.lit(""))) for c in ("replay_mode", "request_status")})
+
+
 def status_assignments(status: str, now: Column) -> dict[str, Column]:
     """Columns set by a replay-request status change: the status itself,
     ``started_ts`` when RUNNING, ``completed_ts`` when COMPLETED or FAILED."""
@@ -258,14 +263,14 @@ class ControlPlane:
 
     def get_registration(self, source_name: str) -> SourceRegistration:
         rows = (
-            self.registrations()
+            normalize_registrations(self.registrations())
             .where((F.col("source_name") == F.lit(source_name)) & F.col("enabled"))
             .limit(1)
             .collect()
         )
         if not rows:
             raise ValueError(f"No active source registration found for {source_name}.")
-        return SourceRegistration.from_row(rows[0])
+        return from_row(SourceRegistration, rows[0])
 
     def list_active_sources(self) -> list[str]:
         rows = self.registrations().where(F.col("enabled")).select("source_name").orderBy("source_name").collect()
@@ -364,14 +369,14 @@ class ControlPlane:
 
     def get_replay_request(self, replay_request_id: int) -> ReplayRequest:
         rows = (
-            self.store.read(self.replays)
+            normalize_requests(self.store.read(self.replays))
             .where(F.col("replay_request_id") == F.lit(int(replay_request_id)))
             .limit(1)
             .collect()
         )
         if not rows:
             raise ValueError(f"Replay request {replay_request_id} was not found.")
-        return ReplayRequest.from_row(rows[0])
+        return from_row(ReplayRequest, rows[0])
 
     def list_requested_replays(self) -> list[int]:
         rows = (

@@ -6,42 +6,44 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.config import ReplayRequest, SourceRegistration
-from strata.functions.options import deleted_values, normalize_list, parse_options, required_columns
+from strata.config import ReplayRequest, SourceRegistration, from_row
+from strata.functions.options import normalize_list_col
 from strata.functions.watermark import mark_literal, mark_text
 from strata.operators.bronze import enrich_bronze
 from strata.operators.quality import required_columns_result, rollup, row_count_result
-from strata.plans.control import normalize_registrations
+from strata.plans.control import REGISTRATION_SCHEMA, normalize_registrations, normalize_requests
 
 
-def test_normalize_list():
-    assert normalize_list(None) == []
-    assert normalize_list([" a", None, "", "b "]) == [" a", "b "]
-    assert normalize_list(" a , ,b ") == ["a", "b"]
-    assert normalize_list(7) == ["7"]
+def test_normalize_list(spark):
+    rows = spark.createDataFrame([(1, None, None), (2, [" a", None, "", "b "], " a , ,b ")], "i int, items array<string>, text string")
+    got = rows.select(normalize_list_col(F.col("items"), True), normalize_list_col(F.col("text"), False)).orderBy("i").collect()
+    assert [list(map(list, r)) for r in got] == [[[], []], [[" a", "b "], ["a", "b"]]]
 
 
-def test_options_parsing():
-    assert parse_options(None) == {} and parse_options("") == {}
-    assert parse_options("{not json") == {}
-    assert parse_options("[1, 2]") == {}
-    opts = parse_options('{"required_columns": ["a", " "], "deleted_values": ["x", "Yes"]}')
-    assert required_columns(opts) == ["a"]
-    assert deleted_values(opts) == ["X", "YES"]
-    assert deleted_values({}) == ["Y", "YES", "TRUE", "1", "D"]
+def _registration(spark, **values):
+    row = {"source_name": "s", "bronze_table": "b", **values}
+    df = spark.createDataFrame([tuple(row.get(f.name) for f in REGISTRATION_SCHEMA.fields)], REGISTRATION_SCHEMA)
+    return from_row(SourceRegistration, normalize_registrations(df).first())
 
 
-def test_registration_defaults():
-    reg = SourceRegistration.from_record({"source_name": "s", "bronze_table": "b", "load_mode": "",
-                                          "primary_keys": "k1, k2", "options_json": "oops",
-                                          "silver_transform_name": None})
+def test_options_parsing(spark):
+    for text in (None, "", "{not json", "[1, 2]"):
+        reg = _registration(spark, options_json=text)
+        assert reg.options == {} and reg.required_columns == [] and reg.deleted_values == ["Y", "YES", "TRUE", "1", "D"]
+    reg = _registration(spark, options_json='{"required_columns": ["a", " "], "deleted_values": ["x", "Yes"], "silver_buckets": 4}')
+    assert (reg.required_columns, reg.deleted_values, reg.options["silver_buckets"]) == (["a"], ["X", "YES"], 4)
+    assert _registration(spark, options_json='{"required_columns": "only", "fold_mode": "FULL"}').required_columns == ["only"]
+
+
+def test_registration_defaults(spark):
+    reg = _registration(spark, load_mode="", primary_keys=["k1", " ", "k2"], options_json="oops")
     assert reg.load_mode == "FULL" and reg.primary_keys == ["k1", "k2"] and reg.options == {}
     assert reg.silver_transform_name == "scd2_current_history" and not reg.is_incremental
     inc = SourceRegistration(source_name="s", bronze_table="b", load_mode="CDC", watermark_column="ts",
                              sequence_column="seq")
     assert inc.ordering_column == "seq" and inc.is_incremental
-    req = ReplayRequest.from_record({"replay_request_id": 3, "source_name": "s", "replay_mode": "entity",
-                                     "request_status": None})
+    df = spark.createDataFrame([(3, "s", "entity", "")], "replay_request_id long, source_name string, replay_mode string, request_status string")
+    req = from_row(ReplayRequest, normalize_requests(df).first())
     assert (req.replay_mode, req.request_status) == ("ENTITY", "REQUESTED")
 
 
