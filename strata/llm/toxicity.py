@@ -47,7 +47,9 @@ SWAP_COST, DOUBLE_COST, DROP_COST = 0.7, 2.0, 0.4
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .*_\-]{1,2}[^\W_]){3,}(?![^\W_])")
 _LEET = re.compile(r"(?<![^\s\"'(])(?=[^\s]*[^\W\d_])[\w@$!|+(€£¡*.\-]*[0-9@$!|+€£¡*.\-(](?=[\w@$])[\w@$!|+(€£¡*.\-]*")
 _REPEAT = re.compile(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*")
-_HINT = re.compile(r"[0-9@$!|+€£¡(*]|[^\W_][ .*_\-]{1,2}[^\W_](?![^\W_])|([^\W\d_])\1\1|\w[.\-_]\w")
+_APART = re.compile(r"(?<!\S)\w(?: {1,2}\w){3,}(?!\S)")
+_THREE = re.compile(r"([^\W\d_])\1\1")
+CACHE_WORDS = 400_000
 
 
 def letter(ch: str) -> int:
@@ -143,24 +145,32 @@ def decode(token: str, model: list) -> str:
     return word
 
 
-class Restorer:
-    """Restores whole texts; decoded spellings are remembered (bounded)."""
+class Restorer(dict):
+    """Restores whole texts, blank-separated string by string; what each string
+    becomes is remembered (bounded)."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model.tolist(), {}
+        super().__init__()
+        self.model = model.tolist()
 
     def _plain(self, m: re.Match) -> str:
-        token = m.group()
-        if token not in self.known:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[token] = decode(token, self.model)
-        return self.known[token] or token
+        return decode(m.group(), self.model) or m.group()
+
+    def __missing__(self, token: str) -> str:
+        plain = token
+        if not token.isalpha():
+            plain = _LEET.sub(self._plain, _SPACED.sub(self._plain, token))
+        if _THREE.search(plain):
+            plain = _REPEAT.sub(self._plain, plain)
+        self[token] = plain
+        return plain
 
     def __call__(self, text: str) -> str:
-        if not _HINT.search(text):
-            return text
-        return _REPEAT.sub(self._plain, _LEET.sub(self._plain, _SPACED.sub(self._plain, text)))
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        if _APART.search(text):
+            text = _SPACED.sub(self._plain, text)
+        return " ".join([self[token] for token in text.split()])
 
 
 # ---- features and scores ----------------------------------------------------------------
