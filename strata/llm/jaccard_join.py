@@ -8,7 +8,7 @@ document-frequency sketch over all documents) and breaks ties by its own hash.
 
 1. Order 1 finds the tokens that sets of different classes share; all other
    sets are done.  The sets that are left are written once.
-2. A few rounds of hooks: each set is verified against one set with which it
+2. A few rounds of hooks: each set is verified against the few sets with which it
    shares most prefix tokens, and the links found join components.  Large groups
    of near copies fall together here without their pairs being made.
 3. The exact step covers what can still join components: pairs of different
@@ -26,12 +26,14 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (FOLD, components, keep_columns, materialize, mix, slices, span_hashes, text_buffer,
+from strata.llm.common import (FOLD, components, keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer,
                                windows, word_spans)
 
 WIDTH = 4
@@ -39,7 +41,8 @@ PERCENT = 85
 SKETCH_BITS = 20
 ORDERS = 3
 HOOK_ROUNDS = 2
-SPREAD = 8
+SPREAD = 16
+PARTNERS = 3
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -275,9 +278,35 @@ def _verify(percent: int):
     return run
 
 
+def _short(tokens: np.ndarray) -> bytes:
+    """Half of each hash, sorted: equal tokens stay equal, so overlaps can only grow."""
+    return np.sort((tokens >> np.uint64(32)).astype("<u4")).tobytes()
+
+
+def _may_link(percent: int):
+    def run(batches):
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                good.append((100 + percent) * int((large[at] == small).sum()) >= percent * (len(x) + len(y)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    x, y = (sets.select(F.col("cls").alias(k), F.col("tokens").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+    """The linked ones of the pairs: first on half hashes, which lose no link, then
+    on whole ones.  ``sets`` is bucketed by class, so only pairs are shuffled."""
+
+    def with_sets(pairs, column):
+        x, y = (sets.select(F.col("cls").alias(k), F.col(column).alias(v)) for k, v in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+
+    likely = materialize(with_sets(pairs, "short").mapInArrow(_may_link(percent), "a long, b long"))
+    return with_sets(likely, "tokens").mapInArrow(_verify(percent), "a long, b long")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -305,27 +334,35 @@ def _links(docs, rows, classes, shared, levels, width, percent) -> DataFrame:
         for part, found in _each_set(batches, width):
             wanted = part.column("cls").to_pylist()
             keep = [i for i, s in enumerate(found) if len(s) and class_of(s) == wanted[i]]
-            yield pa.RecordBatch.from_arrays([pa.array([wanted[i] for i in keep], pa.int64()), pa.array([found[i].astype("<u8").tobytes() for i in keep], pa.binary())],
-                                             names=["cls", "tokens"])
-
-    sets = materialize(texts.mapInArrow(write_sets, "cls long, tokens binary").dropDuplicates(["cls"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([wanted[i] for i in keep], pa.int64()), pa.array([found[i].astype("<u8").tobytes() for i in keep], pa.binary()),
+                 pa.array([_short(found[i]) for i in keep], pa.binary())], names=["cls", "tokens", "short"])
+
+    buckets = partitions_for(docs.sparkSession)
+    name = f"strata_sets_{uuid.uuid4().hex}"
+    (texts.mapInArrow(write_sets, "cls long, tokens binary, short binary").repartition(buckets, "cls").dropDuplicates(["cls"])
+     .write.bucketBy(buckets, "cls").sortBy("cls").saveAsTable(name))
+    sets = docs.sparkSession.table(name)
     links = None
     roots = None
     for turn in range(HOOK_ROUNDS):
         pairs = sorted_by_token(_with_roots(shared, roots)).mapInArrow(_hooks(turn, percent), "a long, b long")
         votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
+        ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most one per prefix token
+        best = votes.groupBy("a").agg(F.slice(ranked, 1, PARTNERS).alias("few")).select("a", F.explode("few.b").alias("b"))
         found = materialize(verified(best, sets, percent))
         links = found if links is None else links.union(found)
         roots = components(links)
     first = materialize(_with_roots(shared, roots))
     found = materialize(sorted_by_token(first).mapInArrow(_crossings(percent), "a long, b long").distinct())
     alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
-    few = materialize(sets.join(alive, "cls", "left_semi"))
+    few = sets.join(alive, "cls", "left_semi").select("cls", "tokens")
     for order in range(1, ORDERS):
         prefixes = _with_roots(few.mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA), roots)
         found = found.join(sorted_by_token(prefixes).mapInArrow(_crossings(percent), "a long, b long").distinct(), ["a", "b"], "left_semi")
-    return links.union(materialize(verified(found, few, percent)))
+    links = links.union(materialize(verified(found, sets, percent)))
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # the links are written
+    return links
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
