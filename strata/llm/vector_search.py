@@ -7,11 +7,12 @@ sign bits, its norm and the inner product of the unit residual with its own code
 ``<c,q> + norm * <code, Rq> / correction`` of the cosine, with an error below
 ``norm * sqrt(1 - correction^2) / correction * EPSILON / sqrt(D - 1)`` up to a
 small probability.  A vector is read again in double precision if its upper bound
-reaches the k-th best lower bound of its block.
+reaches the bar: the exact k-th best score among the most promising estimates of
+its block.
 
 Centres are fitted on a sample of at most ``SAMPLE`` vectors (smallest id hashes;
 documented bound); every vector is indexed.  A query visits its nearest lists,
-as many as held 97 % of the true nearest rows when measured by brute force
+as many as held 95 % of the true nearest rows when measured by brute force
 inside the sample.  Lists are cut into blocks of about ``BLOCK`` vectors by a hash of
 the id, and the queries of a list into parts of ``QUERY_PART``, so copies of one
 vector, on either side, never meet in one task.
@@ -37,7 +38,7 @@ MOST_LISTS = 4096
 LEAST_PROBES = 8
 BLOCK = 4096
 QUERY_PART = 2048
-EPSILON = 3.0
+EPSILON = 1.9
 ROUNDS = 8
 SEED = 11
 
@@ -86,7 +87,7 @@ def fit_centres(u: np.ndarray, k: int) -> np.ndarray:
     return centres.astype(np.float32)
 
 
-def fit_probes(u: np.ndarray, centres: np.ndarray, top: int, share: float = 0.97, queries: int = 256) -> int:
+def fit_probes(u: np.ndarray, centres: np.ndarray, top: int, share: float = 0.95, queries: int = 256) -> int:
     """How many lists a query must visit to meet ``share`` of its true nearest
     rows, measured by brute force inside the sample (in the full table they are
     nearer still)."""
@@ -100,31 +101,22 @@ def fit_probes(u: np.ndarray, centres: np.ndarray, top: int, share: float = 0.97
     return int(np.quantile(np.take_along_axis(place, home[best], axis=1), share)) + 1
 
 
-def _valid(batch, dim=None):
-    """Row numbers and float64 matrix of the usable vectors of a batch."""
-    col = batch.column("embedding")
-    rows, vectors = [], []
-    size = col.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
-    flat = col.flatten().cast(pa.float64())
-    null = flat.is_null().to_numpy(zero_copy_only=False)
-    flat = flat.fill_null(np.nan).to_numpy(zero_copy_only=False)
-    keep = np.where(np.maximum(size, 0) > 0)[0]
-    ends = np.cumsum(np.maximum(size, 0))
-    has_id = batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
-    for i in keep:
-        v = flat[ends[i] - size[i] : ends[i]]
-        if has_id[i] and (dim is None or size[i] == dim) and not null[ends[i] - size[i] : ends[i]].any() and np.isfinite(v).all() and v.any():
-            rows.append(i)
-            vectors.append(v)
-    return rows, vectors
-
-
 def _usable(batches):
+    """Rows with an id and a non-zero vector of finite numbers, length by length."""
     for batch in batches:
-        rows, vectors = _valid(batch)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id").cast(pa.int64()).take(pa.array(rows, pa.int64())), pa.array(vectors, pa.list_(pa.float64())),
-             pa.array([len(v) for v in vectors], pa.int32())], names=["vec_id", "embedding", "dim"])
+        col = batch.column("embedding")
+        size = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = col.flatten().cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+        start = np.cumsum(size) - size
+        has_id = batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
+        for dim in np.unique(size[size > 0]).tolist():
+            rows = np.flatnonzero((size == dim) & has_id)
+            m = flat[start[rows][:, None] + np.arange(dim)]
+            good = np.isfinite(m).all(axis=1) & m.any(axis=1)
+            rows, m = rows[good], np.ascontiguousarray(m[good])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id").cast(pa.int64()).take(pa.array(rows)), pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), dim).cast(pa.list_(pa.float64())),
+                 pa.array(np.full(len(rows), dim), pa.int32())], names=["vec_id", "embedding", "dim"])
 
 
 def _matrix(col, dim):
@@ -164,13 +156,20 @@ def _search(centres: np.ndarray, top: int):
             part = slice(lo, lo + 256)
             est, err = estimate(bits, norm, correction, centre, uq[part].astype(np.float32), turn)
             own = q_id[part][:, None] == ids[None, :]
-            low, high = np.where(own, -np.inf, est - err), np.where(own, -np.inf, est + err)
+            est = np.where(own, -np.inf, est)
             k = min(top, len(ids))
-            bar = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
-            qi, vi = np.nonzero((high >= bar[:, None]) & ~own)
-            for a in range(0, len(qi), 200_000):
-                x, y = qi[a : a + 200_000], vi[a : a + 200_000]
-                out.append((q_id[part][x], ids[y], (uq[part][x] * uv[y]).sum(axis=1)))
+            few = min(4 * top, len(ids))
+            # the exact k-th best of the most promising estimates is the bar
+            first = np.argpartition(-est, few - 1, axis=1)[:, :few]
+            exact = np.einsum("qd,qfd->qf", uq[part], uv[first])
+            exact[np.take_along_axis(own, first, axis=1)] = -np.inf
+            bar = np.partition(exact, few - k, axis=1)[:, few - k]
+            qi, vi = np.nonzero((est + err >= bar[:, None] - 1e-9) & ~own)
+            for a in range(0, len(qi), 100_000):
+                x, y = qi[a : a + 100_000], vi[a : a + 100_000]
+                score = (uq[part][x] * uv[y]).sum(axis=1)
+                hit = score >= bar[x] - 1e-9
+                out.append((q_id[part][x[hit]], ids[y[hit]], score[hit]))
         return tuple(np.concatenate(c) for c in zip(*out)) if out else None
 
     def run(key, data):
