@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer, text_hash
+from strata.llm.common import keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer
 
 SPAN = 400
 GRAM = 48
@@ -346,8 +346,22 @@ def _hot_windows(span: int):
 
 
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    marks = marks.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("m").alias("found"))
-    return docs.join(marks, docs.doc_id.eqNullSafe(marks["_id"]) & (docs.th == marks["_th"])).drop("_id", "_th")
+    marks = _grouped(marks, "found")
+    return docs.join(marks, (_known(docs.doc_id) == marks["__id"]) & (docs.th == marks["__th"])).drop("__id", "__th")
+
+
+def _known(doc_id):
+    return F.coalesce(doc_id, F.lit(0))
+
+
+def _name(docs: DataFrame):
+    """Hash of a row's text and of whether its id is null: with the id (null as 0)
+    it names the row by plain equality, so a grouping serves the join after it."""
+    return F.xxhash64(F.coalesce(docs.text, F.lit("")), docs.doc_id.isNull())
+
+
+def _grouped(marks: DataFrame, name: str) -> DataFrame:
+    return marks.groupBy(_known(F.col("doc_id")).alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("m").alias(name))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -388,11 +402,11 @@ def _cut(data: bytes, found) -> tuple[bytes, list[tuple[int, int]]]:
 
 def _joined(docs: DataFrame, span: int, gram: int, hot: int) -> DataFrame:
     """The documents, all columns kept, with their repeated ranges (``__found``)."""
-    hashed = keep_columns(docs, "doc_id", "text").withColumn("th", text_hash(F.col("text")))
+    hashed = keep_columns(docs, "doc_id", "text")
+    hashed = hashed.withColumn("th", _name(hashed))
     cuts = repeated_spans(hashed, span, gram, hot).select("doc_id", "th", F.struct("lo", "hi").alias("m"))
-    marks = cuts.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("m").alias("__found"))
-    same = docs.doc_id.eqNullSafe(marks["__id"]) & (text_hash(docs.text) == marks["__th"])
-    return docs.join(marks, same, "left").drop("__id", "__th")
+    marks = _grouped(cuts, "__found")
+    return docs.join(marks, (_known(docs.doc_id) == marks["__id"]) & (_name(docs) == marks["__th"]), "left").drop("__id", "__th")
 
 
 def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
