@@ -32,12 +32,23 @@ def _row_sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return total[ptr[1:]] - total[ptr[:-1]]
 
 
+def g_statistic(n1: np.ndarray, n0: np.ndarray, rows1: float, rows0: float) -> np.ndarray:
+    """G statistic of the tables (rows with and without a feature, by class)."""
+    with_it, total = n1 + n0, rows1 + rows0
+    out = np.zeros(len(n1))
+    for seen, margin, rows in ((n1, with_it, rows1), (n0, with_it, rows0), (rows1 - n1, total - with_it, rows1), (rows0 - n0, total - with_it, rows0)):
+        some = seen > 0
+        out[some] += 2 * seen[some] * np.log(seen[some] * total / (margin[some] * rows))
+    return out
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int, rounds: int = 20,
         rate: float = 0.1, decay: float = 1e-4, seed: int = 7, least_z: float = 0.0) -> HashedModel | None:
     """Adagrad over sparse rows ``(feature ids, values)``; every fifth row is
     held back for the calibration.  None when only one class is present.  With
     ``least_z`` only features whose presence differs between the classes by that
-    many standard errors (of the smoothed log odds) get a weight."""
+    many standard errors get a weight: the G statistic of presence by class, which
+    needs no smoothing where a class never shows the feature, is the square."""
     labels = np.asarray(labels, np.float64)
     if len(labels) == 0 or labels.min() == labels.max():
         return None
@@ -47,9 +58,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int,
     np.random.default_rng(seed).shuffle(train)
     allowed = np.ones(dim)
     if least_z:
-        n1, n0 = (np.bincount(np.concatenate([rows[i][0] for i in train if labels[i] == k]), minlength=dim) + 0.5 for k in (1, 0))
-        odds = np.log(n1 / (labels[train].sum() + 1)) - np.log(n0 / ((1 - labels[train]).sum() + 1))
-        allowed = (np.abs(odds) >= least_z * np.sqrt(1 / n1 + 1 / n0)).astype(float)
+        n1, n0 = (np.bincount(np.concatenate([rows[i][0] for i in train if labels[i] == k]), minlength=dim).astype(float) for k in (1, 0))
+        allowed = (g_statistic(n1, n0, labels[train].sum(), (1 - labels[train]).sum()) >= least_z**2).astype(float)
     w, g2, b, gb2 = np.zeros(dim), np.full(dim, 1e-8), 0.0, 1e-8
     size = max(16, len(train) // 40)
     batches = []

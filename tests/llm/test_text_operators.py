@@ -15,7 +15,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import (jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+from strata.llm import (hashed_model, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
                         toxicity, vector_search)
 
 SF = "/root/testdata/sf0.001"
@@ -171,6 +171,24 @@ def test_decode_restores_hidden_spellings():
     assert restore("plain words, nothing hidden") == "plain words, nothing hidden"
 
 
+def test_rare_words_of_one_class_get_a_weight():
+    rng = random.Random(13)
+    # 120 words that mark 0.83 % of the toxic rows each and no clean one, among 300 words of both classes
+    labels = np.array([i % 3 == 0 for i in range(7200)], float)
+    rows, toxic = [], 0
+    for y in labels:
+        ids = set(rng.sample(range(300), 20))
+        if y:
+            ids.add(300 + toxic % 120)
+            toxic += 1
+        rows.append((np.array(sorted(ids), np.int32), np.ones(len(ids), np.float32)))
+    model = hashed_model.fit(rows, labels, 512, rounds=30, least_z=4.0)
+    unseen = [sorted(rng.sample(range(300), 20)) for _ in range(400)]
+    clean = model.probability(np.array([model.weights[ids].sum() for ids in unseen]))
+    marked = model.probability(np.array([model.weights[[*ids, 300 + k % 120]].sum() for k, ids in enumerate(unseen)]))
+    assert (marked >= 0.5).mean() > 0.95 and (clean < 0.5).mean() > 0.95
+
+
 def test_toxicity_learns_and_covers_every_row(spark, docs, rows):
     words = WORD.findall(rows[1][1])
     rng = random.Random(3)
