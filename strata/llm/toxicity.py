@@ -47,7 +47,8 @@ SWAP_COST, DOUBLE_COST, DROP_COST = 0.7, 2.0, 0.4
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .*_\-]{1,2}[^\W_]){3,}(?![^\W_])")
 _LEET = re.compile(r"(?<![^\s\"'(])(?=[^\s]*[^\W\d_])[\w@$!|+(€£¡*.\-]*[0-9@$!|+€£¡*.\-(](?=[\w@$])[\w@$!|+(€£¡*.\-]*")
 _REPEAT = re.compile(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*")
-_APART = re.compile(r"(?<!\S)\w(?: {1,2}\w){3,}(?!\S)")
+# every match of _SPACED holds one of these: its three last characters and the separator before them
+_APART = re.compile(r"[ .*_\-][^\W_](?:[ .*_\-]{1,2}[^\W_]){2}")
 _THREE = re.compile(r"([^\W\d_])\1\1")
 CACHE_WORDS = 400_000
 
@@ -146,8 +147,9 @@ def decode(token: str, model: list) -> str:
 
 
 class Restorer(dict):
-    """Restores whole texts, blank-separated string by string; what each string
-    becomes is remembered (bounded)."""
+    """Restores whole texts: letters set apart in the text as a whole, the rest
+    blank-separated string by string; what each string becomes is remembered
+    (bounded)."""
 
     def __init__(self, model: np.ndarray):
         super().__init__()
@@ -159,7 +161,7 @@ class Restorer(dict):
     def __missing__(self, token: str) -> str:
         plain = token
         if not token.isalpha():
-            plain = _LEET.sub(self._plain, _SPACED.sub(self._plain, token))
+            plain = _LEET.sub(self._plain, token)
         if _THREE.search(plain):
             plain = _REPEAT.sub(self._plain, plain)
         self[token] = plain

@@ -171,6 +171,23 @@ def test_decode_restores_hidden_spellings():
     assert restore("plain words, nothing hidden") == "plain words, nothing hidden"
 
 
+def test_letters_set_apart_are_restored_whatever_stands_around_them():
+    counts = np.ones((28, 28, 28))
+    for word in ["stupid", "loser", "jerk", "scum"] * 50:
+        codes = [0, 0, *(toxicity.letter(c) for c in word), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            counts[a, b, c] += 50
+    restore = toxicity.Restorer(np.log(counts / counts.sum(axis=2, keepdims=True)))
+    for hidden, plain in (("you j e r k!", "you jerk"), ("(l o s e r)", "loser"), ("you s c u m, go", "you scum go"), ("s. t. u. p. i. d", "stupid"),
+                          ("s- c- u- m", "scum"), ('"j  e  r  k"', "jerk"), ("so:j_e_r_k.", "so jerk"), ("s t u p i d", "stupid")):
+        assert re.findall("[a-z]+", restore(hidden)) == plain.split()
+        assert not toxicity._SPACED.search(hidden) or toxicity._APART.search(hidden)
+    rng = random.Random(12)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab1 .*_-!,(", k=14))
+        assert toxicity._APART.search(text) or not toxicity._SPACED.search(text)
+
+
 def test_rare_words_of_one_class_get_a_weight():
     rng = random.Random(13)
     # 120 words that mark 0.83 % of the toxic rows each and no clean one, among 300 words of both classes
