@@ -38,13 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer
+from strata.llm.common import keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer, windows, word_spans
 
 SPAN = 400
 GRAM = 48
 HOT = 50_000
 TARGET_ROWS = 20_000
 RUN_BYTES = 24_000_000
+GRAM_WORDS = 8
 
 ANCHOR_SCHEMA = "h long, doc_id long, th long, a int, lo int, hi int"
 RUN_SCHEMA = ("target int, lcp array<int>, tail array<binary>, before array<binary>, owners array<int>, "
@@ -342,6 +343,78 @@ def _hot_windows(span: int):
     return run
 
 
+# ---- passages counted in words ---------------------------------------------------
+
+
+def _word_anchors(words: int, gram: int):
+    """As ``anchors``, but windows, grams and positions are counted in words."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                buf, off = text_buffer(part.column("text"))
+                start, end, doc = word_spans(buf, off)
+                d = h = a = lo = hi = np.zeros(0, np.int64)
+                at = np.arange(max(len(start) - words + 1, 0))
+                at = at[doc[at] == doc[at + words - 1]]
+                if len(at):
+                    pos, g = windows(span_hashes(buf, start, end), doc, gram)
+                    key = np.full(len(start) - gram + 1, np.iinfo(np.uint64).max)
+                    key[pos] = (g & np.uint64(0xFFFFFFFF00000000)) | pos.astype(np.uint64)
+                    best = (window_minima(key, words - gram + 1)[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                    first = np.flatnonzero(np.r_[True, (best[1:] != best[:-1]) | (doc[at[1:]] != doc[at[:-1]])])
+                    last = np.r_[first[1:], len(at)] - 1
+                    full = np.zeros(len(key), np.uint64)
+                    full[pos] = g
+                    d, a, base = doc[at[first]], best[first], np.searchsorted(doc, doc[at[first]])
+                    h, lo, hi, a = full[a].view(np.int64), at[first] - base, at[last] - base, a - base
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h, pa.int64()), part.column("doc_id").cast(pa.int64()).take(pa.array(d)), part.column("th").take(pa.array(d)),
+                     pa.array(a, pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["h", "doc_id", "th", "a", "lo", "hi"])
+
+    return run
+
+
+def _word_windows(words: int):
+    """Two hashes and the byte range of every window around the given anchors."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                buf, off = text_buffer(part.column("text"))
+                start, end, doc = word_spans(buf, off)
+                p, d = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for i, marks in enumerate(part.column("found").to_pylist()):
+                    base = np.searchsorted(doc, i)
+                    for m in marks:
+                        p.append(np.arange(m["lo"], m["hi"] + 1) + base)
+                        d.append(np.full(m["hi"] + 1 - m["lo"], i))
+                p, d = np.concatenate(p), np.concatenate(d)
+                lo, hi = start[p], end[p + words - 1]
+                one = span_hashes(buf, lo, hi)
+                two = span_hashes(buf[::-1], len(buf) - hi, len(buf) - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one.view(np.int64)), pa.array(mix(two).view(np.int64)), part.column("doc_id").cast(pa.int64()).take(pa.array(d)),
+                     part.column("th").take(pa.array(d)), pa.array(lo - off[d], pa.int32()), pa.array(hi - off[d], pa.int32())],
+                    names=["w1", "w2", "doc_id", "th", "lo", "hi"])
+
+    return run
+
+
+def repeated_passages(docs: DataFrame, words: int, gram: int = GRAM_WORDS) -> DataFrame:
+    """As ``repeated_spans``, for strings of ``words`` whole words, of whatever
+    length in bytes.  Windows around repeated anchors are hashed one by one (128
+    bits) and counted with partial aggregation."""
+    found = materialize(docs.mapInArrow(_word_anchors(words, min(gram, words)), ANCHOR_SCHEMA))
+    repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    mark = F.struct("h", "a", "lo", "hi").alias("m")
+    marked = found.join(repeated, "h").select("doc_id", "th", mark)
+    seen = materialize(_with_marks(docs, marked).select("doc_id", "th", "text", "found")
+                       .mapInArrow(_word_windows(words), "w1 long, w2 long, doc_id long, th long, lo int, hi int"))
+    twice = seen.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
+    return seen.join(twice, ["w1", "w2"]).select("doc_id", "th", "lo", "hi")
+
+
 # ---- the operator -----------------------------------------------------------------------
 
 
@@ -400,12 +473,14 @@ def _cut(data: bytes, found) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join(out) + data[at:], ranges
 
 
-def _joined(docs: DataFrame, span: int, gram: int, hot: int) -> DataFrame:
+def _joined(docs: DataFrame, span: int, gram: int, hot: int, words: int = 0) -> DataFrame:
     """The documents, all columns kept, with their repeated ranges (``__found``)."""
     hashed = keep_columns(docs, "doc_id", "text")
     hashed = hashed.withColumn("th", _name(hashed))
-    cuts = repeated_spans(hashed, span, gram, hot).select("doc_id", "th", F.struct("lo", "hi").alias("m"))
-    marks = _grouped(cuts, "__found")
+    cuts = repeated_spans(hashed, span, gram, hot)
+    if words:
+        cuts = cuts.union(repeated_passages(hashed, words))
+    marks = _grouped(cuts.select("doc_id", "th", F.struct("lo", "hi").alias("m")), "__found")
     return docs.join(marks, (_known(docs.doc_id) == marks["__id"]) & (_name(docs) == marks["__th"]), "left").drop("__id", "__th")
 
 
@@ -429,9 +504,10 @@ def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HO
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, ranges array<struct<lo:long,hi:long>>"))
 
 
-def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = 0) -> DataFrame:
     """The documents with repeated strings cut out of ``text`` (a character cut
-    in two goes as a whole); documents left without a word go.  All columns
+    in two goes as a whole); with ``words``, strings of that many words go as
+    well if they have fewer bytes; documents left without a word go.  All columns
     stay, and ``n_chars`` (where present) follows the new text."""
     schema = docs.schema
 
@@ -451,4 +527,4 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
                     columns.append(column)
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields]).take(pa.array(keep, pa.int64()))
 
-    return _joined(docs, span, gram, hot).select(*[F.col(c) for c in schema.names], "__found").mapInArrow(run, schema)
+    return _joined(docs, span, gram, hot, words).select(*[F.col(c) for c in schema.names], "__found").mapInArrow(run, schema)

@@ -110,3 +110,36 @@ def test_run_and_empty_table(spark, table, tmp_path):
     spark.read.parquet(f"{table}/documents.parquet").where("false").write.parquet(f"{empty}/documents.parquet")
     spark.read.parquet(f"{table}/labels.parquet").where("false").write.parquet(f"{empty}/labels.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_passages_of_more_than_50_words_are_cut(spark):
+    rng = random.Random(14)
+
+    def words(n, size):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size)) for _ in range(n))
+
+    rows = [(100 + k, words(rng.randrange(40, 120), 6)) for k in range(20)] + [(200, "ab " * 60), (201, "xy zz " * 25), (202, None), (None, words(51, 7))]
+    for k, passage in enumerate((words(51, 5), words(51, 1), words(50, 5), words(55, 4) + "\n" + words(30, 2))):
+        rows += [(10 * k + i, f"{words(60, 6)}\n{passage} {words(60, 6)}") for i in range(3)]
+    rows += rows[-1:]
+    data = [(t or "").encode() for _, t in rows]
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in data]
+    pieces = [[(s[i][0], s[i + 50][1]) for i in range(len(s) - 50)] for s in spans]
+    seen = Counter(b[lo:hi] for b, p in zip(data, pieces) for lo, hi in p)
+    texts = without_repeats([t for _, t in rows])  # by 400 bytes alone
+    want = Counter()
+    for (doc_id, text), b, p in zip(rows, data, pieces):
+        mask = np.zeros(len(b), bool)
+        for lo in range(len(b) - 399):
+            if sum(b[lo : lo + 400] in other for other in data) > 1:
+                mask[lo : lo + 400] = True
+        for lo, hi in p:
+            if seen[b[lo:hi]] > 1:
+                mask[lo:hi] = True
+        left = np.frombuffer(b, np.uint8)[~mask].tobytes().decode() if mask.any() else text
+        if not mask.any() or left.strip():
+            want[doc_id, left] += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = rows_of(corpus_pipeline.repeated_passages(spark, docs, ""))
+    assert got == want
+    assert want != Counter(zip([i for i, _ in rows], texts))
