@@ -468,6 +468,19 @@ def test_page_text(spark):
     assert page_text.extract(df.where("false")).count() == 0
 
 
+def test_pages_of_a_large_host_meet_their_nearest_path(spark):
+    page = "<body><div>Section {s}</div><p>Own text {n}</p><div>End of {s}</div></body>"
+    rows = [(n, f"http://a.org/s{n // 4:03d}/p{n % 4}", page.format(s=n // 4, n=n)) for n in range(600)]
+    rows += [(None, "http://a.org/s010/p1", page.format(s=10, n=41)), (900, "http://b.org/x", "<p>Alone"), (901, None, None)]
+    random.Random(15).shuffle(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = Counter((r.page_id, r.text) for r in page_text.extract(df).collect())
+    for n in range(600):
+        if n not in (40, 41, 42):
+            assert got[n, f"Own text {n}"] == 1
+    assert sum(got.values()) == len(rows) and got[900, "Alone"] == 1 and got[901, ""] == 1
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
