@@ -45,11 +45,17 @@ class CharClass:
     run: re.Pattern
     threshold: float  # bits per character over one window
     needs: tuple[re.Pattern, ...]  # each must occur in the window
+    slugs: bool = True  # whether strings that look like slugs count
 
 
 CLASSES = (
     CharClass(re.compile(r"[0-9A-Fa-f]{20,}"), 2.8, (re.compile("[0-9]"), re.compile("[A-Fa-f]"))),
     CharClass(re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.7, (re.compile("[0-9]"), re.compile("[A-Z]"), re.compile("[a-z]"))),
+    # one case: digits must stand among the letters, as a word with a number behind it does not
+    CharClass(re.compile(r"[0-9a-z]{20,}"), 3.5, (re.compile("[0-9][a-z]+[0-9]"), re.compile("(?:[0-9][a-z]*){3}")), False),
+    CharClass(re.compile(r"[0-9A-Z]{20,}"), 3.5, (re.compile("[0-9][A-Z]"), re.compile("[G-Z]")), False),
+    # no digits: the case must change more often than between joined words
+    CharClass(re.compile(r"[A-Za-z]{20,}"), 3.7, (re.compile("(?:[a-z][A-Z][A-Za-z]*?){4}"),), False),
 )
 
 #: candidates that are never secrets: placeholders, one repeated pattern, paths
@@ -59,6 +65,9 @@ ALLOW = (
     re.compile(r"^(?:/[A-Za-z0-9_-]*[a-z]{3,}[A-Za-z0-9_-]*){2,}/?$"),
 )
 
+#: words and slugs, numbered or not; no such candidate is a key of one case or without digits
+SLUG = re.compile(r"^(?:[A-Z]?[a-z]{3,}+[0-9]{0,4}+[/_=-]*+)++$|^(?:[A-Z]{3,}+[0-9]{0,4}+(?:[/_=-]++|$))++$")
+
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 _LOG_W = math.log2(WINDOW)
 
@@ -101,9 +110,12 @@ def entropy_spans(text: str) -> list[tuple[str, int, int]]:
     found: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
         word = m.group()
-        if not any(c.isdigit() for c in word) or any(a.search(word) for a in ALLOW):
+        if word.islower() and word.isalpha() or any(a.search(word) for a in ALLOW):
             continue
+        slug = SLUG.match(word)
         for cls in CLASSES:
+            if slug and not cls.slugs:
+                continue
             for r in cls.run.finditer(word):
                 for lo, hi in hot_windows(r.group(), cls.threshold):
                     if all(need.search(r.group(), lo, hi) for need in cls.needs):

@@ -155,6 +155,15 @@ def test_entropy_adds_and_allow_list_suppresses():
     assert secret_scan.redact(None) is None and secret_scan.scan("") == []
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_keys_of_one_case_or_without_digits_are_found(alphabet):
+    rng = random.Random(16)
+    keys = ["".join(rng.choices(alphabet, k=32)) for _ in range(200)]
+    assert sum(any(s[0] == "entropy" for s in secret_scan.scan(f"see {k} here")) for k in keys) >= 190
+    for plain in ("internationalization2024", "a-long-slug-of-several-words-2024", "SOME_CONSTANT_NAME_OF_2024", "getHttpResponseHeaderFields", "pneumonoultramicroscopic"):
+        assert secret_scan.scan(f"see {plain} here") == []
+
+
 # ---- 3 toxicity
 
 
