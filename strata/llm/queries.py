@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+from strata.llm import (fill_middle, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
                         toxicity, vector_search)
 from strata.llm.common import table
 
@@ -57,6 +57,10 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_ids", "ids_crc32", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -68,7 +72,24 @@ QUERIES = {
     "op9_page_text": op9_page_text,
     "op10_piece_encoding": op10_piece_encoding,
     "op6_quality_rules": op6_quality_rules,
+    "op11_fill_middle": op11_fill_middle,
 }
 
 # DuckDB SQL where it can express the whole result of a query
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_fill_middle": r"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units FROM t),
+        c AS (SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                     CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+        f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                          WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c),
+        p AS (SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid, array_to_string(units[b + 1:n], '') AS suf FROM f)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                                ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p""",
+}
