@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (fill_middle, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+from strata.llm import (chat_format, fill_middle, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
                         toxicity, vector_search)
 from strata.llm.common import table
 
@@ -61,6 +61,13 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.transform(table(spark, sf_dir, "documents")))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts hold control strings."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))], given.schema)
+    return chat_format.digest(chat_format.format_log(chat_format.event_log(given.union(marked))))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -73,6 +80,7 @@ QUERIES = {
     "op10_piece_encoding": op10_piece_encoding,
     "op6_quality_rules": op6_quality_rules,
     "op11_fill_middle": op11_fill_middle,
+    "op12_chat_format": op12_chat_format,
 }
 
 # DuckDB SQL where it can express the whole result of a query
@@ -92,4 +100,15 @@ ORACLE: dict[str, str] = {
                                 ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(text) AS restored_sha256
         FROM p""",
+    "op12_chat_format": r"""
+        WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *, regexp_replace(text, '([<\[])(\\*/?(?:s>|INST\]|SYS\]|ROLE))', '\1\\\2', 'g') AS body,
+                     CASE role WHEN 'user' THEN 18 WHEN 'system' THEN 16 WHEN 'assistant' THEN 5 ELSE 19 + length(role) END AS marks FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length(body) + marks) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
