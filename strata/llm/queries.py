@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (chat_format, fill_middle, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+from strata.llm import (chat_format, fill_middle, jaccard_join, lexical_search, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
                         toxicity, vector_search)
 from strata.llm.common import table
 
@@ -68,6 +68,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_log(chat_format.event_log(given.union(marked))))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -81,6 +85,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op11_fill_middle": op11_fill_middle,
     "op12_chat_format": op12_chat_format,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 # DuckDB SQL where it can express the whole result of a query
@@ -111,4 +116,17 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length(body) + marks) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op13_lexical_search": r"""
+        WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        d AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+        c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM d),
+        f AS (SELECT doc_id, term, count(*) AS tf FROM w SEMI JOIN i USING (term) GROUP BY doc_id, term),
+        g AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, c GROUP BY term, docs),
+        s AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // l)))) AS BIGINT) AS score
+              FROM f JOIN g USING (term) JOIN d USING (doc_id) JOIN i USING (term), c GROUP BY item_id, doc_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
