@@ -1,7 +1,8 @@
 """Chat formatting from an event log.
 
-A log has one row per event of a message: ``open``, ``delta`` (text is added),
-``edit`` (text is replaced), ``regenerate`` (text starts anew) and ``remove``.
+A log has one row per event of a message: ``open`` (with the text it begins
+with), ``delta`` (text is added), ``edit`` and ``regenerate`` (text is replaced,
+further deltas add to it) and ``remove``.
 ``format_log`` deals the log to tasks by ranges of (conversation, turn,
 message), sorts each range by sequence, folds the events of each message into
 its final text, and renders the messages of a conversation one after the other:
@@ -21,7 +22,7 @@ stream, since a hash over a whole conversation is sequential by its nature.
 Edge cases: null text is empty; a null role is the empty role; null
 conversations form one conversation, null turns come first; messages of one
 turn are ordered by role, then message name; equal rows stay separate messages;
-a message is known from its first event on; an event of another name stops the
+a message is known from its first event on, and a removal is final; an event of another name stops the
 job; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -89,23 +90,23 @@ def parse(formatted: str) -> Iterator[tuple[str, str]]:
         at = m.end()
 
 
-def event_log(conversations: DataFrame, piece: int = 1024, draft: int = 40) -> DataFrame:
+def event_log(conversations: DataFrame, piece: int = 512, draft: int = 40) -> DataFrame:
     """The log of clients that streamed each row of the table: every message is
-    opened, begun with a draft, then started anew (assistant turns are
-    regenerated, others edited) and streamed in pieces of ``piece`` characters."""
+    opened with a draft, then begun anew with its first piece (assistant turns
+    are regenerated, others edited) and streamed in pieces of ``piece`` characters."""
     text = F.coalesce("text", F.lit(""))
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
     # the text decides among messages of one turn and role, then the row itself
     rows = rows.withColumn("message", F.concat_ws(":", F.hex(F.xxhash64("text")), F.monotonically_increasing_id()))
     again = F.when(F.col("role") == "assistant", "regenerate").otherwise("edit")
-    pieces = F.regexp_extract_all("text", F.lit(f"[\\s\\S]{{1,{piece}}}"), F.lit(0))
+    rows = rows.withColumn("pieces", F.regexp_extract_all("text", F.lit(f"[\\s\\S]{{1,{piece}}}"), F.lit(0)))
 
     def event(name, body):
         return F.struct(name.alias("event"), body.alias("text"))
 
     events = F.concat(
-        F.array(event(F.lit("open"), F.lit("")), event(F.lit("delta"), F.substring("text", 1, draft)), event(again, F.lit(""))),
-        F.transform(pieces, lambda p: event(F.lit("delta"), p)))
+        F.array(event(F.lit("open"), F.substring("text", 1, draft)), event(again, F.coalesce(F.get("pieces", F.lit(0)), F.lit("")))),
+        F.transform(F.slice("pieces", 2, F.greatest(F.size("pieces") - 1, F.lit(0))), lambda p: event(F.lit("delta"), p)))
     return (rows.select("conv_id", "turn", "role", "message", F.posexplode(events).alias("seq", "e"))
             .select("conv_id", "turn", "role", "message", F.col("seq").cast("long").alias("seq"), "e.event", "e.text"))
 
