@@ -1,13 +1,15 @@
 """Row-level changes expressed as DataFrame rewrites.
 
 Parquet tables have no UPDATE or MERGE, so a keyed update is a projection
-with ``when(condition, new).otherwise(old)`` and an upsert is a full outer
-join on the keys; the result is written as a new table version.
+with ``when(condition, new).otherwise(old)`` and an upsert is a left join of
+the target to one row per source key plus an anti join for new keys; the
+result is written as a new table version.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,30 +48,26 @@ def upsert(
     Output has the target's columns in the target's order.  Two source rows that
     match one target row make the job fail.
     """
-    keys = list(keys)
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
-    # several source rows for one target row have no defined result; the count
-    # shares the join's partitioning by key
-    same_key = Window.partitionBy(*[F.col(f"s_{k}") for k in keys])
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns]).withColumn("_s", F.count(F.lit(1)).over(same_key))
-    cond = None
-    for k in keys:
-        part = F.col(f"t_{k}") == F.col(f"s_{k}")
-        cond = part if cond is None else cond & part
-    joined = t.join(s, cond, "full_outer")
-    in_t = F.col("_t").isNotNull()
-    in_s = F.col("_s").isNotNull()
-    repeated = in_t & (F.col("_s") > 1)
-    out = []
-    for c in target.columns:
-        dtype = target.schema[c].dataType
-        src = F.col(f"s_{c}").cast(dtype) if c in source.columns else F.lit(None).cast(dtype)
-        if c in keys:
-            clash = F.raise_error(F.lit(f"Upsert: several source rows match one target row on {', '.join(keys)}"))
-            expr = F.when(repeated, clash.cast(dtype)).when(in_t, F.col(f"t_{c}")).otherwise(src)
-        elif c in update_columns:
-            expr = F.when(in_s, src).otherwise(F.col(f"t_{c}"))
-        else:
-            expr = F.when(in_t, F.col(f"t_{c}")).otherwise(src)
-        out.append(expr.alias(c))
-    return joined.select(*out)
+    keys, columns = list(keys), list(source.columns)
+    # one row a source key, counted while it is gathered: a key repeated many
+    # times is folded before the shuffle, and the join below adds no rows
+    once = source.groupBy(*[F.col(k).alias(f"s_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(F.col(c)).alias(f"s_{c}") for c in columns if c not in keys])
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
+    # left join: a hot key is on the left only, where AQE can split it
+    joined = t.join(once, reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "left")
+    clash = F.raise_error(F.lit(f"Upsert: several source rows match one target row on {', '.join(keys)}"))
+    # a condition, not a column: no projection on the result can leave it out
+    joined = joined.where(F.when(F.col("_n") > 1, clash.cast("boolean")).otherwise(F.lit(True)))
+
+    def kept(c: str) -> Column:
+        if c not in update_columns or c in keys:
+            return F.col(f"t_{c}")
+        value = F.col(f"s_{c}").cast(target.schema[c].dataType) if c in columns else F.lit(None).cast(target.schema[c].dataType)
+        return F.when(F.col("_n").isNotNull(), value).otherwise(F.col(f"t_{c}"))
+
+    updated = joined.select(*[kept(c).alias(c) for c in target.columns])
+    known = target.select(*keys).distinct()
+    inserted = source.join(known, keys, "left_anti").select(*[
+        (F.col(c) if c in columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    return updated.union(inserted)

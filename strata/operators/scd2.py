@@ -256,6 +256,15 @@ def build_scd2(
     return history, current
 
 
+def live_rows(columns: Sequence[str], delete_column: str | None, deleted_values: Sequence[str],
+              null_flag_is_live: bool) -> Column:
+    """Whether a row is not soft-deleted (NULL where the flag does not tell)."""
+    if not delete_column or delete_column not in columns:
+        return F.lit(True)
+    live = ~F.upper(F.col(delete_column).cast("string")).isin([str(v).upper() for v in deleted_values])
+    return F.coalesce(live, F.lit(True)) if null_flag_is_live else live
+
+
 def current_from_history(
     history: DataFrame,
     delete_column: str | None = None,
@@ -266,11 +275,4 @@ def current_from_history(
 
     A delete column absent from the data is ignored.
     """
-    current = history.where(F.col("is_current"))
-    if delete_column and delete_column in history.columns:
-        values = [str(v).upper() for v in deleted_values]
-        live = ~F.upper(F.col(delete_column).cast("string")).isin(values)
-        if null_flag_is_live:
-            live = F.coalesce(live, F.lit(True))
-        current = current.where(live)
-    return current
+    return history.where(F.col("is_current") & live_rows(history.columns, delete_column, deleted_values, null_flag_is_live))

@@ -22,7 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.config import SourceRegistration
@@ -400,8 +400,8 @@ def _damage_silver(control: ControlPlane) -> None:
     for name in ("demo.silver.events_history", "demo.silver.events_current"):
         head = control.store.head(name)
         spoiled = control.store.read(name).where("is_current").withColumn("event_type", F.lit("damaged"))
-        parts, rows = write_buckets(control.store, name, spoiled, ["user_id"], head.lineage["buckets"])
-        control.store.replace_parts(name, parts, head.schema, rows, head.lineage)
+        parts, counted = write_buckets(control.store, name, spoiled, ["user_id"], head.lineage["buckets"])
+        control.store.replace_parts(name, parts, head.schema, counted["rows"], head.lineage)
 
 
 def _replay(spark, d, mode: str, **kw) -> DataFrame:
@@ -473,17 +473,20 @@ def _registered_customers(spark, d) -> ControlPlane:
     with another load mode while marks stay."""
     control = ControlPlane(scratch_store(spark))
     control.bootstrap()
-    nations = read(spark, d, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").collect()  # a registry is small
+    key = F.col("n_nationkey")
+    rows = read(spark, d, "nation").select(
+        F.col("n_name").alias("source_name"), F.concat(F.lit("src_"), key).alias("source_object"), (key % 5 != 0).alias("enabled"),
+        F.concat(F.lit("demo.bronze.n"), key).alias("bronze_table"), F.array(F.lit("id")).alias("primary_keys"), key.alias("n"))
+    control.register_from(rows.withColumn("load_mode", F.lit("FULL")))
+    for n in rows.orderBy("n").limit(3).collect():  # the first three run and leave marks
+        control.update_source_watermark(n["source_name"], 7, f"mark-{n['n']}")
+    control.register_from(rows.withColumn("load_mode", F.lit("CDC")))
+    return control
 
-    def row(n, mode):
-        return {"source_name": n["n_name"], "source_object": f"src_{n['n_nationkey']}", "load_mode": mode, "enabled": n["n_nationkey"] % 5 != 0,
-                "bronze_table": f"demo.bronze.n{n['n_nationkey']}", "primary_keys": ["id"]}
 
-    control.register([row(n, "FULL") for n in nations])
-    for n in nations[:3]:
-        control.update_source_watermark(n["n_name"], 7, f"mark-{n['n_nationkey']}")
-    control.register([row(n, "CDC") for n in nations])
-    return control
+def _positions(ordered: DataFrame, column: str) -> DataFrame:
+    """Rows of a small control table, numbered from 0 in its listing order."""
+    return ordered.select((F.row_number().over(Window.orderBy(column)) - 1).alias("position"), column)
 
 
 def q_registry_rows(spark, d):
@@ -494,20 +497,17 @@ def q_registry_rows(spark, d):
 
 def q_active_sources(spark, d):
     """The enabled sources in the order runs take them."""
-    names = _registered_customers(spark, d).list_active_sources()
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, source_name string")
+    return _positions(_registered_customers(spark, d).active_sources(), "source_name")
 
 
 def q_requested_replays(spark, d):
     """Requests still open, in the order the runner takes them."""
     control = ControlPlane(scratch_store(spark))
     control.bootstrap()
-    for n in read(spark, d, "nation").select("n_nationkey", "n_name").orderBy(F.desc("n_nationkey")).collect():
-        control.submit_replay(n["n_nationkey"], n["n_name"], "FULL_REBUILD")
-        if n["n_nationkey"] % 4 == 0:
-            control.mark_replay_request(n["n_nationkey"], "COMPLETED")
-    ids = control.list_requested_replays()
-    return spark.createDataFrame([(i, n) for i, n in enumerate(ids)], "position int, replay_request_id long")
+    control.submit_replays(read(spark, d, "nation").select(
+        F.col("n_nationkey").alias("replay_request_id"), F.col("n_name").alias("source_name"), F.lit("FULL_REBUILD").alias("replay_mode")))
+    control.mark_replay_requests(F.col("replay_request_id") % 4 == 0, "COMPLETED")
+    return _positions(control.requested_replays(), "replay_request_id")
 
 
 # Run instants of the four weekly landings used by the fold queries.

@@ -237,6 +237,15 @@ class ControlPlane:
             self.store.append(table, rows, row_count=n)
 
     # ---------------------------------------------------------------- registry
+    def register_from(self, rows: DataFrame) -> None:
+        """``register`` for rows that Spark derives; columns that ``rows`` lacks are NULL."""
+        now = F.current_timestamp()
+        have = {**{c: F.col(c) for c in rows.columns}, "updated_ts": now}
+        have["created_ts"] = F.coalesce(have.get("created_ts", F.lit(None)), now)
+        have["enabled"] = F.coalesce(have.get("enabled", F.lit(None)), F.lit(True))
+        source = rows.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REGISTRATION_SCHEMA.fields])
+        self._rewrite(self.registry, lambda target: upsert(target, source, ["source_name"], REGISTRATION_CONFIG_COLUMNS))
+
     def register(self, rows: Sequence[dict]) -> None:
         """Upsert registrations by ``source_name``.  A new source is inserted
         whole; a known one gets its configuration columns replaced while its
@@ -272,9 +281,12 @@ class ControlPlane:
             raise ValueError(f"No active source registration found for {source_name}.")
         return from_row(SourceRegistration, rows[0])
 
+    def active_sources(self) -> DataFrame:
+        """Names of the enabled sources, in the order runs take them."""
+        return self.registrations().where(F.col("enabled")).select("source_name").orderBy("source_name")
+
     def list_active_sources(self) -> list[str]:
-        rows = self.registrations().where(F.col("enabled")).select("source_name").orderBy("source_name").collect()
-        return [str(r["source_name"]) for r in rows]
+        return [str(r["source_name"]) for r in self.active_sources().collect()]
 
     def update_source_watermark(self, source_name: str, batch_id: int, watermark: str | None) -> None:
         self._rewrite(self.registry, lambda reg: keyed_update(
@@ -367,6 +379,12 @@ class ControlPlane:
         df = self.spark.createDataFrame([row], REPLAY_SCHEMA).withColumn("requested_ts", F.current_timestamp())
         self._insert(self.replays, df, 1)
 
+    def submit_replays(self, rows: DataFrame) -> None:
+        """Requests that Spark derives, as one append; columns that ``rows`` lacks are NULL."""
+        have = {**{c: F.col(c) for c in rows.columns}, "request_status": F.lit("REQUESTED"), "requested_ts": F.current_timestamp()}
+        stored = self.store.read(self.replays).schema
+        self.store.append(self.replays, rows.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.fields]))
+
     def get_replay_request(self, replay_request_id: int) -> ReplayRequest:
         rows = (
             normalize_requests(self.store.read(self.replays))
@@ -378,22 +396,19 @@ class ControlPlane:
             raise ValueError(f"Replay request {replay_request_id} was not found.")
         return from_row(ReplayRequest, rows[0])
 
+    def requested_replays(self) -> DataFrame:
+        """Ids of the open requests, in the order the runner takes them."""
+        return (self.store.read(self.replays).where(F.upper(F.col("request_status")) == F.lit("REQUESTED"))
+                .select("replay_request_id").orderBy("replay_request_id"))
+
     def list_requested_replays(self) -> list[int]:
-        rows = (
-            self.store.read(self.replays)
-            .where(F.upper(F.col("request_status")) == F.lit("REQUESTED"))
-            .select("replay_request_id")
-            .orderBy("replay_request_id")
-            .collect()
-        )
-        return [int(r["replay_request_id"]) for r in rows]
+        return [int(r["replay_request_id"]) for r in self.requested_replays().collect()]
+
+    def mark_replay_requests(self, condition: Column, status: str) -> None:
+        self._rewrite(self.replays, lambda df: keyed_update(df, condition, status_assignments(status, F.current_timestamp())))
 
     def mark_replay_request(self, replay_request_id: int, status: str) -> None:
-        self._rewrite(self.replays, lambda df: keyed_update(
-            df,
-            F.col("replay_request_id") == F.lit(int(replay_request_id)),
-            status_assignments(status, F.current_timestamp()),
-        ))
+        self.mark_replay_requests(F.col("replay_request_id") == F.lit(int(replay_request_id)), status)
 
     def replay_requests(self) -> DataFrame:
         return self.store.read(self.replays)

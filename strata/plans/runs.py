@@ -4,27 +4,30 @@ Compared with a naive sequence of lazy frames, the batch is evaluated once:
 the extract is written straight into a new bronze folder while an
 ``Observation`` collects its row count and maximum ordering value in the
 same job, and the folder is committed only when rows arrived.  Silver tables are stored
-in key-hash bucket folders and folded incrementally: only the buckets of keys
-in bronze folders the history has not seen yet are re-windowed (from their
-old history rows plus the new bronze rows), every other bucket folder is
-carried into the new version, the current table is derived from the rebuilt
-buckets, and gold is published by sharing the current table's immutable
-folders.
+in key-hash bucket folders, a history bucket as closed, live and open rows (see
+``operators.open_rows``), and folded incrementally: a batch is windowed with
+the live and open rows of its buckets, and the versions that it closes are
+appended; closed folders are read and rewritten only in buckets where a row
+arrived late.  The current table shares the live folders of the history, and
+gold shares the current table's.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import SourceRegistration
+from strata.functions.bitmaps import members, overlap, to_bitmap
 from strata.operators.bronze import enrich_bronze
+from strata.operators.open_rows import CLOSED, LIVE, late_buckets, order_number, segment_column
 from strata.operators.quality import required_columns_result, rollup, row_count_result
-from strata.operators.scd2 import build_scd2, current_from_history
+from strata.operators.scd2 import build_scd2
 from strata.operators.scope import rows_for_keys, rows_without_keys
 from strata.plans.control import ControlPlane
 from strata.sources.extract import extract_window, run_instant, source_frame
@@ -38,8 +41,9 @@ BUCKET = "_kb"
 SUB_BUCKET = "_ks"
 ROWS_PER_SILVER_BUCKET = 4_000_000
 ROWS_PER_WINDOW_GROUP = 1_000_000
-LANDING_HASHES = 4096  # range of the key hashes that a landing records
-_BUCKET_DIR = re.compile(r"/_kb=(\d+)/?$")
+KEY_HASHES = 65_536  # range of the key hashes in a landing's bitmap (8 KB)
+CLOSED_PARTS = 64  # closed folders of a bucket before they are written as one again
+_BUCKET_DIR = re.compile(r"/_kb=(\d+)(?:-(\w+))?/?$")
 
 
 @dataclass
@@ -66,9 +70,9 @@ def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def _check_transform(cfg: SourceRegistration) -> None:
     if cfg.silver_transform_name.upper() != SCD2_TRANSFORM:
-        raise ValueError(f"Unsupported silver transform: {cfg.silver_transform_name}")
+        raise ValueError(f"{cfg.source_name}: no silver transform is called {cfg.silver_transform_name}")
     if not cfg.silver_history_table or not cfg.silver_current_table:
-        raise ValueError(f"Source {cfg.source_name} must define both silver tables.")
+        raise ValueError(f"{cfg.source_name}: a history and a current silver table are needed")
 
 
 def silver_buckets(spark: SparkSession, cfg: SourceRegistration, bronze_rows: int | None, history=None) -> int:
@@ -103,14 +107,25 @@ def bucket_of(part: str) -> int | None:
     return int(match.group(1)) if match else None
 
 
-def write_buckets(store: TableStore, name: str, df: DataFrame, keys: list[str], buckets: int) -> tuple[list[str], int]:
-    """Write ``df`` split into one sub-folder per storage bucket; returns the
-    bucket folders and the row count (counted by the writing job)."""
+def segment_of(part: str) -> str | None:
+    """Segment of a history folder; ``None`` when it holds rows of all."""
+    match = _BUCKET_DIR.search(part)
+    return match.group(2) if match else None
+
+
+def write_buckets(store: TableStore, name: str, df: DataFrame, keys: list[str], buckets: int,
+                  segment: Column | None = None, metrics: dict[str, Column] | None = None) -> tuple[list[str], dict]:
+    """Write ``df`` split into one sub-folder per storage bucket (and segment).
+
+    Returns the folders and what the writing job counted: ``rows`` and ``metrics``."""
     data = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_column(keys, buckets))
-    counted, obs = observed(data)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    counted = data.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()])
+    if segment is not None:
+        counted = counted.withColumn(BUCKET, F.concat_ws("-", BUCKET, segment))
     folder = store.new_folder(name)
     counted.write.partitionBy(BUCKET).parquet(folder)
-    return store.subfolders(folder), int(obs.get["rows"])
+    return store.subfolders(folder), obs.get
 
 
 def _split_parts(head, touched: set[int] | None, buckets: int) -> tuple[list[str], list[str]]:
@@ -146,6 +161,11 @@ def fold_settings(cfg: SourceRegistration) -> dict:
     }
 
 
+def _segment(cfg: SourceRegistration, columns: list[str]) -> Column:
+    return segment_column(columns, cfg.delete_indicator_column, cfg.deleted_values,
+                          bool(cfg.options.get("null_flag_is_live", False)))
+
+
 def fold_silver(
     store: TableStore,
     cfg: SourceRegistration,
@@ -155,27 +175,30 @@ def fold_silver(
     null_safe: bool = False,
     lineage: dict | None = None,
     row_count_hint: int | None = None,
+    keep_parts: frozenset[str] = frozenset(),
+    history_rows: int | None = None,
 ) -> FoldResult:
     """Re-window ``scope`` into the silver tables, bucket by bucket.
 
     ``touched`` None rebuilds both tables from ``scope``.  Otherwise only the
     listed storage buckets are rewritten and every other bucket folder is
-    carried into the new version unchanged.  With ``keys_df`` (a partial
-    replay) rows of the touched buckets whose key is not in ``keys_df`` are
-    kept as they were; without it ``scope`` must hold every row of the
-    touched buckets.  Gold is then published from the current table.
+    carried into the new version unchanged, and so are ``keep_parts`` (closed
+    rows that the batch cannot change).  With ``keys_df`` (a partial replay)
+    rows of the touched buckets whose key is not in ``keys_df`` are kept as
+    they were; without it ``scope`` must hold every other row of the touched
+    buckets.  ``history_rows`` is the new row count where it is known
+    beforehand.  Gold is then published from the current table.
     """
     _check_transform(cfg)
     keys = cfg.primary_keys
     if not keys:
-        raise ValueError(f"Source {cfg.source_name} requires primary_keys metadata for scd2_current_history.")
+        raise ValueError(f"{cfg.source_name}: versions need primary keys")
     spark = scope.sparkSession
     nb = silver_buckets(spark, cfg, row_count_hint, store.head(cfg.silver_history_table))
     # Window groups of about ROWS_PER_WINDOW_GROUP rows: each storage bucket
     # is split further by a second key hash, so window tasks stay bounded and
     # a table smaller than one bucket still uses several tasks.
     subs = max(1, -(-(row_count_hint or 0) // (nb * ROWS_PER_WINDOW_GROUP)))
-    null_live = bool(cfg.options.get("null_flag_is_live", False))
     history, _ = build_scd2(
         scope.withColumn(BUCKET, bucket_column(keys, nb))
         .withColumn(SUB_BUCKET, F.pmod(F.xxhash64(F.lit("sub"), *[F.col(k) for k in keys]), F.lit(subs))),
@@ -183,7 +206,7 @@ def fold_silver(
         cfg.ordering_column,
         delete_column=cfg.delete_indicator_column,
         deleted_values=cfg.deleted_values,
-        null_flag_is_live=null_live,
+        null_flag_is_live=bool(cfg.options.get("null_flag_is_live", False)),
         row_count_hint=row_count_hint,
         cluster_by=[BUCKET, SUB_BUCKET],
     )
@@ -196,27 +219,42 @@ def fold_silver(
     hist_head = store.head(hist_name) if touched is not None else None
     live = hist_head is not None and hist_head.op != "DROP"
     rewrite, carry = _split_parts(hist_head, touched, nb) if live else ([], [])
+    carry, rewrite = carry + [p for p in rewrite if p in keep_parts], [p for p in rewrite if p not in keep_parts]
     frame = history
     if keys_df is not None and rewrite:
         kept = rows_without_keys(store.read_parts(hist_head.schema, rewrite), keys_df, keys, null_safe)
         frame = align_columns(kept, history.drop(BUCKET)).unionByName(history.drop(BUCKET))
-    new_parts, written = write_buckets(store, hist_name, frame, keys, nb)
+        # both sides by bucket again, so that a replay leaves as many files as a fold
+        frame = frame.withColumn(BUCKET, bucket_column(keys, nb)).repartition(BUCKET)
+    segment = _segment(cfg, hist_schema.fieldNames())
+    metrics = {"live": F.count_if(segment == LIVE), "gaps": F.count_if(F.col("effective_from").isNull())}
+    number = order_number("effective_from", hist_schema["effective_from"].dataType)
+    if number is not None:
+        metrics["top"] = F.max(number)
+    new_parts, written = write_buckets(store, hist_name, frame, keys, nb, segment, metrics)
     rebuilt_rows = int(rebuilt_obs.get["rows"])
-    history_rows = _total(store, hist_name, hist_head if live else None, rewrite, written)
+    note["top"], note["gaps"] = written.get("top"), written["gaps"]
+    if carry:
+        before = hist_head.lineage
+        known = before.get("top") is not None and note["top"] is not None and before.get("gaps") is not None
+        note["top"] = max(before["top"], note["top"]) if known else None
+        note["gaps"] = before["gaps"] + note["gaps"] if known else None
+    if history_rows is None:
+        history_rows = _total(store, hist_name, hist_head if live else None, rewrite, int(written["rows"]))
     store.replace_parts(hist_name, carry + new_parts, hist_schema, history_rows, note)
 
-    # current: derived from the rewritten history buckets only
+    # current: the live folders of the history; a partial replay keeps other keys' rows as the table has them
     cur_head = store.head(cur_name) if touched is not None else None
     cur_live = cur_head is not None and cur_head.op != "DROP"
     cur_rewrite, cur_carry = _split_parts(cur_head, touched, nb) if cur_live else ([], [])
-    fresh = current_from_history(
-        store.read_parts(hist_schema, new_parts), cfg.delete_indicator_column, cfg.deleted_values, null_live
-    )
+    cur_parts, cur_written = [p for p in new_parts if segment_of(p) == LIVE], int(written["live"])
     if keys_df is not None and cur_rewrite:
-        rebuilt_current = rows_for_keys(fresh, keys_df, keys, null_safe)
+        rebuilt_current = rows_for_keys(store.read_parts(hist_schema, cur_parts), keys_df, keys, null_safe)
         kept_current = rows_without_keys(store.read_parts(cur_head.schema, cur_rewrite), keys_df, keys, null_safe)
         fresh = align_columns(kept_current, rebuilt_current).unionByName(rebuilt_current)
-    cur_parts, cur_written = write_buckets(store, cur_name, fresh, keys, nb)
+        fresh = fresh.withColumn(BUCKET, bucket_column(keys, nb)).repartition(BUCKET)
+        cur_parts, counted = write_buckets(store, cur_name, fresh, keys, nb)
+        cur_written = int(counted["rows"])
     current_rows = _total(store, cur_name, cur_head if cur_live else None, cur_rewrite, cur_written)
     store.replace_parts(cur_name, cur_carry + cur_parts, hist_schema, current_rows, note)
 
@@ -227,23 +265,69 @@ def fold_silver(
     return FoldResult(history_rows, current_rows, gold_rows, rebuilt_rows)
 
 
-def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int,
-                      keys: list[str]) -> set[int] | None:
-    """Touched buckets from the key hashes recorded by the landings after
-    version ``seen``; ``None`` when a landing did not record them (or hashed
-    other key columns) or the bucket count does not divide the hash range."""
-    if LANDING_HASHES % buckets:
-        return None
-    out: set[int] = set()
+def _only_later(store: TableStore, bronze: str, seen: int, latest: int, history: dict) -> bool:
+    """Whether every row landed after version ``seen`` lies beyond all of the
+    history, as the landings and the fold recorded: no key can be late then."""
+    if history.get("top") is None or history.get("gaps") != 0:
+        return False
     for version in range(seen + 1, latest + 1):
         head = store.head(bronze, version)
-        hashes = None if head is None else head.lineage.get("key_hashes")
-        if hashes is None or head.lineage.get("hash_keys") != list(keys):
-            return None
-        out.update(int(h) % buckets for h in hashes)
+        first = None if head is None else head.lineage.get("order_first")
+        if first is None or head.lineage.get("order_gaps") != 0 or first <= history["top"]:
+            return False
+    return True
+
+
+def _kept_parts(store: TableStore, cfg: SourceRegistration, hist_head, new_rows: DataFrame, touched: set[int],
+                buckets: int, only_later: bool) -> frozenset[str]:
+    """Closed folders of the touched buckets that the new rows leave alone."""
+    parts = [p for p in hist_head.parts if bucket_of(p) in touched]
+    closed = Counter(bucket_of(p) for p in parts if segment_of(p) == CLOSED)
+    # folders of all segments together, or too many closed ones: written anew
+    anew = {bucket_of(p) for p in parts if segment_of(p) is None} | {b for b, n in closed.items() if n >= CLOSED_PARTS}
+    clean = touched - anew
+    if clean and not only_later:
+        open_rows = store.read_parts(hist_head.schema, [p for p in parts if bucket_of(p) in clean and segment_of(p) != CLOSED])
+        late = late_buckets(open_rows, new_rows, cfg.primary_keys, cfg.ordering_column, bucket_column(cfg.primary_keys, buckets))
+        clean -= {int(r[0]) for r in late.collect()}  # at most one row a bucket
+    return frozenset(p for p in parts if segment_of(p) == CLOSED and bucket_of(p) in clean)
+
+
+def key_bitmaps(store: TableStore, bronze: str, first: int, last: int, keys: list[str]) -> dict[int, str]:
+    """Key-hash bitmap of each landing from version ``first`` to ``last``;
+    versions that did not record one (or hashed other columns) are left out."""
+    out = {}
+    for version in range(first, last + 1):
+        head = store.head(bronze, version)
+        if head is not None and head.lineage.get("key_bitmap") and head.lineage.get("hash_keys") == list(keys):
+            out[version] = head.lineage["key_bitmap"]
     return out
 
 
+def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int,
+                      keys: list[str]) -> set[int] | None:
+    """Touched buckets from the bitmaps of the landings after version ``seen``;
+    ``None`` when a landing has none or the bucket count does not divide the
+    hash range (the new rows are read for their buckets then)."""
+    if KEY_HASHES % buckets:
+        return None
+    maps = key_bitmaps(store, bronze, seen + 1, latest, keys)
+    if len(maps) < latest - seen:
+        return None
+    return {h % buckets for bitmap in maps.values() for h in members(bitmap)}
+
+
+def folders_with_keys(store: TableStore, head, bronze: str, keys: list[str], hashes: list[int]) -> list[str]:
+    """The folders of bronze version ``head`` that may hold a key with one of
+    ``hashes``: all but those whose landing recorded none of them."""
+    wanted = to_bitmap(hashes, KEY_HASHES)
+    skipped = set()
+    for version, bitmap in key_bitmaps(store, bronze, 1, head.version, keys).items():
+        if not overlap(bitmap, wanted):
+            skipped.add(store.head(bronze, version).parts[-1])  # a landing adds one folder
+    return [p for p in head.parts if p not in skipped]
+
+
 def folded_version(store: TableStore, cfg: SourceRegistration) -> int | None:
     """The bronze version that the silver history was built from."""
     head = store.head(cfg.silver_history_table) if cfg.silver_history_table else None
@@ -255,10 +339,12 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration, bronze_head=Non
 
     Incremental (default, ``options.fold_mode``): the storage buckets of the
     keys in bronze folders added since the bronze version the history was
-    built from are re-windowed from their old history rows plus the new
-    bronze rows; every other bucket is carried over.  Bronze is not
-    re-read.  Equal to a full rebuild because SCD2 is computed per key and
-    each history row stands for one bronze row.  Falls back to a full
+    built from are re-windowed from their live and open rows plus the new
+    bronze rows, and versions that close are appended; a bucket with a late
+    row is re-windowed from all its rows.  Everything else is carried over
+    and bronze is not re-read.  Equal to a full rebuild because SCD2 is
+    computed per key, each history row stands for one bronze row, and a
+    closed row stays as it is while rows only follow it.  Falls back to a full
     rebuild without such lineage (first build, after a restore, bucket count
     changed) or when bronze was rewritten.
     """
@@ -296,11 +382,15 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration, bronze_head=Non
                     int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
                 }  # at most ``nb`` values
             like = [c for c in bronze_head.schema.fieldNames() if c not in ("source_name", "load_mode")]
-            rewrite, _ = _split_parts(hist_head, touched, nb)
+            keep = _kept_parts(store, cfg, hist_head, new_rows, touched, nb,
+                               _only_later(store, cfg.bronze_table, seen.version, bronze_head.version, hist_head.lineage))
+            rewrite = [p for p in _split_parts(hist_head, touched, nb)[0] if p not in keep]
             old_rows = store.read_parts(hist_head.schema, rewrite).select(*like)
             scope = old_rows.unionByName(new_rows.select(*like))
+            counts = (hist_head.row_count, bronze_head.row_count, seen.row_count)
+            total = None if None in counts else counts[0] + counts[1] - counts[2]  # every landed row is one history row
             return fold_silver(store, cfg, scope, touched=touched, lineage=lineage,
-                               row_count_hint=bronze_head.row_count)
+                               row_count_hint=bronze_head.row_count, keep_parts=keep, history_rows=total)
     return fold_silver(store, cfg, store.read(cfg.bronze_table, bronze_head.version), lineage=lineage,
                        row_count_hint=bronze_head.row_count)
 
@@ -356,9 +446,13 @@ def run_source(
         ordering = cfg.ordering_column
         if ordering and ordering in extract.columns:
             metrics.append(F.max(F.col(ordering)).cast("string").alias("mark"))
+            metrics.append(F.count_if(F.col(ordering).isNull()).alias("order_gaps"))
+            number = order_number(ordering, extract.schema[ordering].dataType)
+            if number is not None:
+                metrics.append(F.min(number).alias("order_first"))
         if cfg.primary_keys and all(k in landed.columns for k in cfg.primary_keys):
-            # at most LANDING_HASHES distinct values: the fold's touched buckets
-            metrics.append(F.collect_set(bucket_column(cfg.primary_keys, LANDING_HASHES)).alias("hashes"))
+            # at most KEY_HASHES distinct values: the fold's touched buckets, and what a replay can skip
+            metrics.append(F.collect_set(bucket_column(cfg.primary_keys, KEY_HASHES)).alias("hashes"))
         earlier = landed_before(store, cfg.bronze_table, landing_tag)
         if earlier is None:
             obs = Observation(f"land_{uuid.uuid4().hex[:12]}")
@@ -380,8 +474,9 @@ def run_source(
         if earlier is None:
             note = {"batch_id": batch_id, "tag": landing_tag, "rows": rows, "mark": mark}
             if seen.get("hashes") is not None:
-                note["key_hashes"] = sorted(int(h) for h in seen["hashes"])
+                note["key_bitmap"] = to_bitmap(seen["hashes"], KEY_HASHES)
                 note["hash_keys"] = list(cfg.primary_keys)
+            note.update({k: seen[k] for k in ("order_first", "order_gaps") if seen.get(k) is not None})
             store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
         results = [row_count_result(rows), required_columns_result(landed.columns, cfg.required_columns)]
         control.insert_quality_results(batch_id, source_name, results)

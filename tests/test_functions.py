@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from strata.config import ReplayRequest, SourceRegistration, from_row
 from strata.functions.options import normalize_list_col
-from strata.functions.watermark import mark_literal, mark_text
+from strata.functions.watermark import mark_literal
 from strata.operators.bronze import enrich_bronze
 from strata.operators.quality import required_columns_result, rollup, row_count_result
 from strata.plans.control import REGISTRATION_SCHEMA, normalize_registrations, normalize_requests
@@ -58,11 +58,7 @@ def test_normalize_registrations_frame(spark):
     assert rows["b"]["load_mode"] == "CDC" and rows["b"]["primary_keys"] == []
 
 
-def test_mark_text_and_literals(spark):
-    assert mark_text(datetime(2026, 4, 1, 8, 15)) == "2026-04-01 08:15:00"
-    assert mark_text(datetime(2026, 4, 1, 8, 15, 0, 250000)) == "2026-04-01 08:15:00.250000"
-    assert mark_text(date(2026, 4, 1)) == "2026-04-01"
-    assert mark_text(Decimal("12.50")) == "12.50"
+def test_mark_literals(spark):
     assert mark_literal(None, "TIMESTAMP") is None
     row = spark.range(1).select(
         mark_literal("2026-04-01 08:15:00", "TIMESTAMP", T.TimestampNTZType()).alias("a"),

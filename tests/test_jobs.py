@@ -26,4 +26,4 @@ def test_pipeline_job_without_sources_fails_clearly():
 def test_replay_job_without_requests_fails_clearly():
     done = _run("strata.jobs.replay_runner")
     assert done.returncode != 0
-    assert "No replay requests with status REQUESTED were found" in done.stderr
+    assert "No replay request is waiting" in done.stderr

@@ -8,6 +8,8 @@ from oracle_compare import compare, duck
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
+#: queries of the optional part, some of which SQL cannot express; that part's own tests hold them to brute force
+OPTIONAL = set(entry.TEXT_QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) <= OPTIONAL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     ok, msg = compare(df, con, ORACLE[name])

@@ -64,7 +64,6 @@ def test_fold_with_buckets_subbuckets_and_hot_keys(spark, monkeypatch):
 
     monkeypatch.setattr(runs, "ROWS_PER_SILVER_BUCKET", 60)
     monkeypatch.setattr(runs, "ROWS_PER_WINDOW_GROUP", 30)
-    monkeypatch.setattr(runs, "MAX_SILVER_BUCKETS", 4)
     spark.conf.set("strata.scd2.rowsPerBucket", "3")
     try:
         for name in ("fold_incremental", "replay_entity_rebuild"):
