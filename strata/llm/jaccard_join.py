@@ -7,13 +7,21 @@ of the tokens.  Every order puts rare tokens first (levels of a fixed-size
 document-frequency sketch over all documents) and breaks ties by its own hash.
 
 1. Order 1 finds the tokens that sets of different classes share; all other
-   sets are done.  The sets that are left are written once.
+   sets are done.  One document of each class that is left is read again, chosen
+   in the scan by a fixed-size filter over ids, and its set is stored as half
+   hashes (4 bytes a token).
 2. A few rounds of hooks: each set is verified against the few sets with which it
    shares most prefix tokens, and the links found join components.  Large groups
    of near copies fall together here without their pairs being made.
 3. The exact step covers what can still join components: pairs of different
    components that share a prefix token under order 1 and under each further
-   order (positions and sizes bound the overlap in each), verified on the sets.
+   order (positions and sizes bound the overlap in each).  Half hashes can only
+   add to an overlap, so they drop no link; pairs that pass by a few tokens only
+   are decided on whole hashes, read for their classes alone.
+
+A token's rows are walked as a sorted stream with one row kept, and where pairs
+are made the rows of a token with more than ``BLOCK`` classes are dealt to pairs
+of blocks, so no task holds a frequent token's rows.
 
 Each step keeps every pair that could be linked or is already connected, so
 components lose no link.
@@ -30,6 +38,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +52,8 @@ ORDERS = 3
 HOOK_ROUNDS = 2
 SPREAD = 16
 PARTNERS = 3
+FILTER_BITS = 26  # ids of the documents to read again: 8 MB whatever their number
+BLOCK = 2048  # classes of one token that meet in one task
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -114,7 +125,7 @@ def _census(width: int):
         rows = counts.reshape(64, -1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None] * 64, pa.int64()), pa.array([0] * 64, pa.int64()), pa.array([0] * 64, pa.int64()), pa.array(range(64), pa.int32()),
-             pa.array([r.astype("<i8").tobytes() for r in rows], pa.binary())], names=["doc_id", "n", "cls", "block", "counts"])
+             pa.array([zstandard.compress(r.astype("<i8").tobytes(), 3) for r in rows], pa.binary())], names=["doc_id", "n", "cls", "block", "counts"])
 
     return run
 
@@ -123,7 +134,7 @@ def _add_counts(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-            total[block] = total.get(block, 0) + np.frombuffer(data, "<i8")
+            total[block] = total.get(block, 0) + np.frombuffer(zstandard.decompress(data), "<i8")
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["block", "counts"])
 
 
@@ -147,7 +158,7 @@ def _prefix_rows(width: int, percent: int, levels: np.ndarray):
 
 
 def _rows_of(sets, order, levels, percent, seen=None):
-    token, cls, size, pos = [], [], [], []
+    token, cls, at = [], [], []
     for s in sets:
         c = class_of(s)
         if seen is not None:
@@ -157,55 +168,51 @@ def _rows_of(sets, order, levels, percent, seen=None):
         p = prefix(s, order, levels, percent)
         token.append(p)
         cls.append(np.full(len(p), c, np.int64))
-        size.append(np.full(len(p), len(s), np.int32))
-        pos.append(np.arange(len(p), dtype=np.int32))
+        at.append((len(s) << 32) + np.arange(len(p), dtype=np.int64))
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
     return pa.RecordBatch.from_arrays(
-        [pa.array(join(token, np.uint64).view(np.int64)), pa.array(join(cls, np.int64)), pa.array(join(size, np.int32)), pa.array(join(pos, np.int32))],
-        names=["token", "cls", "n", "pos"])
+        [pa.array(join(token, np.uint64).view(np.int64)), pa.array(join(cls, np.int64)), pa.array(join(at, np.int64))], names=["token", "cls", "at"])
 
 
-PREFIX_SCHEMA = "token long, cls long, n int, pos int"
+# at: size of the set and the token's place in its prefix, in one number that sorts by size first
+PREFIX_SCHEMA = "token long, cls long, at long"
 
 
-def _by_token(batches, names):
-    """Runs of whole tokens (rows arrive sorted by token) as numpy columns."""
-    held = None
+def _columns(batches, names):
     for batch in batches:
-        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
-        held = now if held is None else [np.concatenate([a, b]) for a, b in zip(held, now)]
-        if len(held[0]) and held[0][0] != held[0][-1]:
-            cut = int(np.searchsorted(held[0], held[0][-1], side="left"))
-            yield [c[:cut] for c in held]
-            held = [c[cut:] for c in held]
-    if held is not None and len(held[0]):
-        yield held
+        if batch.num_rows:
+            yield [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
 
 
 def _shared(percent: int):
     """The rows of tokens that another class of a fitting size has too, each
-    (token, class) once.  Next to its neighbours by size a class sees at once
-    whether any class of its token fits."""
+    (token, class) once.  Rows come sorted by token and size, so next to its
+    neighbours a class sees at once whether any class of its token fits; of the
+    rows before only the last one is kept."""
 
     def run(batches):
-        for token, cls, n, pos in _by_token(batches, ["token", "cls", "n", "pos"]):
-            order = np.lexsort((cls, n, token))
-            token, cls, n, pos = (c[order] for c in (token, cls, n, pos))
-            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1])][: len(token)]
-            token, cls, n, pos = token[new], cls[new], n[new], pos[new]
-            fits = (token[1:] == token[:-1]) & (least_overlap(n[1:].astype(np.int64), percent) <= n[:-1])
-            both = np.r_[False, fits][: len(token)]
-            both[: len(fits)] |= fits
-            if both.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[both]) for c in (token, cls, n, pos)], names=["token", "cls", "n", "pos"])
+        held = None  # (token, class, at, whether it is wanted already)
+        for token, cls, at in _columns(batches, ["token", "cls", "at"]):
+            wanted = np.zeros(len(token), bool)
+            if held is not None:
+                token, cls, at = (np.r_[h, c] for h, c in zip(held, (token, cls, at)))
+                wanted = np.r_[held[3], wanted]
+            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
+            token, cls, at, wanted = token[new], cls[new], at[new], wanted[new]
+            n = at >> 32
+            fits = (token[1:] == token[:-1]) & (least_overlap(n[1:], percent) <= n[:-1])
+            wanted[1:] |= fits
+            wanted[:-1] |= fits
+            out = wanted[:-1]
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[:-1][out]) for c in (token, cls, at)], names=["token", "cls", "at"])
+            held = token[-1:], cls[-1:], at[-1:], wanted[-1:]
+        if held is not None and held[3][0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[:3]], names=["token", "cls", "at"])
 
     return run
 
 
-def sorted_by_token(rows: DataFrame) -> DataFrame:
-    return rows.repartition("token").sortWithinPartitions("token", "cls", "n")
-
-
 def _fit(n1, p1, n2, p2, percent):
     """Whether sizes allow a link, and positions too if this is the first prefix
     token that the pair shares."""
@@ -213,66 +220,120 @@ def _fit(n1, p1, n2, p2, percent):
     return sizes & ((100 + percent) * np.minimum(n1 - p1, n2 - p2) >= percent * (n1 + n2))
 
 
-def _hooks(turn: int, percent: int):
-    """Each set with the pivot of its token; the pivot is the smallest by a hash
-    that depends on the turn and a few bits of the token."""
+def _hooks(percent: int):
+    """Each set with the pivot of its token, the first of its rows."""
 
     def run(batches):
-        for token, cls, n, pos, root in _by_token(batches, ["token", "cls", "n", "pos", "root"]):
-            if len(token) == 0:
-                continue
-            salt = mix(((token & (SPREAD - 1)) + SPREAD * turn).astype(np.uint64))
-            order = np.lexsort((mix(cls.view(np.uint64) ^ salt), token))
-            token, cls, n, pos, root = (c[order] for c in (token, cls, n, pos, root))
+        pivot = None
+        for token, cls, at, root in _columns(batches, ["token", "cls", "at", "root"]):
+            if pivot is not None:
+                token, cls, at, root = (np.r_[p, c] for p, c in zip(pivot, (token, cls, at, root)))
             first = np.r_[True, token[1:] != token[:-1]]
             lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-            n, pos = n.astype(np.int64), pos.astype(np.int64)
+            n, pos = at >> 32, at & 0xFFFFFFFF
             ok = (root != root[lead]) & _fit(n, pos, n[lead], pos[lead], percent)
             if ok.any():
                 yield pa.RecordBatch.from_arrays([pa.array(cls[ok]), pa.array(cls[lead][ok])], names=["a", "b"])
+            pivot = [c[lead[-1:]] for c in (token, cls, at, root)]
 
     return run
 
 
+def hooked(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of sets and pivots; the pivot of a token is the smallest by a hash
+    that depends on the turn and a few bits of the token."""
+    salt = F.xxhash64("cls", F.col("token").bitwiseAND(SPREAD - 1), F.lit(turn))
+    dealt = rows.withColumn("salt", salt).repartition("token").sortWithinPartitions("token", "salt", "cls")
+    return dealt.select("token", "cls", "at", "root").mapInArrow(_hooks(percent), "a long, b long")
+
+
+def _groups(batches, names):
+    """Whole groups of equal (token, part), many at a time; rows come sorted so."""
+    held: list = []
+    for now in _columns(batches, names):
+        change = np.flatnonzero((now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])) + 1
+        joined = bool(held) and held[-1][0][-1] == now[0][0] and held[-1][1][-1] == now[1][0]
+        if joined and not len(change):
+            held.append(now)  # the group goes on: nothing is copied yet
+            continue
+        cut = int(change[-1]) if len(change) else 0
+        whole = [*held, [c[:cut] for c in now]]
+        yield [np.concatenate(c) for c in zip(*whole)]
+        held = [[c[cut:] for c in now]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def _crossings(percent: int):
-    """All pairs of different components in a token's group that sizes and
-    positions allow, smaller class first."""
+    """All pairs of different components in a group that sizes and positions
+    allow, smaller class first; between two blocks only pairs of both."""
 
     def run(batches):
-        for token, cls, n, pos, root in _by_token(batches, ["token", "cls", "n", "pos", "root"]):
-            n, pos = n.astype(np.int64), pos.astype(np.int64)
-            edges = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
+        for token, part, cls, at, root, block in _groups(batches, ["token", "part", "cls", "at", "root", "block"]):
+            if not len(token):
+                continue
+            n, pos = at >> 32, at & 0xFFFFFFFF
+            edges = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (part[1:] != part[:-1]), True])
             two = edges[:-1][np.diff(edges) == 2]  # most groups hold two classes
             ok = (root[two] != root[two + 1]) & _fit(n[two], pos[two], n[two + 1], pos[two + 1], percent)
+            ok &= (part[two] < 0) | (block[two] != block[two + 1])
             a, b = cls[two[ok]], cls[two[ok] + 1]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if hi - lo < 3:
                     continue
-                r = root[lo:hi]
+                r, c, size, place, blk = (x[lo:hi] for x in (root, cls, n, pos, block))
                 if (r == r[0]).all():
                     continue
-                c, size, at = cls[lo:hi], n[lo:hi], pos[lo:hi]
                 names, group, many = np.unique(r, return_inverse=True, return_counts=True)
-                for i in np.flatnonzero(group != many.argmax()):  # members of the largest component meet only the others
-                    ok = (r != r[i]) & _fit(size, at, size[i], at[i], percent)
-                    ok &= (group == many.argmax()) | (c > c[i])
+                most = group == many.argmax()
+                for i in np.flatnonzero(~most):  # members of the largest component meet only the others
+                    ok = (r != r[i]) & _fit(size, place, size[i], place[i], percent)
+                    ok &= most | (c > c[i])
+                    if part[lo] >= 0:
+                        ok &= blk != blk[i]
                     if ok.any():
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[ok], c[i])), pa.array(np.maximum(c[ok], c[i]))], names=["a", "b"])
 
     return run
 
 
+def crossings(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of different components that share a token of ``rows``.
+
+    Tokens of one component make no pairs and are left out first.  A token of
+    more than ``BLOCK`` classes is dealt to pairs of blocks: part -1 is a whole
+    group or one block with itself, any other part is two blocks."""
+    many = materialize(rows.groupBy("token").agg(F.count("*").alias("rows"), (F.min("root") != F.max("root")).alias("mixed"))
+                       .where("mixed").select(F.col("token").alias("t"), F.ceil(F.col("rows") / BLOCK).cast("long").alias("blocks")))
+    rows = rows.join(many, F.col("token") == F.col("t")).drop("t")
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks"))
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    lower, upper = F.least("block", "other"), F.greatest("block", "other")
+    # one block with itself is named by a token of its own, so that it goes to another task than its neighbours
+    alone = F.col("block") == F.col("other")
+    rows = rows.select(
+        F.when(F.col("blocks") == 1, F.col("token")).otherwise(F.xxhash64("token", lower, upper)).alias("token"),
+        F.when(alone, F.lit(-1)).otherwise(lower * F.col("blocks") + upper).alias("part"), "cls", "at", "root", "block")
+    return rows.repartition("token").sortWithinPartitions("token", "part", "cls").mapInArrow(_crossings(percent), "a long, b long").distinct()
+
+
+def _overlap(x, y) -> int:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    return int((large[at] == small).sum())
+
+
 def _verify(percent: int):
+    """Pairs of whole sets (8-byte hashes) that are linked."""
+
     def run(batches):
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                good.append((100 + percent) * int((large[at] == small).sum()) >= percent * (len(x) + len(y)))
+                good.append((100 + percent) * _overlap(x, y) >= percent * (len(x) + len(y)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
@@ -283,30 +344,68 @@ def _short(tokens: np.ndarray) -> bytes:
     return np.sort((tokens >> np.uint64(32)).astype("<u4")).tobytes()
 
 
-def _may_link(percent: int):
+def _judge(percent: int):
+    """Pairs of half-hash sets that may be linked, and whether that is sure.
+
+    Half hashes of two sets agree by chance about n1 * n2 / 2^32 times; ``slack``
+    further tokens leave less than 1e-15 that chance made the link."""
+
     def run(batches):
         for batch in batches:
-            good = []
+            may, sure = [], []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                good.append((100 + percent) * int((large[at] == small).sum()) >= percent * (len(x) + len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+                common, need = _overlap(x, y), percent * (len(x) + len(y))
+                slack = 4 + int(10 * len(x) * len(y) / 2**32)
+                may.append((100 + percent) * common >= need)
+                sure.append((100 + percent) * (common - slack) >= need)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sure, pa.bool_())], names=["a", "b", "sure"]).filter(pa.array(may, pa.bool_()))
 
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of the pairs: first on half hashes, which lose no link, then
-    on whole ones.  ``sets`` is bucketed by class, so only pairs are shuffled."""
+def _with_sets(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    x, y = (sets.select(F.col("cls").alias(k), F.col(column).alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+
 
-    def with_sets(pairs, column):
-        x, y = (sets.select(F.col("cls").alias(k), F.col(column).alias(v)) for k, v in (("a", "x"), ("b", "y")))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+def judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, sure) of the pairs that may be linked.  ``sets`` is bucketed by
+    class, so only pairs are shuffled."""
+    return _with_sets(pairs, sets, "short").mapInArrow(_judge(percent), "a long, b long, sure boolean")
 
-    likely = materialize(with_sets(pairs, "short").mapInArrow(_may_link(percent), "a long, b long"))
-    return with_sets(likely, "tokens").mapInArrow(_verify(percent), "a long, b long")
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits of a fixed-size filter (two for each ``id_hash``): at most 2^20 words
+    of 64 bits, whatever the number of ids; a full filter lets all rows pass."""
+    bits = F.explode(F.array(*[F.pmod(F.shiftright("id_hash", k), F.lit(1 << FILTER_BITS)) for k in (0, 32)]))
+    words = (ids.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toArrow())
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    return out
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
+    """(cls, tokens or short) of at least the classes of ``wanted`` (cls, least);
+    built in one scan, in which only documents of the filter are cut into shingles."""
+    bits = id_filter(wanted.select(F.xxhash64("least").alias("id_hash")))
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column("id_hash").to_numpy(zero_copy_only=False)
+            passed = np.ones(len(h), bool)
+            for k in (0, 32):
+                at = (h >> k) & ((1 << FILTER_BITS) - 1)
+                passed &= (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            for _, found in _each_set([batch.filter(pa.array(passed))], width):
+                found = [s for s in found if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([class_of(s) for s in found], pa.int64()),
+                     pa.array([s.astype("<u8").tobytes() if whole else _short(s) for s in found], pa.binary())], names=["cls", name])
+
+    name = "tokens" if whole else "short"
+    return docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, f"cls long, {name} binary")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -315,9 +414,10 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     census = materialize(docs.mapInArrow(_census(width), "doc_id long, n long, cls long, block int, counts binary"))
     rows = census.where("block < 0").select("doc_id", "n", "cls")
     levels = frequency_levels(census)
-    shared = materialize(sorted_by_token(docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA)).mapInArrow(_shared(percent), PREFIX_SCHEMA))
+    rows_by_token = docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA).repartition("token").sortWithinPartitions("token", "at", "cls")
+    shared = materialize(rows_by_token.mapInArrow(_shared(percent), PREFIX_SCHEMA))
     classes = rows.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("least"))
-    names = components(_links(docs, rows, classes, shared, levels, width, percent))
+    names = components(_links(docs, classes, shared, levels, width, percent))
     least = classes.join(names, classes.cls == names.node, "left").select("cls", "n", "least", F.coalesce("root", "cls").alias("root"))
     top = least.groupBy("root").agg(F.min("least").alias("component_id"))
     named = least.join(top, "root").select(F.col("cls").alias("_c"), F.col("n").alias("_n"), "component_id")
@@ -325,52 +425,48 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls"))
 
 
-def _links(docs, rows, classes, shared, levels, width, percent) -> DataFrame:
+def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
     """Verified links (a, b) of classes that connect all that is linked."""
-    left = shared.select("cls", "n").distinct().join(classes, ["cls", "n"])
-    texts = docs.join(left.select("cls", F.col("least").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id"))).select("cls", "text")
-
-    def write_sets(batches):
-        for part, found in _each_set(batches, width):
-            wanted = part.column("cls").to_pylist()
-            keep = [i for i, s in enumerate(found) if len(s) and class_of(s) == wanted[i]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([wanted[i] for i in keep], pa.int64()), pa.array([found[i].astype("<u8").tobytes() for i in keep], pa.binary()),
-                 pa.array([_short(found[i]) for i in keep], pa.binary())], names=["cls", "tokens", "short"])
-
-    buckets = partitions_for(docs.sparkSession)
+    spark = docs.sparkSession
+    left = materialize(shared.select("cls").distinct().join(classes, "cls").select("cls", "least"))
+    buckets = partitions_for(spark)
     name = f"strata_sets_{uuid.uuid4().hex}"
-    (texts.mapInArrow(write_sets, "cls long, tokens binary, short binary").repartition(buckets, "cls").dropDuplicates(["cls"])
+    (sets_of(docs, left, width, False).repartition(buckets, "cls").dropDuplicates(["cls"])
      .write.bucketBy(buckets, "cls").sortBy("cls").saveAsTable(name))
-    sets = docs.sparkSession.table(name)
-    links = None
-    roots = None
+    sets = spark.table(name)
+    links = roots = None
     for turn in range(HOOK_ROUNDS):
-        pairs = sorted_by_token(_with_roots(shared, roots)).mapInArrow(_hooks(turn, percent), "a long, b long")
-        votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
+        votes = hooked(_with_roots(shared, roots), turn, percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
         ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most one per prefix token
         best = votes.groupBy("a").agg(F.slice(ranked, 1, PARTNERS).alias("few")).select("a", F.explode("few.b").alias("b"))
-        found = materialize(verified(best, sets, percent))
+        # pairs that are not sure are left to the exact step
+        found = materialize(judged(best, sets, percent).where("sure").select("a", "b"))
         links = found if links is None else links.union(found)
         roots = components(links)
-    first = materialize(_with_roots(shared, roots))
-    found = materialize(sorted_by_token(first).mapInArrow(_crossings(percent), "a long, b long").distinct())
-    alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
-    few = sets.join(alive, "cls", "left_semi").select("cls", "tokens")
+    found = materialize(crossings(materialize(_with_roots(shared, roots)), percent))
     for order in range(1, ORDERS):
-        prefixes = _with_roots(few.mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA), roots)
-        found = found.join(sorted_by_token(prefixes).mapInArrow(_crossings(percent), "a long, b long").distinct(), ["a", "b"], "left_semi")
-    links = links.union(materialize(verified(found, sets, percent)))
-    docs.sparkSession.sql(f"DROP TABLE {name}")  # the links are written
-    return links
+        alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
+        prefixes = docs_prefixes(docs, alive.join(classes, "cls"), order, levels, width, percent)
+        found = materialize(found.join(crossings(_with_roots(prefixes, roots), percent), ["a", "b"], "left_semi"))
+    checked = materialize(judged(found, sets, percent))
+    close = checked.where("not sure").select("a", "b")
+    classes_of_close = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "cls")
+    whole = sets_of(docs, classes_of_close.join(classes, "cls").select("cls", "least"), width, True).dropDuplicates(["cls"])
+    exact = materialize(_with_sets(close, whole, "tokens").mapInArrow(_verify(percent), "a long, b long"))
+    spark.sql(f"DROP TABLE {name}")  # the links are written
+    return links.union(checked.where("sure").select("a", "b")).union(exact)
+
+
+def docs_prefixes(docs: DataFrame, wanted: DataFrame, order: int, levels: np.ndarray, width: int, percent: int) -> DataFrame:
+    """Prefix rows of the wanted classes under a further order, from their documents."""
+    rows = sets_of(docs, wanted, width, True).mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA)
+    return materialize(rows.join(wanted.select("cls"), "cls", "left_semi").select("token", "cls", "at").distinct())
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        named = rows.withColumn("root", F.col("cls"))
-    else:
-        named = rows.join(roots, rows.cls == roots.node, "left").select("token", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-    return named
+        return rows.withColumn("root", F.col("cls"))
+    return rows.join(roots, rows.cls == roots.node, "left").select("token", "cls", "at", F.coalesce("root", "cls").alias("root"))
 
 
 def _set_prefixes(order: int, levels: np.ndarray, percent: int):
@@ -387,9 +483,9 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     Of rows equal in id and text one stays.  Rows without an id stay unless their
     component is named by an id or they repeat such a row."""
     found = materialize(similar_components(docs, width, percent))
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
-    stay = materialize(stay)
-    kept = docs.join(stay.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    if stay.where("__rows > 1").limit(1).count() == 0:
+    own, rows = f"id_{uuid.uuid4().hex}", f"rows_{uuid.uuid4().hex}"  # names that no input column has
+    stay = materialize(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(rows)))
+    kept = docs.join(stay.select(own), F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
+    if stay.where(F.col(rows) > 1).limit(1).count() == 0:
         return kept
     return kept.dropDuplicates(["doc_id", "text"])
