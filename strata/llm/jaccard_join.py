@@ -15,7 +15,7 @@ document-frequency sketch over all documents) and breaks ties by its own hash.
    of near copies fall together here without their pairs being made.
 3. The exact step covers what can still join components: pairs of different
    components that share a prefix token under order 1 and under each further
-   order (positions and sizes bound the overlap in each).  Half hashes can only
+   order (positions, sizes and parity signatures bound the overlap in each).  Half hashes can only
    add to an overlap, so they drop no link; pairs that pass by a few tokens only
    are decided on whole hashes, read for their classes alone.
 
@@ -49,11 +49,11 @@ WIDTH = 4
 PERCENT = 85
 SKETCH_BITS = 20
 ORDERS = 3
-HOOK_ROUNDS = 2
 SPREAD = 16
-PARTNERS = 3
+HOOKS = ((1, 3), (3, 12), (4, 24))  # of each round: pivots a token, partners that a set is verified against
 FILTER_BITS = 26  # ids of the documents to read again: 8 MB whatever their number
 BLOCK = 2048  # classes of one token that meet in one task
+WHOLE_UP_TO = 256  # sets of so many tokens are stored with whole hashes
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -176,6 +176,8 @@ def _rows_of(sets, order, levels, percent, seen=None):
 
 # at: size of the set and the token's place in its prefix, in one number that sorts by size first
 PREFIX_SCHEMA = "token long, cls long, at long"
+# with the set's component and the two words of its signature
+ROW = ["token", "cls", "at", "root", "x", "y"]
 
 
 def _columns(batches, names):
@@ -220,31 +222,42 @@ def _fit(n1, p1, n2, p2, percent):
     return sizes & ((100 + percent) * np.minimum(n1 - p1, n2 - p2) >= percent * (n1 + n2))
 
 
-def _hooks(percent: int):
-    """Each set with the pivot of its token, the first of its rows."""
+def _near(n1, x1, y1, n2, x2, y2, percent):
+    """Whether signatures allow a link: bits of parity that differ are at most as
+    many as the tokens that only one of the sets has."""
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in ((x1, x2), (y1, y2)))
+    return apart <= n1 + n2 - 2 * -(-percent * (n1 + n2) // (100 + percent))
+
+
+def _hooks(percent: int, pivots: int):
+    """Each set with the pivots of its token, the first of its rows."""
 
     def run(batches):
-        pivot = None
-        for token, cls, at, root in _columns(batches, ["token", "cls", "at", "root"]):
-            if pivot is not None:
-                token, cls, at, root = (np.r_[p, c] for p, c in zip(pivot, (token, cls, at, root)))
+        held = None
+        for now in _columns(batches, ROW):
+            if held is not None:
+                now = [np.r_[p, c] for p, c in zip(held, now)]
+            token, cls, at, root, x, y = now
             first = np.r_[True, token[1:] != token[:-1]]
-            lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-            n, pos = at >> 32, at & 0xFFFFFFFF
-            ok = (root != root[lead]) & _fit(n, pos, n[lead], pos[lead], percent)
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(cls[ok]), pa.array(cls[lead][ok])], names=["a", "b"])
-            pivot = [c[lead[-1:]] for c in (token, cls, at, root)]
+            start = np.flatnonzero(first)[np.cumsum(first) - 1]
+            n, pos, row = at >> 32, at & 0xFFFFFFFF, np.arange(len(token))
+            for k in range(pivots):
+                lead = np.minimum(start + k, row)
+                ok = (lead < row) & (root != root[lead]) & _fit(n, pos, n[lead], pos[lead], percent)
+                ok &= _near(n, x, y, n[lead], x[lead], y[lead], percent)
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(cls[ok]), pa.array(cls[lead][ok])], names=["a", "b"])
+            held = [c[start[-1] : start[-1] + pivots] for c in now]
 
     return run
 
 
-def hooked(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of sets and pivots; the pivot of a token is the smallest by a hash
+def hooked(rows: DataFrame, turn: int, pivots: int, percent: int) -> DataFrame:
+    """Pairs of sets and pivots; the pivots of a token are the smallest by a hash
     that depends on the turn and a few bits of the token."""
     salt = F.xxhash64("cls", F.col("token").bitwiseAND(SPREAD - 1), F.lit(turn))
     dealt = rows.withColumn("salt", salt).repartition("token").sortWithinPartitions("token", "salt", "cls")
-    return dealt.select("token", "cls", "at", "root").mapInArrow(_hooks(percent), "a long, b long")
+    return dealt.select(*ROW).mapInArrow(_hooks(percent, pivots), "a long, b long")
 
 
 def _groups(batches, names):
@@ -269,7 +282,7 @@ def _crossings(percent: int):
     allow, smaller class first; between two blocks only pairs of both."""
 
     def run(batches):
-        for token, part, cls, at, root, block in _groups(batches, ["token", "part", "cls", "at", "root", "block"]):
+        for token, part, cls, at, root, x, y, block in _groups(batches, ["token", "part", *ROW[1:], "block"]):
             if not len(token):
                 continue
             n, pos = at >> 32, at & 0xFFFFFFFF
@@ -277,18 +290,19 @@ def _crossings(percent: int):
             two = edges[:-1][np.diff(edges) == 2]  # most groups hold two classes
             ok = (root[two] != root[two + 1]) & _fit(n[two], pos[two], n[two + 1], pos[two + 1], percent)
             ok &= (part[two] < 0) | (block[two] != block[two + 1])
+            ok &= _near(n[two], x[two], y[two], n[two + 1], x[two + 1], y[two + 1], percent)
             a, b = cls[two[ok]], cls[two[ok] + 1]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if hi - lo < 3:
                     continue
-                r, c, size, place, blk = (x[lo:hi] for x in (root, cls, n, pos, block))
+                r, c, size, place, blk, u, v = (z[lo:hi] for z in (root, cls, n, pos, block, x, y))
                 if (r == r[0]).all():
                     continue
                 names, group, many = np.unique(r, return_inverse=True, return_counts=True)
                 most = group == many.argmax()
                 for i in np.flatnonzero(~most):  # members of the largest component meet only the others
-                    ok = (r != r[i]) & _fit(size, place, size[i], place[i], percent)
+                    ok = (r != r[i]) & _fit(size, place, size[i], place[i], percent) & _near(size, u, v, size[i], u[i], v[i], percent)
                     ok &= most | (c > c[i])
                     if part[lo] >= 0:
                         ok &= blk != blk[i]
@@ -314,7 +328,7 @@ def crossings(rows: DataFrame, percent: int) -> DataFrame:
     alone = F.col("block") == F.col("other")
     rows = rows.select(
         F.when(F.col("blocks") == 1, F.col("token")).otherwise(F.xxhash64("token", lower, upper)).alias("token"),
-        F.when(alone, F.lit(-1)).otherwise(lower * F.col("blocks") + upper).alias("part"), "cls", "at", "root", "block")
+        F.when(alone, F.lit(-1)).otherwise(lower * F.col("blocks") + upper).alias("part"), *ROW[1:], "block")
     return rows.repartition("token").sortWithinPartitions("token", "part", "cls").mapInArrow(_crossings(percent), "a long, b long").distinct()
 
 
@@ -325,38 +339,37 @@ def _overlap(x, y) -> int:
     return int((large[at] == small).sum())
 
 
-def _verify(percent: int):
-    """Pairs of whole sets (8-byte hashes) that are linked."""
-
-    def run(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                good.append((100 + percent) * _overlap(x, y) >= percent * (len(x) + len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
+def _halves(tokens: np.ndarray) -> np.ndarray:
+    """Half of each hash, sorted: equal tokens stay equal, so overlaps can only grow."""
+    return np.sort((tokens >> np.uint64(32)).astype("<u4"))
 
 
-def _short(tokens: np.ndarray) -> bytes:
-    """Half of each hash, sorted: equal tokens stay equal, so overlaps can only grow."""
-    return np.sort((tokens >> np.uint64(32)).astype("<u4")).tobytes()
+def _stored(tokens: np.ndarray, whole: bool) -> tuple[bytes | None, bytes | None]:
+    """(whole hashes, half hashes) of a set, one of them null."""
+    if whole or len(tokens) <= WHOLE_UP_TO:
+        return tokens.astype("<u8").tobytes(), None
+    return None, _halves(tokens).tobytes()
 
 
 def _judge(percent: int):
-    """Pairs of half-hash sets that may be linked, and whether that is sure.
+    """Pairs of stored sets that may be linked, and whether that is sure.
+
+    Two sets of whole hashes decide.  Half hashes of two sets agree by chance
+    about n1 * n2 / 2^32 times; ``slack`` further tokens leave less than 1e-15
+    that chance made the link."""
 
-    Half hashes of two sets agree by chance about n1 * n2 / 2^32 times; ``slack``
-    further tokens leave less than 1e-15 that chance made the link."""
+    def read(whole, half):
+        return np.frombuffer(whole.as_buffer(), "<u8") if whole.is_valid else np.frombuffer(half.as_buffer(), "<u4")
 
     def run(batches):
         for batch in batches:
             may, sure = [], []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
+            for x, xh, y, yh in zip(*(batch.column(c) for c in ("x", "xh", "y", "yh"))):
+                x, y, slack = read(x, xh), read(y, yh), 0
+                if x.itemsize + y.itemsize < 16:
+                    x, y = (v if v.itemsize == 4 else _halves(v) for v in (x, y))
+                    slack = 4 + int(10 * len(x) * len(y) / 2**32)
                 common, need = _overlap(x, y), percent * (len(x) + len(y))
-                slack = 4 + int(10 * len(x) * len(y) / 2**32)
                 may.append((100 + percent) * common >= need)
                 sure.append((100 + percent) * (common - slack) >= need)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sure, pa.bool_())], names=["a", "b", "sure"]).filter(pa.array(may, pa.bool_()))
@@ -364,15 +377,15 @@ def _judge(percent: int):
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    x, y = (sets.select(F.col("cls").alias(k), F.col(column).alias(v)) for k, v in (("a", "x"), ("b", "y")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    x, y = (sets.select(F.col("cls").alias(k), F.col("tokens").alias(v), F.col("halves").alias(v + "h")) for k, v in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "xh", "y", "yh")
 
 
 def judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, sure) of the pairs that may be linked.  ``sets`` is bucketed by
     class, so only pairs are shuffled."""
-    return _with_sets(pairs, sets, "short").mapInArrow(_judge(percent), "a long, b long, sure boolean")
+    return _with_sets(pairs, sets).mapInArrow(_judge(percent), "a long, b long, sure boolean")
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
@@ -387,8 +400,9 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
-    """(cls, tokens or short) of at least the classes of ``wanted`` (cls, least);
-    built in one scan, in which only documents of the filter are cut into shingles."""
+    """(cls, tokens, halves) of at least the classes of ``wanted`` (cls, least);
+    built in one scan, in which only documents of the filter are cut into
+    shingles.  ``whole`` keeps whole hashes for every set."""
     bits = id_filter(wanted.select(F.xxhash64("least").alias("id_hash")))
 
     def run(batches):
@@ -400,12 +414,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> Data
                 passed &= (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             for _, found in _each_set([batch.filter(pa.array(passed))], width):
                 found = [s for s in found if len(s)]
+                kept = [_stored(s, whole) for s in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_of(s) for s in found], pa.int64()),
-                     pa.array([s.astype("<u8").tobytes() if whole else _short(s) for s in found], pa.binary())], names=["cls", name])
+                    [pa.array([class_of(s) for s in found], pa.int64()), *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
+                    names=["cls", "tokens", "halves"])
 
-    name = "tokens" if whole else "short"
-    return docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, f"cls long, {name} binary")
+    return docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, "cls long, tokens binary, halves binary")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -434,25 +448,26 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
     (sets_of(docs, left, width, False).repartition(buckets, "cls").dropDuplicates(["cls"])
      .write.bucketBy(buckets, "cls").sortBy("cls").saveAsTable(name))
     sets = spark.table(name)
+    known = materialize(sets.mapInArrow(_signatures, "cls long, x long, y long"))
     links = roots = None
-    for turn in range(HOOK_ROUNDS):
-        votes = hooked(_with_roots(shared, roots), turn, percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
-        ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most one per prefix token
-        best = votes.groupBy("a").agg(F.slice(ranked, 1, PARTNERS).alias("few")).select("a", F.explode("few.b").alias("b"))
+    for turn, (pivots, partners) in enumerate(HOOKS):
+        votes = hooked(_with_roots(shared, known, roots), turn, pivots, percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
+        ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most a few per prefix token
+        best = votes.groupBy("a").agg(F.slice(ranked, 1, partners).alias("few")).select("a", F.explode("few.b").alias("b"))
         # pairs that are not sure are left to the exact step
         found = materialize(judged(best, sets, percent).where("sure").select("a", "b"))
         links = found if links is None else links.union(found)
         roots = components(links)
-    found = materialize(crossings(materialize(_with_roots(shared, roots)), percent))
+    found = materialize(crossings(materialize(_with_roots(shared, known, roots)), percent))
     for order in range(1, ORDERS):
         alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
         prefixes = docs_prefixes(docs, alive.join(classes, "cls"), order, levels, width, percent)
-        found = materialize(found.join(crossings(_with_roots(prefixes, roots), percent), ["a", "b"], "left_semi"))
+        found = materialize(found.join(crossings(_with_roots(prefixes, known, roots), percent), ["a", "b"], "left_semi"))
     checked = materialize(judged(found, sets, percent))
     close = checked.where("not sure").select("a", "b")
     classes_of_close = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "cls")
     whole = sets_of(docs, classes_of_close.join(classes, "cls").select("cls", "least"), width, True).dropDuplicates(["cls"])
-    exact = materialize(_with_sets(close, whole, "tokens").mapInArrow(_verify(percent), "a long, b long"))
+    exact = materialize(judged(close, whole, percent).select("a", "b"))
     spark.sql(f"DROP TABLE {name}")  # the links are written
     return links.union(checked.where("sure").select("a", "b")).union(exact)
 
@@ -463,10 +478,24 @@ def docs_prefixes(docs: DataFrame, wanted: DataFrame, order: int, levels: np.nda
     return materialize(rows.join(wanted.select("cls"), "cls", "left_semi").select("token", "cls", "at").distinct())
 
 
-def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return rows.withColumn("root", F.col("cls"))
-    return rows.join(roots, rows.cls == roots.node, "left").select("token", "cls", "at", F.coalesce("root", "cls").alias("root"))
+def _signatures(batches):
+    """128 bits of parity for each stored set, from half of each hash."""
+    for batch in batches:
+        words = []
+        for whole, half in zip(batch.column("tokens"), batch.column("halves")):
+            h = _halves(np.frombuffer(whole.as_buffer(), "<u8")) if whole.is_valid else np.frombuffer(half.as_buffer(), "<u4")
+            bit = np.uint64(1) << (h & np.uint32(63)).astype(np.uint64)
+            words.append([int(np.bitwise_xor.reduce(bit[(h >> 6 & 1) == k], initial=np.uint64(0)).astype(np.int64)) for k in (0, 1)])
+        x, y = zip(*words) if words else ((), ())
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["cls", "x", "y"])
+
+
+def _with_roots(rows: DataFrame, known: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows with the component (its own class where it has no link) and the signature of their class."""
+    named = known.withColumn("root", F.col("cls"))
+    if roots is not None:
+        named = known.join(roots, known.cls == roots.node, "left").select("cls", "x", "y", F.coalesce("root", "cls").alias("root"))
+    return rows.join(named, "cls").select(*ROW)
 
 
 def _set_prefixes(order: int, levels: np.ndarray, percent: int):

@@ -270,7 +270,7 @@ def test_jaccard_components_equal_brute_force(docs, rows, width, percent):
 
 
 def test_jaccard_exact_step_alone(docs, rows, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "HOOK_ROUNDS", 1)
+    monkeypatch.setattr(jaccard_join, "HOOKS", ((1, 1),))
     got = sorted_rows(jaccard_join.similar_components(docs), "doc_id", "n_shingles", "component_id")
     assert got == brute_components(rows, 4, 85)
 
