@@ -179,6 +179,47 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FILTER_BITS = 26  # 8 MB whatever the number of hashes
+
+
+def hash_filter(rows: DataFrame, column: str) -> np.ndarray:
+    """Bits of a fixed-size filter, two for each 64-bit hash in ``column``: at most
+    2^20 words of 64 bits come to the driver; a full filter lets all rows pass."""
+    bits = F.explode(F.array(*[F.pmod(F.shiftright(column, k), F.lit(1 << FILTER_BITS)) for k in (0, 32)]))
+    words = (rows.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toArrow())
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    return out
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the filter (all that are, and few others)."""
+    out = np.ones(len(hashes), bool)
+    for k in (0, 32):
+        at = (hashes >> k) & ((1 << FILTER_BITS) - 1)
+        out &= (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
+
+
+MOST_BROADCAST = 100_000  # keys of a list that is broadcast
+
+
+def rows_of_repeated(rows: DataFrame, keys: list[str], counts: DataFrame, hot: int) -> DataFrame:
+    """The rows (a written table) whose key ``counts`` (keys, n) lists, with ``hot``
+    set for keys of more than ``hot`` rows.
+
+    Those keys are few (rows / hot at most); up to ``MOST_BROADCAST`` of them are
+    broadcast, so their rows are marked where they lie and never meet in one task."""
+    big = counts.where(F.col("n") > hot).select(*keys)
+    if big.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST:
+        return rows.join(counts, keys).select(*rows.columns, (F.col("n") > hot).alias("hot"))
+    big = F.broadcast(big)
+    some = rows.join(big, keys, "left_anti").join(counts.where(F.col("n") <= hot).select(*keys), keys, "left_semi")
+    many = rows.join(big, keys, "left_semi")
+    return some.select(*rows.columns, F.lit(False).alias("hot")).union(many.select(*rows.columns, F.lit(True).alias("hot")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node
     of its connected component.

@@ -42,16 +42,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (FOLD, components, keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer,
-                               windows, word_spans)
+from strata.llm.common import (FOLD, components, hash_filter, keep_columns, materialize, mix, partitions_for, passes, slices, span_hashes,
+                               text_buffer, windows, word_spans)
 
 WIDTH = 4
 PERCENT = 85
 SKETCH_BITS = 20
 ORDERS = 3
 SPREAD = 16
-HOOKS = ((1, 3), (3, 12), (4, 24))  # of each round: pivots a token, partners that a set is verified against
-FILTER_BITS = 26  # ids of the documents to read again: 8 MB whatever their number
+HOOKS = ((1, 3), (3, 12))  # of each round: pivots a token, partners that a set is verified against
 BLOCK = 2048  # classes of one token that meet in one task
 WHOLE_UP_TO = 256  # sets of so many tokens are stored with whole hashes
 
@@ -388,30 +387,15 @@ def judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_sets(pairs, sets).mapInArrow(_judge(percent), "a long, b long, sure boolean")
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """Bits of a fixed-size filter (two for each ``id_hash``): at most 2^20 words
-    of 64 bits, whatever the number of ids; a full filter lets all rows pass."""
-    bits = F.explode(F.array(*[F.pmod(F.shiftright("id_hash", k), F.lit(1 << FILTER_BITS)) for k in (0, 32)]))
-    words = (ids.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toArrow())
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[words.column("word").to_numpy()] = words.column("mask").to_numpy()
-    return out
-
-
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
     """(cls, tokens, halves) of at least the classes of ``wanted`` (cls, least);
     built in one scan, in which only documents of the filter are cut into
     shingles.  ``whole`` keeps whole hashes for every set."""
-    bits = id_filter(wanted.select(F.xxhash64("least").alias("id_hash")))
+    bits = hash_filter(wanted.select(F.xxhash64("least").alias("id_hash")), "id_hash")
 
     def run(batches):
         for batch in batches:
-            h = batch.column("id_hash").to_numpy(zero_copy_only=False)
-            passed = np.ones(len(h), bool)
-            for k in (0, 32):
-                at = (h >> k) & ((1 << FILTER_BITS) - 1)
-                passed &= (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            passed = passes(bits, batch.column("id_hash").to_numpy(zero_copy_only=False))
             for _, found in _each_set([batch.filter(pa.array(passed))], width):
                 found = [s for s in found if len(s)]
                 kept = [_stored(s, whole) for s in found]

@@ -7,7 +7,8 @@ it covers are removed from each.
    smallest (hash, position) is its anchor.  The choice depends on the window's
    bytes only, so equal windows have equal anchors at equal offsets, and one
    anchor in about ``(span - k) / 2`` bytes stands for all windows around it.
-   Anchors whose k-gram occurs once are done (a grouped count and a join).
+   Anchors whose k-gram occurs once are done: hashes are counted, and a second
+   scan lets only those of a fixed-size filter out of the task.
 2. *Runs.*  The others carry the suffix that starts at the anchor, cut where
    its last window ends, and the bytes before it back to its first window.  Each
    task sorts the suffixes it has for a target and writes them front-coded: the
@@ -23,6 +24,10 @@ it covers are removed from each.
 
 A k-gram with more than ``HOT`` anchors would make one large target.  Its
 windows are hashed one by one (128 bits) and counted with partial aggregation.
+Such keys are listed, and their rows are marked where they lie.
+
+Passages counted in words are found the same way: anchors among the grams of
+words in each window, from the same two scans, then hashed windows.
 
 Edge cases: null text counts as empty; texts shorter than the span lose
 nothing; equal rows (same id and text) are documents of their own and lose what
@@ -32,13 +37,15 @@ they share; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep_columns, materialize, mix, partitions_for, slices, span_hashes, text_buffer, windows, word_spans
+from strata.llm.common import (hash_filter, keep_columns, materialize, mix, partitions_for, passes, rows_of_repeated, slices, span_hashes,
+                               text_buffer, windows, word_spans)
 
 SPAN = 400
 GRAM = 48
@@ -46,8 +53,10 @@ HOT = 50_000
 TARGET_ROWS = 20_000
 RUN_BYTES = 24_000_000
 GRAM_WORDS = 8
+WORDS = 51  # a passage of more than 50 words
+BYTES, PASSAGE = 0, 1  # kinds of anchors and of ranges
 
-ANCHOR_SCHEMA = "h long, doc_id long, th long, a int, lo int, hi int"
+ANCHOR_SCHEMA = "h long, doc_id long, th long, a int, lo int, hi int, kind int"
 RUN_SCHEMA = ("target int, lcp array<int>, tail array<binary>, before array<binary>, owners array<int>, "
               "owner_id array<long>, owner_th array<long>, owner_at array<int>")
 CUT_SCHEMA = "doc_id long, th long, lo int, hi int"
@@ -401,26 +410,32 @@ def _word_windows(words: int):
     return run
 
 
-def repeated_passages(docs: DataFrame, words: int, gram: int = GRAM_WORDS) -> DataFrame:
-    """As ``repeated_spans``, for strings of ``words`` whole words, of whatever
-    length in bytes.  Windows around repeated anchors are hashed one by one (128
-    bits) and counted with partial aggregation."""
-    found = materialize(docs.mapInArrow(_word_anchors(words, min(gram, words)), ANCHOR_SCHEMA))
-    repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    mark = F.struct("h", "a", "lo", "hi").alias("m")
-    marked = found.join(repeated, "h").select("doc_id", "th", mark)
-    seen = materialize(_with_marks(docs, marked).select("doc_id", "th", "text", "found")
-                       .mapInArrow(_word_windows(words), "w1 long, w2 long, doc_id long, th long, lo int, hi int"))
-    twice = seen.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    return seen.join(twice, ["w1", "w2"]).select("doc_id", "th", "lo", "hi")
+def _all_anchors(span: int, gram: int, words: int, bits: np.ndarray | None = None):
+    """Anchors of both kinds; with ``bits`` only those that the filter lets pass."""
+
+    def run(batches):
+        for batch in batches:
+            kinds = [(BYTES, _find_anchors(span, gram))] + ([(PASSAGE, _word_anchors(words, min(GRAM_WORDS, words)))] if words else [])
+            for kind, find in kinds:
+                for found in find([batch]):
+                    h = found.column("h").to_numpy(zero_copy_only=False)
+                    if kind == PASSAGE:
+                        h = mix(h.view(np.uint64)).view(np.int64)  # names of their own
+                    found = found.set_column(0, "h", pa.array(h, pa.int64())).append_column("kind", pa.array(np.full(len(h), kind), pa.int32()))
+                    yield found if bits is None else found.filter(pa.array(passes(bits, h)))
+
+    return run
 
 
+# names that no input column has
+ID, TH, FOUND = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "th", "found"))
+
 # ---- the operator -----------------------------------------------------------------------
 
 
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    marks = _grouped(marks, "found")
-    return docs.join(marks, (_known(docs.doc_id) == marks["__id"]) & (docs.th == marks["__th"])).drop("__id", "__th")
+    marks = _grouped(marks.select("doc_id", "th", F.struct("h", "a", "lo", "hi").alias("m")), "found")
+    return docs.join(marks, (_known(docs.doc_id) == marks[ID]) & (docs.th == marks[TH])).select("doc_id", "th", "text", "found")
 
 
 def _known(doc_id):
@@ -434,27 +449,36 @@ def _name(docs: DataFrame):
 
 
 def _grouped(marks: DataFrame, name: str) -> DataFrame:
-    return marks.groupBy(_known(F.col("doc_id")).alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("m").alias(name))
+    return marks.groupBy(_known(F.col("doc_id")).alias(ID), F.col("th").alias(TH)).agg(F.collect_set("m").alias(name))
+
+
+def _twice(windows: DataFrame, hot: int) -> DataFrame:
+    """The hashed windows that occur more than once (``windows`` is written)."""
+    keys = ["w1", "w2"]
+    return rows_of_repeated(windows, keys, materialize(windows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")), hot)
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, th, lo, hi): byte ranges covered by repeated strings; ranges of
-    one document may overlap.  ``docs`` has doc_id, text and its hash th."""
+def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = 0) -> DataFrame:
+    """(doc_id, th, lo, hi, kind): byte ranges covered by repeated strings; ranges
+    of one document may overlap.  ``docs`` has doc_id, text and its hash th."""
     spark = docs.sparkSession
-    found = materialize(docs.where(F.octet_length("text") >= span).mapInArrow(_find_anchors(span, gram), ANCHOR_SCHEMA))
-    repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    marked = materialize(found.join(repeated, "h").select(*found.columns, (F.col("n") > hot).alias("hot")))
-    total, n_hot = marked.agg(F.count("*"), F.count_if("hot")).first()
+    counts = materialize(docs.mapInArrow(_all_anchors(span, gram, words), ANCHOR_SCHEMA).select("h")
+                         .groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    bits = hash_filter(counts.select("h"), "h")
+    found = materialize(docs.mapInArrow(_all_anchors(span, gram, words, bits), ANCHOR_SCHEMA))
+    marked = materialize(rows_of_repeated(found, ["h"], counts, hot))
+    total, n_hot = marked.agg(F.count_if(F.col("kind") == BYTES), F.count_if(F.col("hot") & (F.col("kind") == BYTES))).first()
     targets = max(partitions_for(spark), -(-total // TARGET_ROWS))
-    mark = F.struct("h", "a", "lo", "hi").alias("m")
-    runs = (_with_marks(docs, marked.where("not hot").select("doc_id", "th", mark)).select("doc_id", "th", "text", "found")
-            .mapInArrow(_write_runs(span, targets), RUN_SCHEMA))
-    cuts = runs.groupBy("target").applyInArrow(_merge_target(span), CUT_SCHEMA)
+    of_bytes = marked.where(F.col("kind") == BYTES)
+    runs = _with_marks(docs, of_bytes.where("not hot")).mapInArrow(_write_runs(span, targets), RUN_SCHEMA)
+    cuts = runs.groupBy("target").applyInArrow(_merge_target(span), CUT_SCHEMA).withColumn("kind", F.lit(BYTES))
     if n_hot:
-        windows = materialize(_with_marks(docs, marked.where("hot").select("doc_id", "th", mark)).select("doc_id", "th", "text", "found")
-                              .mapInArrow(_hot_windows(span), "w1 long, w2 long, doc_id long, th long, p int"))
-        twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-        cuts = cuts.union(windows.join(twice, ["w1", "w2"]).select("doc_id", "th", F.col("p").alias("lo"), (F.col("p") + span).alias("hi")))
+        windows = materialize(_with_marks(docs, of_bytes.where("hot")).mapInArrow(_hot_windows(span), "w1 long, w2 long, doc_id long, th long, p int"))
+        cuts = cuts.union(_twice(windows, hot).select("doc_id", "th", F.col("p").alias("lo"), (F.col("p") + span).alias("hi"), F.lit(BYTES)))
+    if words:
+        windows = materialize(_with_marks(docs, marked.where(F.col("kind") == PASSAGE))
+                              .mapInArrow(_word_windows(words), "w1 long, w2 long, doc_id long, th long, lo int, hi int"))
+        cuts = cuts.union(_twice(windows, hot).select("doc_id", "th", "lo", "hi", F.lit(PASSAGE)))
     return cuts
 
 
@@ -474,34 +498,38 @@ def _cut(data: bytes, found) -> tuple[bytes, list[tuple[int, int]]]:
 
 
 def _joined(docs: DataFrame, span: int, gram: int, hot: int, words: int = 0) -> DataFrame:
-    """The documents, all columns kept, with their repeated ranges (``__found``)."""
+    """The documents, all columns kept, with their repeated ranges (``FOUND``)."""
     hashed = keep_columns(docs, "doc_id", "text")
     hashed = hashed.withColumn("th", _name(hashed))
-    cuts = repeated_spans(hashed, span, gram, hot)
-    if words:
-        cuts = cuts.union(repeated_passages(hashed, words))
-    marks = _grouped(cuts.select("doc_id", "th", F.struct("lo", "hi").alias("m")), "__found")
-    return docs.join(marks, (_known(docs.doc_id) == marks["__id"]) & (_name(docs) == marks["__th"]), "left").drop("__id", "__th")
+    cuts = repeated_spans(hashed, span, gram, hot, words)
+    marks = _grouped(cuts.select("doc_id", "th", F.struct("lo", "hi", "kind").alias("m")), FOUND)
+    return docs.join(marks, (_known(docs.doc_id) == marks[ID]) & (_name(docs) == marks[TH]), "left").drop(ID, TH)
 
 
-def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """Per document: id, kept bytes, byte count and the removed ranges."""
+def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = WORDS) -> DataFrame:
+    """Per document: id, kept bytes, byte count, the removed ranges, and how many
+    passages of ``words`` or more words it shares (n_passages, n_passage_bytes;
+    these are counted, not removed)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 out = []
-                for doc_id, text, found in zip(part.column("doc_id").to_pylist(), part.column("text"), part.column("__found").to_pylist()):
+                for doc_id, text, found in zip(part.column("doc_id").to_pylist(), part.column("text"), part.column(FOUND).to_pylist()):
                     data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                    kept, ranges = _cut(data, found)
+                    kept, ranges = _cut(data, [m for m in found or [] if m["kind"] == BYTES])
+                    rest, passages = _cut(data, [m for m in found or [] if m["kind"] == PASSAGE])
                     out.append({"doc_id": doc_id, "n_bytes": len(data), "n_removed": len(data) - len(kept), "n_spans": len(ranges),
-                                "kept_sha256": hashlib.sha256(kept).hexdigest(), "ranges": [{"lo": a, "hi": b} for a, b in ranges]})
+                                "kept_sha256": hashlib.sha256(kept).hexdigest(), "n_passages": len(passages),
+                                "n_passage_bytes": len(data) - len(rest), "ranges": [{"lo": a, "hi": b} for a, b in ranges]})
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                        ("kept_sha256", pa.string()), ("ranges", pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))])
-    return (_joined(keep_columns(docs, "doc_id", "text"), span, gram, hot).select("doc_id", "text", "__found")
-            .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, ranges array<struct<lo:long,hi:long>>"))
+                        ("kept_sha256", pa.string()), ("n_passages", pa.int64()), ("n_passage_bytes", pa.int64()),
+                        ("ranges", pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))])
+    return (_joined(keep_columns(docs, "doc_id", "text"), span, gram, hot, words).select("doc_id", "text", FOUND)
+            .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, "
+                             "n_passage_bytes long, ranges array<struct<lo:long,hi:long>>"))
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = 0) -> DataFrame:
@@ -514,7 +542,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                text, found = part.column("text"), part.column("__found").to_pylist()
+                text, found = part.column("text"), part.column(FOUND).to_pylist()
                 new = [_cut(t.as_buffer().to_pybytes(), f)[0].decode("utf-8", "ignore") if f else t.as_py() for t, f in zip(text, found)]
                 keep = [i for i, (t, f) in enumerate(zip(new, found)) if not f or t.strip()]
                 columns = []
@@ -527,4 +555,4 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
                     columns.append(column)
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields]).take(pa.array(keep, pa.int64()))
 
-    return _joined(docs, span, gram, hot, words).select(*[F.col(c) for c in schema.names], "__found").mapInArrow(run, schema)
+    return _joined(docs, span, gram, hot, words).select(*[F.col(c) for c in schema.names], FOUND).mapInArrow(run, schema)

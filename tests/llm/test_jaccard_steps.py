@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from strata.llm import common
 from strata.llm import jaccard_join as jj
 from strata.llm.common import mix
 
@@ -95,14 +96,24 @@ def test_shared_rows_over_small_batches(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_id_filter_holds_every_id(spark):
-    ids = spark.range(5000).select(F.xxhash64("id").alias("id_hash"))
-    bits = jj.id_filter(ids)
-    for h in [r[0] for r in ids.collect()]:
-        for k in (0, 32):
-            at = (h >> k) & ((1 << jj.FILTER_BITS) - 1)
-            assert (int(bits[at >> 6]) >> (at & 63)) & 1
-    assert jj.id_filter(ids.where("false")).sum() == 0
+def test_filter_holds_every_hash(spark):
+    ids = spark.range(5000).select(F.xxhash64("id").alias("h"))
+    held = np.array([r[0] for r in ids.collect()])
+    bits = common.hash_filter(ids, "h")
+    assert common.passes(bits, held).all()
+    others = np.array([r[0] for r in spark.range(5000, 25000).select(F.xxhash64("id")).collect()])
+    assert common.passes(bits, others).mean() < 0.01
+    assert not common.passes(common.hash_filter(ids.where("false"), "h"), held).any()
+
+
+def test_rows_of_repeated_keys(spark, monkeypatch):
+    rows = spark.createDataFrame([(k % 40 if k % 3 else 7, k) for k in range(200)], "h long, v long")
+    counts = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 3")
+    big = {r.h: r.n for r in counts.collect()}
+    want = sorted((r.h, r.v, big[r.h] > 20) for r in rows.collect() if r.h in big)
+    for most in (100_000, 0):
+        monkeypatch.setattr(common, "MOST_BROADCAST", most)
+        assert sorted(tuple(r) for r in common.rows_of_repeated(rows, ["h"], counts, 20).collect()) == want
 
 
 def test_keep_one_with_clashing_names(spark):

@@ -60,15 +60,22 @@ def near_groups(rows):
     return {i for i, (doc_id, _) in enumerate(rows) if least.get(find(i)) == doc_id}
 
 
-def without_repeats(texts, span=400):
+def without_repeats(texts, span=400, words=51):
+    """Strings of ``span`` bytes and of ``words`` words that occur twice are cut out."""
     data = [(t or "").encode() for t in texts]
     seen = Counter(b[p : p + span] for b in data for p in range(len(b) - span + 1))
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in data]
+    pieces = [[(s[i][0], s[i + words - 1][1]) for i in range(len(s) - words + 1)] if words else [] for s in spans]
+    passages = Counter(b[lo:hi] for b, p in zip(data, pieces) for lo, hi in p)
     out = []
-    for t, b in zip(texts, data):
+    for t, b, p in zip(texts, data, pieces):
         mask = np.zeros(len(b), bool)
-        for p in range(len(b) - span + 1):
-            if seen[b[p : p + span]] > 1:
-                mask[p : p + span] = True
+        for lo in range(len(b) - span + 1):
+            if seen[b[lo : lo + span]] > 1:
+                mask[lo : lo + span] = True
+        for lo, hi in p:
+            if passages[b[lo:hi]] > 1:
+                mask[lo:hi] = True
         out.append(np.frombuffer(b, np.uint8)[~mask].tobytes().decode("utf-8", "ignore") if mask.any() else t)
     return out
 
@@ -126,7 +133,7 @@ def test_passages_of_more_than_50_words_are_cut(spark):
     spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in data]
     pieces = [[(s[i][0], s[i + 50][1]) for i in range(len(s) - 50)] for s in spans]
     seen = Counter(b[lo:hi] for b, p in zip(data, pieces) for lo, hi in p)
-    texts = without_repeats([t for _, t in rows])  # by 400 bytes alone
+    texts = without_repeats([t for _, t in rows], words=0)  # by 400 bytes alone
     want = Counter()
     for (doc_id, text), b, p in zip(rows, data, pieces):
         mask = np.zeros(len(b), bool)
