@@ -18,7 +18,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remaining(table(spark, sf_dir, "documents")).drop("ranges")
+    return suffix_dedup.remaining(table(spark, sf_dir, "documents")).drop("ranges", "n_passages", "n_passage_bytes")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,7 +53,6 @@ HOT = 50_000
 TARGET_ROWS = 20_000
 RUN_BYTES = 24_000_000
 GRAM_WORDS = 8
-WORDS = 51  # a passage of more than 50 words
 BYTES, PASSAGE = 0, 1  # kinds of anchors and of ranges
 
 ANCHOR_SCHEMA = "h long, doc_id long, th long, a int, lo int, hi int, kind int"
@@ -506,10 +505,10 @@ def _joined(docs: DataFrame, span: int, gram: int, hot: int, words: int = 0) ->
     return docs.join(marks, (_known(docs.doc_id) == marks[ID]) & (_name(docs) == marks[TH]), "left").drop(ID, TH)
 
 
-def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = WORDS) -> DataFrame:
-    """Per document: id, kept bytes, byte count, the removed ranges, and how many
-    passages of ``words`` or more words it shares (n_passages, n_passage_bytes;
-    these are counted, not removed)."""
+def remaining(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, words: int = 0) -> DataFrame:
+    """Per document: id, kept bytes, byte count, the removed ranges, and with
+    ``words`` how many passages of that many words or more it shares (n_passages,
+    n_passage_bytes; these are counted, not removed)."""
 
     def run(batches):
         for batch in batches:

@@ -109,6 +109,19 @@ def test_suffix_dedup_equals_brute_force(docs, rows, hot):
     assert got == brute_spans(rows, 60)
 
 
+def test_shared_passages_are_counted(spark):
+    rng = random.Random(2)
+
+    def words(n, size=5):
+        return " ".join("".join(rng.choices("abcdefgh", k=size)) for _ in range(n))
+
+    long, short = words(51, 3), words(50)
+    rows = [(1, f"{words(30)}\n{long} {words(30)}"), (2, f"{words(9)} {long}"), (3, f"{short} {words(20)}"), (4, f"{words(4)} {short}"), (5, words(90)), (6, None)]
+    got = suffix_dedup.remaining(spark.createDataFrame(rows, "doc_id long, text string"), words=51).collect()
+    assert {r.doc_id: (r.n_passages, r.n_passage_bytes, r.n_removed) for r in got} == {
+        1: (1, len(long), 0), 2: (1, len(long), 0), **{k: (0, 0, 0) for k in (3, 4, 5, 6)}}
+
+
 def test_suffix_dedup_empty(empty):
     assert suffix_dedup.remaining(empty).count() == 0
 
