@@ -22,6 +22,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +49,8 @@ from strata.operators.skew import skew_left_join
 from strata.plans.control import ControlPlane, next_id, normalize_registrations, status_assignments
 from strata.plans.metrics import run_counts
 from strata.plans.replay import run_replay
-from strata.plans.runs import run_source, write_buckets
+from strata.plans.demo import build_serving
+from strata.plans.runs import run_all_sources, run_source, write_buckets
 from strata.session import warehouse_root
 from strata.sources.extract import date_range_predicate, extract_window, high_water_mark, source_frame
 from strata.sources.tables import TableStore
@@ -510,6 +513,61 @@ def q_requested_replays(spark, d):
     return _positions(control.requested_replays(), "replay_request_id")
 
 
+# Five sources made from given tables: key, ordering column, extract.
+STAR_SOURCES = {
+    "customer": ("customer_id", "source_change_ts",
+                 "SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS location, "
+                 "TIMESTAMP_NTZ '1992-01-01 00:00:00' AS source_change_ts FROM customer"),
+    "orders": ("order_id", "source_change_ts",
+               "SELECT o_orderkey AS order_id, o_custkey AS customer_id, part AS product_id, o_orderstatus AS order_status, "
+               "o_totalprice AS order_amount, CAST(o_orderdate AS DATE) AS order_date, CAST(o_orderdate AS TIMESTAMP_NTZ) AS source_change_ts "
+               "FROM orders LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS part FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey"),
+    "product": ("product_id", "source_change_ts",
+                "SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS category, p_retailprice AS unit_price, "
+                "TIMESTAMP_NTZ '1992-01-02 00:00:00' AS source_change_ts FROM part"),
+    "invoice": ("invoice_id", "source_change_ts",
+                "SELECT o_orderkey + 1000000 AS invoice_id, o_orderkey AS order_id, o_orderpriority AS invoice_status, o_totalprice AS invoice_amount, "
+                "CAST(o_orderdate AS TIMESTAMP_NTZ) AS source_change_ts FROM orders WHERE o_orderstatus <> 'P'"),
+    "shipment": ("shipment_id", "source_change_ts",
+                 "SELECT l_orderkey * 10 AS shipment_id, l_orderkey AS order_id, max(l_linestatus) AS shipment_status, max(l_returnflag) AS warehouse_code, "
+                 "CAST(max(l_shipdate) AS TIMESTAMP_NTZ) AS source_change_ts FROM lineitem GROUP BY l_orderkey"),
+}
+
+
+def _star(spark, d, parallelism: int) -> ControlPlane:
+    """All five sources registered by their SQL and run in one call."""
+    register_views(spark, d, ["orders", "customer", "part", "lineitem"])
+    control = ControlPlane(scratch_store(spark), "demo")
+    control.bootstrap()
+    control.register([{
+        "source_name": name, "source_type": "SQL", "base_extract_sql": sql, "load_mode": "FULL", "watermark_column": ordering, "watermark_type": "TIMESTAMP",
+        "primary_keys": [key], "bronze_table": f"demo.bronze.{name}", "silver_current_table": f"demo.silver.{name}_current",
+        "silver_history_table": f"demo.silver.{name}_history", "gold_table": f"demo.gold.{name}_serving",
+    } for name, (key, ordering, sql) in STAR_SOURCES.items()])
+    run_all_sources(spark, control, as_of=BATCH2_END, parallelism=parallelism)
+    return control
+
+
+def q_run_all_sources(spark, d):
+    """The run log of one call that runs five sources side by side."""
+    return _star(spark, d, parallelism=5).run_log().select(
+        "batch_id", "source_name", "run_mode", "run_status", "quality_status", "rows_read", "silver_rows_written", "gold_rows_written")
+
+
+def q_serving_table(spark, d):
+    """Five sources landed, folded and published, then the serving table built
+    from their gold snapshots and read back."""
+    return build_serving(_star(spark, d, parallelism=1).store)
+
+
+def q_list_tables(spark, d):
+    """Tables of each layer by name, with their row counts, after a run."""
+    store = _two_runs(spark, d)[0].store
+    frames = [store.read(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+              for layer in ("bronze", "silver", "gold") for name in store.list_tables(f"demo.{layer}")]
+    return reduce(DataFrame.unionByName, frames)
+
+
 # Run instants of the four weekly landings used by the fold queries.
 FOLD_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2200-01-01 00:00:00"]
 
@@ -740,6 +798,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_batch_run": q_two_batch_run,
     "fold_incremental": q_fold_incremental,
     "fold_full": q_fold_full,
+    "run_all_sources": q_run_all_sources,
+    "serving_table": q_serving_table,
+    "list_tables": q_list_tables,
     "snapshot_restore": q_snapshot_restore,
     "run_metrics": q_run_metrics,
     "merge_upsert": q_merge_upsert,

@@ -223,6 +223,27 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(ROW_NUMBER() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS position, CAST(n_nationkey AS BIGINT) AS replay_request_id "
         "FROM nation WHERE n_nationkey % 4 <> 0"),
     "replay_full_rebuild": _with(RUN_BRONZE, HIST) + f"SELECT {HIST_COLS} FROM hist",
+    "run_all_sources": (
+        "WITH n AS (SELECT 'customer' AS source_name, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders "
+        "UNION ALL SELECT 'product', count(*) FROM part UNION ALL SELECT 'invoice', count(*) FROM orders WHERE o_orderstatus <> 'P' "
+        "UNION ALL SELECT 'shipment', count(DISTINCT l_orderkey) FROM lineitem) "
+        "SELECT row_number() OVER (ORDER BY source_name) AS batch_id, source_name, 'PIPELINE_FULL' AS run_mode, 'SUCCESS' AS run_status, "
+        "'PASSED' AS quality_status, n AS rows_read, 2 * n AS silver_rows_written, n AS gold_rows_written FROM n"),
+    "serving_table": (
+        "WITH s AS (SELECT l_orderkey, min(l_partkey) AS l_partkey, max(l_linestatus) AS l_linestatus, max(l_returnflag) AS l_returnflag, "
+        "max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY l_orderkey) "
+        "SELECT o_orderkey AS order_id, o_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS customer_location, l_partkey AS product_id, "
+        "p_name AS product_name, p_brand AS category, o_orderstatus AS order_status, "
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderkey + 1000000 END AS invoice_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS invoice_status, "
+        "l_orderkey * 10 AS shipment_id, l_linestatus AS shipment_status, l_returnflag AS warehouse_code, o_totalprice AS order_amount, "
+        "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS invoice_amount, p_retailprice AS unit_price, CAST(o_orderdate AS DATE) AS order_date, "
+        "greatest(CAST(o_orderdate AS TIMESTAMP), CAST(l_shipdate AS TIMESTAMP), CASE WHEN p_partkey IS NOT NULL THEN TIMESTAMP '1992-01-02 00:00:00' END, "
+        "CASE WHEN c_custkey IS NOT NULL THEN TIMESTAMP '1992-01-01 00:00:00' END) AS serving_effective_from "
+        "FROM orders LEFT JOIN s ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN part ON p_partkey = l_partkey"),
+    "list_tables": (
+        "WITH e AS (SELECT count(*) AS n, count(DISTINCT user_id) AS k FROM events WHERE ts <= TIMESTAMP '2200-01-01 00:00:00') "
+        "SELECT 'demo.bronze.events' AS table_name, n AS n_rows FROM e UNION ALL SELECT 'demo.silver.events_history', n FROM e "
+        "UNION ALL SELECT 'demo.silver.events_current', k FROM e UNION ALL SELECT 'demo.gold.events', k FROM e"),
     "two_batch_run": _with(BRONZE, HIST) + (
         "SELECT user_id, event_id, effective_from, pipeline_batch_id FROM hist WHERE is_current"
     ),

@@ -526,11 +526,14 @@ def run_all_sources(
 
     first = forced_batch_id or control.next_batch_id()
     ids = [forced_batch_id or first + i for i in range(len(sources))]
+
+    def run(name: str, batch_id: int) -> int:
+        # a pool of its own: with the FAIR scheduler no source waits for another one's jobs
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return run_source(spark, control, name, batch_id, requested_by, as_of)
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [
-            pool.submit(run_source, spark, control, s, batch_id, requested_by, as_of)
-            for s, batch_id in zip(sources, ids)
-        ]
+        futures = [pool.submit(run, s, batch_id) for s, batch_id in zip(sources, ids)]
     results, errors = [], []
     for future in futures:
         try:
