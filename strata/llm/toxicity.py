@@ -45,12 +45,15 @@ IMITATES = {
 SWAP_COST, DOUBLE_COST, DROP_COST = 0.7, 2.0, 0.4
 
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .*_\-]{1,2}[^\W_]){3,}(?![^\W_])")
-_LEET = re.compile(r"(?<![^\s\"'(])(?=[^\s]*[^\W\d_])[\w@$!|+(€£¡*.\-]*[0-9@$!|+€£¡*.\-(](?=[\w@$])[\w@$!|+(€£¡*.\-]*")
-_REPEAT = re.compile(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*")
+# a run of characters that hidden spellings use, and what marks one as such
+_RUN = re.compile(r"[\w@$!|+(€£¡*.\-]+")
+_MARK = re.compile(r"[0-9@$!|+€£¡*.\-(](?=[\w@$])")
+_LETTER_RUN = re.compile(r"[^\W\d_]+")
 # every match of _SPACED holds one of these: its three last characters and the separator before them
 _APART = re.compile(r"[ .*_\-][^\W_](?:[ .*_\-]{1,2}[^\W_]){2}")
 _THREE = re.compile(r"([^\W\d_])\1\1")
 CACHE_WORDS = 400_000
+PIECE = 256  # observed characters that are decoded at a time
 
 
 def letter(ch: str) -> int:
@@ -123,26 +126,34 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(token: str, model: list) -> str:
-    """The likeliest plain spelling of one hidden word."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for reads in lattice(token):
-        nxt: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
-            for read, cost in reads:
-                x, y, s = a, b, score - cost
-                for ch in read:
-                    c = letter(ch)
-                    s += model[x][y][c]
-                    x, y = y, c
-                old = nxt.get((x, y))
-                if old is None or s > old[0] or (s == old[0] and text + read < old[1]):
-                    nxt[x, y] = (s, text + read)
-        states = nxt
-    best, word = -math.inf, ""
-    for (a, b), (score, text) in sorted(states.items()):
-        score += model[a][b][0]
-        if score > best:
-            best, word = score, text
+    """The likeliest plain spelling of one hidden word.
+
+    A word of more than ``PIECE`` observed characters is decoded piece by piece,
+    each from the best state of the piece before, so time grows with its length."""
+    parts, word, state = lattice(token), "", (0, 0)
+    for lo in range(0, len(parts), PIECE):
+        states: dict[tuple[int, int], tuple[float, str]] = {state: (0.0, "")}
+        for reads in parts[lo : lo + PIECE]:
+            nxt: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (score, text) in states.items():
+                for read, cost in reads:
+                    x, y, s = a, b, score - cost
+                    for ch in read:
+                        c = letter(ch)
+                        s += model[x][y][c]
+                        x, y = y, c
+                    old = nxt.get((x, y))
+                    if old is None or s > old[0] or (s == old[0] and text + read < old[1]):
+                        nxt[x, y] = (s, text + read)
+            states = nxt
+        ends = lo + PIECE >= len(parts)
+        best, spelt = -math.inf, ""
+        for (a, b), (score, text) in sorted(states.items()):
+            if ends:
+                score += model[a][b][0]
+            if score > best:
+                best, spelt, state = score, text, (a, b)
+        word += spelt
     return word
 
 
@@ -158,12 +169,30 @@ class Restorer(dict):
     def _plain(self, m: re.Match) -> str:
         return decode(m.group(), self.model) or m.group()
 
+    def _letters(self, m: re.Match) -> str:
+        return self._plain(m) if _THREE.search(m.group()) else m.group()
+
+    def _unmask(self, token: str) -> str:
+        """Decode each run that looks like a hidden word: it begins behind nothing,
+        a quote or a bracket, before the last letter, and holds a mark between
+        characters.  One pass, since only a run's first such place can differ."""
+        last = max((m.end() for m in _LETTER_RUN.finditer(token)), default=0) - 1
+        out, at = [], 0
+        for m in _RUN.finditer(token):
+            lo, hi = m.span()
+            if lo and token[lo - 1] not in "\"'":
+                lo = token.find("(", lo, hi) + 1
+            if 0 < hi - lo and (lo or not m.start()) and lo <= last and _MARK.search(token, lo, hi):
+                out += token[at:lo], decode(token[lo:hi], self.model) or token[lo:hi]
+                at = hi
+        return "".join(out) + token[at:]
+
     def __missing__(self, token: str) -> str:
         plain = token
         if not token.isalpha():
-            plain = _LEET.sub(self._plain, token)
+            plain = self._unmask(token)
         if _THREE.search(plain):
-            plain = _REPEAT.sub(self._plain, plain)
+            plain = _LETTER_RUN.sub(self._letters, plain)
         self[token] = plain
         return plain
 

@@ -547,3 +547,23 @@ def test_viterbi_is_best_and_round_trips(docs, rows, empty):
     for t in ("a▁b  ▁▁ c\nq é", " lead", "▁", "日本 🙂"):
         assert model.decode(model.encode([t])[0]) == t
     assert piece_encoding.decode(piece_encoding.encode(empty)).count() == 0
+
+
+def test_restoring_equals_one_pattern_and_takes_long_strings():
+    """The runs found in one pass are those of one (slow) pattern, and strings of
+    brackets, letters or mixed characters of any length end in good time."""
+    import time
+
+    leet = re.compile(r"(?<![^\s\"'(])(?=[^\s]*[^\W\d_])[\w@$!|+(€£¡*.\-]*[0-9@$!|+€£¡*.\-(](?=[\w@$])[\w@$!|+(€£¡*.\-]*")
+    repeat = re.compile(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*")
+    rng = np.random.default_rng(5)
+    restore = toxicity.Restorer(np.log(rng.random((28, 28, 28))))
+    for _ in range(4000):
+        token = "".join(rng.choice(list("aabé1(\"',.@#-"), rng.integers(1, 14)))
+        want = token if token.isalpha() else leet.sub(restore._plain, token)
+        want = repeat.sub(restore._plain, want) if toxicity._THREE.search(want) else want
+        assert restore[token] == want, token
+    began = time.monotonic()
+    for text in ("(" * 200_000, "(" * 200_000 + "a", '"' * 200_000 + "a", "aaa," + "ab" * 100_000, "a1b(" * 20_000):
+        assert restore(text)
+    assert time.monotonic() - began < 60
