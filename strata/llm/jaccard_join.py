@@ -53,6 +53,7 @@ SPREAD = 16
 HOOKS = ((1, 3), (3, 12))  # of each round: pivots a token, partners that a set is verified against
 BLOCK = 2048  # classes of one token that meet in one task
 WHOLE_UP_TO = 256  # sets of so many tokens are stored with whole hashes
+SLICE = 500_000  # text bytes that are cut into shingles at a time
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -105,7 +106,7 @@ def prefix(tokens: np.ndarray, order: int, levels: np.ndarray, percent: int) ->
 
 def _each_set(batches, width):
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             yield part, shingle_sets(*text_buffer(part.column("text")), width)
 
 
@@ -387,23 +388,32 @@ def judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_sets(pairs, sets).mapInArrow(_judge(percent), "a long, b long, sure boolean")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
-    """(cls, tokens, halves) of at least the classes of ``wanted`` (cls, least);
+def _chosen(docs: DataFrame, wanted: DataFrame, width: int, make, schema: str) -> DataFrame:
+    """``make`` of the sets of at least the classes of ``wanted`` (cls, least),
     built in one scan, in which only documents of the filter are cut into
-    shingles.  ``whole`` keeps whole hashes for every set."""
+    shingles."""
     bits = hash_filter(wanted.select(F.xxhash64("least").alias("id_hash")), "id_hash")
 
     def run(batches):
         for batch in batches:
             passed = passes(bits, batch.column("id_hash").to_numpy(zero_copy_only=False))
             for _, found in _each_set([batch.filter(pa.array(passed))], width):
-                found = [s for s in found if len(s)]
-                kept = [_stored(s, whole) for s in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_of(s) for s in found], pa.int64()), *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
-                    names=["cls", "tokens", "halves"])
+                yield make([s for s in found if len(s)])
+
+    return docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, schema)
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
+    """(cls, tokens, halves) of at least the classes of ``wanted``; ``whole``
+    keeps whole hashes for every set."""
+
+    def make(found):
+        kept = [_stored(s, whole) for s in found]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([class_of(s) for s in found], pa.int64()), *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
+            names=["cls", "tokens", "halves"])
 
-    return docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, "cls long, tokens binary, halves binary")
+    return _chosen(docs, wanted, width, make, "cls long, tokens binary, halves binary")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -458,7 +468,7 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
 
 def docs_prefixes(docs: DataFrame, wanted: DataFrame, order: int, levels: np.ndarray, width: int, percent: int) -> DataFrame:
     """Prefix rows of the wanted classes under a further order, from their documents."""
-    rows = sets_of(docs, wanted, width, True).mapInArrow(_set_prefixes(order, levels, percent), PREFIX_SCHEMA)
+    rows = _chosen(docs, wanted, width, lambda found: _rows_of(found, order, levels, percent), PREFIX_SCHEMA)
     return materialize(rows.join(wanted.select("cls"), "cls", "left_semi").select("token", "cls", "at").distinct())
 
 
@@ -482,14 +492,6 @@ def _with_roots(rows: DataFrame, known: DataFrame, roots: DataFrame | None) -> D
     return rows.join(named, "cls").select(*ROW)
 
 
-def _set_prefixes(order: int, levels: np.ndarray, percent: int):
-    def run(batches):
-        for batch in batches:
-            yield _rows_of([np.frombuffer(t, "<u8").astype(np.uint64) for t in batch.column("tokens").to_pylist()], order, levels, percent)
-
-    return run
-
-
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one that names it; all columns stay.
 
