@@ -215,6 +215,11 @@ def _shared(percent: int):
     return run
 
 
+def _shared_rows(rows: DataFrame, percent: int) -> DataFrame:
+    dealt = rows.repartition("token").sortWithinPartitions("token", "at", "cls")
+    return materialize(dealt.mapInArrow(_shared(percent), PREFIX_SCHEMA))
+
+
 def _fit(n1, p1, n2, p2, percent):
     """Whether sizes allow a link, and positions too if this is the first prefix
     token that the pair shares."""
@@ -422,8 +427,7 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     census = materialize(docs.mapInArrow(_census(width), "doc_id long, n long, cls long, block int, counts binary"))
     rows = census.where("block < 0").select("doc_id", "n", "cls")
     levels = frequency_levels(census)
-    rows_by_token = docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA).repartition("token").sortWithinPartitions("token", "at", "cls")
-    shared = materialize(rows_by_token.mapInArrow(_shared(percent), PREFIX_SCHEMA))
+    shared = _shared_rows(docs.mapInArrow(_prefix_rows(width, percent, levels), PREFIX_SCHEMA), percent)
     classes = rows.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("least"))
     names = components(_links(docs, classes, shared, levels, width, percent))
     least = classes.join(names, classes.cls == names.node, "left").select("cls", "n", "least", F.coalesce("root", "cls").alias("root"))
@@ -467,9 +471,11 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
 
 
 def docs_prefixes(docs: DataFrame, wanted: DataFrame, order: int, levels: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Prefix rows of the wanted classes under a further order, from their documents."""
+    """Prefix rows under a further order that the wanted classes share with
+    another class, from their documents.  Classes that only pass the filter by
+    chance stay: they can only add pairs, and pairs are intersected."""
     rows = _chosen(docs, wanted, width, lambda found: _rows_of(found, order, levels, percent), PREFIX_SCHEMA)
-    return materialize(rows.join(wanted.select("cls"), "cls", "left_semi").select("token", "cls", "at").distinct())
+    return _shared_rows(rows, percent)
 
 
 def _signatures(batches):
