@@ -356,6 +356,40 @@ def _stored(tokens: np.ndarray, whole: bool) -> tuple[bytes | None, bytes | None
     return None, _halves(tokens).tobytes()
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity bits of the half hashes, a power of two and at least as many as
+    tokens.  Folding its halves onto each other gives the sketch of half the size."""
+    size = max(64, 1 << int(len(tokens) - 1).bit_length())
+    at = (tokens >> np.uint64(32)) & np.uint64(size - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def _alike(percent: int):
+    """Pairs whose sketches allow a link: bits that differ are at most as many as
+    the tokens that only one of the sets has."""
+
+    def run(batches):
+        for batch in batches:
+            n1, n2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n1", "n2"))
+            most = n1 + n2 - 2 * -(-percent * (n1 + n2) // (100 + percent))
+            apart = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("s1"), batch.column("s2"))):
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+                while len(x) != len(y):
+                    x, y = (x, y) if len(x) > len(y) else (y, x)
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                apart[i] = np.bitwise_count(x ^ y).sum()
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(apart <= most))
+
+    return run
+
+
+def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are worth reading their sets for, by a bit a token."""
+    x, y = (sets.select(F.col("cls").alias(k), F.col("n").alias(f"n{i}"), F.col("sketch").alias(f"s{i}")) for i, k in ((1, "a"), (2, "b")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "n1", "n2", "s1", "s2").mapInArrow(_alike(percent), "a long, b long")
+
+
 def _judge(percent: int):
     """Pairs of stored sets that may be linked, and whether that is sure.
 
@@ -409,16 +443,17 @@ def _chosen(docs: DataFrame, wanted: DataFrame, width: int, make, schema: str) -
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int, whole: bool) -> DataFrame:
-    """(cls, tokens, halves) of at least the classes of ``wanted``; ``whole``
-    keeps whole hashes for every set."""
+    """(cls, n, sketch, tokens, halves) of at least the classes of ``wanted``;
+    ``whole`` keeps whole hashes for every set."""
 
     def make(found):
         kept = [_stored(s, whole) for s in found]
         return pa.RecordBatch.from_arrays(
-            [pa.array([class_of(s) for s in found], pa.int64()), *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
-            names=["cls", "tokens", "halves"])
+            [pa.array([class_of(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
+             pa.array([sketch(s) for s in found], pa.binary()), *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
+            names=["cls", "n", "sketch", "tokens", "halves"])
 
-    return _chosen(docs, wanted, width, make, "cls long, tokens binary, halves binary")
+    return _chosen(docs, wanted, width, make, "cls long, n long, sketch binary, tokens binary, halves binary")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -453,7 +488,7 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
         ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most a few per prefix token
         best = votes.groupBy("a").agg(F.slice(ranked, 1, partners).alias("few")).select("a", F.explode("few.b").alias("b"))
         # pairs that are not sure are left to the exact step
-        found = materialize(judged(best, sets, percent).where("sure").select("a", "b"))
+        found = materialize(judged(alike(best, sets, percent), sets, percent).where("sure").select("a", "b"))
         links = found if links is None else links.union(found)
         roots = components(links)
     found = materialize(crossings(materialize(_with_roots(shared, known, roots)), percent))
@@ -461,7 +496,7 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
         alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
         prefixes = docs_prefixes(docs, alive.join(classes, "cls"), order, levels, width, percent)
         found = materialize(found.join(crossings(_with_roots(prefixes, known, roots), percent), ["a", "b"], "left_semi"))
-    checked = materialize(judged(found, sets, percent))
+    checked = materialize(judged(alike(found, sets, percent), sets, percent))
     close = checked.where("not sure").select("a", "b")
     classes_of_close = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "cls")
     whole = sets_of(docs, classes_of_close.join(classes, "cls").select("cls", "least"), width, True).dropDuplicates(["cls"])

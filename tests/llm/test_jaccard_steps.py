@@ -54,6 +54,24 @@ def test_judgement_of_stored_sets():
     assert any(not r["sure"] for r in found)
 
 
+def test_sketches_never_part_linked_sets():
+    """Sets of any two sizes: a linked pair always stays, most others go."""
+    rng = np.random.default_rng(7)
+    rows, linked = [], []
+    for _ in range(2000):
+        n = int(2 ** rng.uniform(0, 12))
+        a, b = sets_near(rng, n, int(rng.integers(0, max(1, n // 3))))
+        b = b[: max(1, int(len(b) * rng.uniform(0.7, 1)))] if rng.random() < 0.5 else b
+        rows.append((len(a), jj.sketch(a), len(b), jj.sketch(b)))
+        linked.append(185 * len(np.intersect1d(a, b)) >= 85 * (len(a) + len(b)))
+    k = pa.array(range(len(rows)), pa.int64())
+    n1, s1, n2, s2 = zip(*rows)
+    batch = pa.RecordBatch.from_arrays([k, k, pa.array(n1), pa.array(n2), pa.array(s1, pa.binary()), pa.array(s2, pa.binary())], names=["a", "b", "n1", "n2", "s1", "s2"])
+    kept = set(next(jj._alike(85)([batch])).column("a").to_pylist())
+    assert kept >= {i for i, w in enumerate(linked) if w}
+    assert len(kept) - sum(linked) < 0.3 * (len(rows) - sum(linked))
+
+
 def rows_of(rng, tokens, classes):
     """(token, cls, at, root, x, y) with one token that most classes have."""
     rows = []
