@@ -21,9 +21,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.config import SourceRegistration
 from strata.functions.bitmaps import members, overlap, to_bitmap
+from strata.functions.watermark import mark_text_col
 from strata.operators.bronze import enrich_bronze
 from strata.operators.open_rows import CLOSED, LIVE, late_buckets, order_number, segment_column
 from strata.operators.quality import required_columns_result, rollup, row_count_result
@@ -149,11 +151,17 @@ def _total(store: TableStore, name: str, head, dropped_parts: list[str], added:
     return old - store.read_parts(head.schema, dropped_parts).count() + added
 
 
-def fold_settings(cfg: SourceRegistration) -> dict:
+def key_names(schema: T.StructType, keys: list[str]) -> list[str]:
+    """Keys with their types: a key's hash, and so its bucket, depends on both."""
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in schema}
+    return [f"{k} {kinds.get(k.lower(), '')}" for k in keys]
+
+
+def fold_settings(cfg: SourceRegistration, schema: T.StructType) -> dict:
     """Everything the silver tables depend on besides the bronze rows; an
     incremental fold is only valid when these are unchanged."""
     return {
-        "keys": list(cfg.primary_keys),
+        "keys": key_names(schema, cfg.primary_keys),
         "ordering": cfg.ordering_column,
         "delete_column": cfg.delete_indicator_column,
         "deleted_values": list(cfg.deleted_values),
@@ -213,7 +221,7 @@ def fold_silver(
     history, rebuilt_obs = observed(history.drop(SUB_BUCKET))
     hist_schema = history.drop(BUCKET).schema
     hist_name, cur_name = cfg.silver_history_table, cfg.silver_current_table
-    note = {**(lineage or {}), "buckets": nb, "settings": fold_settings(cfg)}
+    note = {**(lineage or {}), "buckets": nb, "settings": fold_settings(cfg, scope.schema)}
 
     # history: rewrite touched buckets, carry the rest
     hist_head = store.head(hist_name) if touched is not None else None
@@ -278,7 +286,7 @@ def _only_later(store: TableStore, bronze: str, seen: int, latest: int, history:
     return True
 
 
-def _kept_parts(store: TableStore, cfg: SourceRegistration, hist_head, new_rows: DataFrame, touched: set[int],
+def _kept_parts(store: TableStore, cfg: SourceRegistration, hist_head, like: T.StructType, new_rows: DataFrame, touched: set[int],
                 buckets: int, only_later: bool) -> frozenset[str]:
     """Closed folders of the touched buckets that the new rows leave alone."""
     parts = [p for p in hist_head.parts if bucket_of(p) in touched]
@@ -287,31 +295,31 @@ def _kept_parts(store: TableStore, cfg: SourceRegistration, hist_head, new_rows:
     anew = {bucket_of(p) for p in parts if segment_of(p) is None} | {b for b, n in closed.items() if n >= CLOSED_PARTS}
     clean = touched - anew
     if clean and not only_later:
-        open_rows = store.read_parts(hist_head.schema, [p for p in parts if bucket_of(p) in clean and segment_of(p) != CLOSED])
+        open_rows = store.read_parts(T.StructType([*like.fields, hist_head.schema["is_current"]]), [p for p in parts if bucket_of(p) in clean and segment_of(p) != CLOSED])
         late = late_buckets(open_rows, new_rows, cfg.primary_keys, cfg.ordering_column, bucket_column(cfg.primary_keys, buckets))
         clean -= {int(r[0]) for r in late.collect()}  # at most one row a bucket
     return frozenset(p for p in parts if segment_of(p) == CLOSED and bucket_of(p) in clean)
 
 
-def key_bitmaps(store: TableStore, bronze: str, first: int, last: int, keys: list[str]) -> dict[int, str]:
+def key_bitmaps(store: TableStore, bronze: str, first: int, last: int, names: list[str]) -> dict[int, str]:
     """Key-hash bitmap of each landing from version ``first`` to ``last``;
-    versions that did not record one (or hashed other columns) are left out."""
+    versions that did not record one (or hashed other columns or types) are left out."""
     out = {}
     for version in range(first, last + 1):
         head = store.head(bronze, version)
-        if head is not None and head.lineage.get("key_bitmap") and head.lineage.get("hash_keys") == list(keys):
+        if head is not None and head.lineage.get("key_bitmap") and head.lineage.get("hash_keys") == names:
             out[version] = head.lineage["key_bitmap"]
     return out
 
 
 def _recorded_buckets(store: TableStore, bronze: str, seen: int, latest: int, buckets: int,
-                      keys: list[str]) -> set[int] | None:
+                      names: list[str]) -> set[int] | None:
     """Touched buckets from the bitmaps of the landings after version ``seen``;
     ``None`` when a landing has none or the bucket count does not divide the
     hash range (the new rows are read for their buckets then)."""
     if KEY_HASHES % buckets:
         return None
-    maps = key_bitmaps(store, bronze, seen + 1, latest, keys)
+    maps = key_bitmaps(store, bronze, seen + 1, latest, names)
     if len(maps) < latest - seen:
         return None
     return {h % buckets for bitmap in maps.values() for h in members(bitmap)}
@@ -322,7 +330,7 @@ def folders_with_keys(store: TableStore, head, bronze: str, keys: list[str], has
     ``hashes``: all but those whose landing recorded none of them."""
     wanted = to_bitmap(hashes, KEY_HASHES)
     skipped = set()
-    for version, bitmap in key_bitmaps(store, bronze, 1, head.version, keys).items():
+    for version, bitmap in key_bitmaps(store, bronze, 1, head.version, key_names(head.schema, keys)).items():
         if not overlap(bitmap, wanted):
             skipped.add(store.head(bronze, version).parts[-1])  # a landing adds one folder
     return [p for p in head.parts if p not in skipped]
@@ -368,25 +376,25 @@ def fold_new_batches(store: TableStore, cfg: SourceRegistration, bronze_head=Non
         and cur_head.lineage.get("bronze_version") == hist_head.lineage["bronze_version"]
         and cur_head.lineage.get("buckets") == nb
         # a re-registration with other keys, ordering or delete rules rebuilds
-        and hist_head.lineage.get("settings") == fold_settings(cfg)
-        and cur_head.lineage.get("settings") == fold_settings(cfg)
+        and hist_head.lineage.get("settings") == fold_settings(cfg, bronze_head.schema)
+        and cur_head.lineage.get("settings") == fold_settings(cfg, bronze_head.schema)
     ):
         seen = store.head(cfg.bronze_table, hist_head.lineage["bronze_version"])
         if seen is not None and set(seen.parts) <= set(bronze_head.parts):
             fresh = [p for p in bronze_head.parts if p not in set(seen.parts)]
             new_rows = store.read_parts(bronze_head.schema, fresh)
             touched = _recorded_buckets(store, cfg.bronze_table, seen.version, bronze_head.version, nb,
-                                        cfg.primary_keys)
+                                        key_names(bronze_head.schema, cfg.primary_keys))
             if touched is None:  # not recorded at landing: one pass over the new rows
                 touched = {
                     int(r[0]) for r in new_rows.select(bucket_column(cfg.primary_keys, nb)).distinct().collect()
                 }  # at most ``nb`` values
-            like = [c for c in bronze_head.schema.fieldNames() if c not in ("source_name", "load_mode")]
-            keep = _kept_parts(store, cfg, hist_head, new_rows, touched, nb,
+            # bronze's present schema: silver folders of earlier, narrower versions are read under it
+            like = T.StructType([f for f in bronze_head.schema if f.name not in ("source_name", "load_mode")])
+            keep = _kept_parts(store, cfg, hist_head, like, new_rows, touched, nb,
                                _only_later(store, cfg.bronze_table, seen.version, bronze_head.version, hist_head.lineage))
             rewrite = [p for p in _split_parts(hist_head, touched, nb)[0] if p not in keep]
-            old_rows = store.read_parts(hist_head.schema, rewrite).select(*like)
-            scope = old_rows.unionByName(new_rows.select(*like))
+            scope = store.read_parts(like, rewrite).unionByName(new_rows.select(*like.fieldNames()))
             counts = (hist_head.row_count, bronze_head.row_count, seen.row_count)
             total = None if None in counts else counts[0] + counts[1] - counts[2]  # every landed row is one history row
             return fold_silver(store, cfg, scope, touched=touched, lineage=lineage,
@@ -445,7 +453,7 @@ def run_source(
         metrics = [F.count(F.lit(1)).alias("rows")]
         ordering = cfg.ordering_column
         if ordering and ordering in extract.columns:
-            metrics.append(F.max(F.col(ordering)).cast("string").alias("mark"))
+            metrics.append(mark_text_col(F.max(F.col(ordering)), extract.schema[ordering].dataType).alias("mark"))
             metrics.append(F.count_if(F.col(ordering).isNull()).alias("order_gaps"))
             number = order_number(ordering, extract.schema[ordering].dataType)
             if number is not None:
@@ -475,7 +483,7 @@ def run_source(
             note = {"batch_id": batch_id, "tag": landing_tag, "rows": rows, "mark": mark}
             if seen.get("hashes") is not None:
                 note["key_bitmap"] = to_bitmap(seen["hashes"], KEY_HASHES)
-                note["hash_keys"] = list(cfg.primary_keys)
+                note["hash_keys"] = key_names(landed.schema, cfg.primary_keys)
             note.update({k: seen[k] for k in ("order_first", "order_gaps") if seen.get(k) is not None})
             store.append_folder(cfg.bronze_table, folder, landed.schema, rows, lineage=note)
         results = [row_count_result(rows), required_columns_result(landed.columns, cfg.required_columns)]

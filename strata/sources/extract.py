@@ -28,9 +28,10 @@ def source_frame(spark: SparkSession, reg: SourceRegistration, store=None) -> Da
 
 
 def run_instant(spark: SparkSession) -> str:
-    """"Now" as session-zone text, read once per run so every evaluation of
-    the extract sees the same upper bound."""
-    return spark.sql("SELECT CAST(current_timestamp() AS STRING) AS now").first()["now"]
+    """"Now" as session-zone text with its offset (so it names one instant even
+    in a repeated clock hour), read once per run so every evaluation of the
+    extract sees the same upper bound."""
+    return spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSSSSSxxx') AS now").first()["now"]
 
 
 def _as_text(value) -> str | None:
