@@ -5,8 +5,10 @@ window of a long document is a sequence of its own; the rest of each document
 goes, as compact ids, to a shard.  A shard holds a bounded number of documents,
 chosen by a hash that spreads any key, and builds a BM25 inverted index over
 them.  The first unused document seeds a window; its most telling terms query
-the index, and unused neighbours fill the window best first (then, where
-nothing is left that shares a term, the next unused ones).  The neighbour that
+the index, and unused neighbours fill the window best first.  Where they do not
+fill it, the index is asked for all the seed's terms, so every document of the
+shard that shares a term is tried (then, where nothing is left that shares a
+term, the next unused ones).  The neighbour that
 no longer fits is cut and seeds the next window, so inner windows carry no
 padding; a shard's last tokens go into sequences of descending powers of two,
 which need none either.
@@ -20,6 +22,7 @@ ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -175,15 +178,25 @@ class Bm25:
         self.order = np.lexsort((term, -idf * tf / (tf + K1), self.doc))
         self.start = np.searchsorted(self.doc[self.order], np.arange(n + 1))
 
-    def neighbours(self, doc: int) -> np.ndarray:
-        """Other documents by falling score (ties: smaller position)."""
-        score = np.zeros(self.n)
-        for entry in self.order[self.start[doc] : min(self.start[doc] + QUERY_TERMS, self.start[doc + 1])]:
+    def neighbours(self, doc: int) -> Iterator[int]:
+        """Every other document that shares a term: those found by the most telling
+        terms first, then the rest by all terms, each by falling score (ties: smaller
+        position)."""
+        found = np.zeros(self.n)
+        own = self.order[self.start[doc] : self.start[doc + 1]]
+        for entry in own[:QUERY_TERMS]:
             lo, hi = self.first[self.slot[entry]], self.last[self.slot[entry]]
-            score[self.doc[lo:hi]] += self.weight[lo:hi]
-        score[doc] = 0
-        order = np.argsort(-score, kind="stable")
-        return order[score[order] > 0]
+            found[self.doc[lo:hi]] += self.weight[lo:hi]
+        found[doc] = 0
+        order = np.argsort(-found, kind="stable")
+        yield from order[found[order] > 0].tolist()
+        if len(own) > QUERY_TERMS:
+            asked = np.zeros(len(self.first))
+            asked[self.slot[own]] = 1
+            score = np.bincount(self.doc, self.weight * asked[self.slot], self.n)
+            score[doc], score[found > 0] = 0, 0
+            order = np.argsort(-score, kind="stable")
+            yield from order[score[order] > 0].tolist()
 
 
 def fill_windows(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -215,9 +228,9 @@ def fill_windows(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tupl
         if len(sequences) == before:
             for i in index.neighbours(seed):
                 if used[i] == 0:
-                    take(int(i))
+                    take(i)
                     if len(sequences) > before:
-                        carried = int(i)
+                        carried = i
                         break
         else:
             carried = seed

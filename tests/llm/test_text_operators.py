@@ -331,6 +331,16 @@ def test_packing_covers_every_id_once(docs, rows):
         assert at == len(ids)
 
 
+def test_windows_fill_with_every_document_that_shares_a_term():
+    """A document that shares only a seed's thirteenth term comes before one that shares none."""
+    seed, twin = np.arange(100, 113, dtype=np.uint32), np.arange(100, 112, dtype=np.uint32)
+    docs = [seed, np.arange(900, 920, dtype=np.uint32), twin, np.array([112, 500], np.uint32), np.array([112, 501], np.uint32)]
+    assert len(twin) == packing.QUERY_TERMS  # all of the seed's rarer terms
+    sequences = packing.fill_windows(docs, window=len(seed) + len(twin) + 4)
+    assert [i for i, _, _ in sequences[0]] == [0, 2, 3, 4]
+    assert sum(n for seq in sequences for _, _, n in seq) == sum(map(len, docs))
+
+
 def test_word_cache_equals_tokenizer():
     words = packing._tokens(packing._default_path())
     texts = ["Don't stop 10 0 times!", "a\x1cb", "x <|endoftext|> y", "ΣΑΣ İ é é   z", "", "0", "00 1 0"]
