@@ -104,6 +104,14 @@ def bucket_column(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def by_bucket(rows: DataFrame, keys: list[str], buckets: int, pieces: int) -> DataFrame:
+    """History rows with their storage bucket, dealt by bucket and up to ``pieces``
+    pieces of it: a replay leaves as many files as a fold, and no task writes a
+    whole bucket (nor a whole key)."""
+    piece = F.pmod(F.xxhash64(F.lit("piece"), *[F.col(k) for k in keys], F.col("effective_from")), F.lit(pieces))
+    return rows.withColumn(BUCKET, bucket_column(keys, buckets)).repartition(F.col(BUCKET), piece)
+
+
 def bucket_of(part: str) -> int | None:
     match = _BUCKET_DIR.search(part)
     return int(match.group(1)) if match else None
@@ -232,8 +240,7 @@ def fold_silver(
     if keys_df is not None and rewrite:
         kept = rows_without_keys(store.read_parts(hist_head.schema, rewrite), keys_df, keys, null_safe)
         frame = align_columns(kept, history.drop(BUCKET)).unionByName(history.drop(BUCKET))
-        # both sides by bucket again, so that a replay leaves as many files as a fold
-        frame = frame.withColumn(BUCKET, bucket_column(keys, nb)).repartition(BUCKET)
+        frame = by_bucket(frame, keys, nb, subs)
     segment = _segment(cfg, hist_schema.fieldNames())
     metrics = {"live": F.count_if(segment == LIVE), "gaps": F.count_if(F.col("effective_from").isNull())}
     number = order_number("effective_from", hist_schema["effective_from"].dataType)
@@ -260,8 +267,7 @@ def fold_silver(
         rebuilt_current = rows_for_keys(store.read_parts(hist_schema, cur_parts), keys_df, keys, null_safe)
         kept_current = rows_without_keys(store.read_parts(cur_head.schema, cur_rewrite), keys_df, keys, null_safe)
         fresh = align_columns(kept_current, rebuilt_current).unionByName(rebuilt_current)
-        fresh = fresh.withColumn(BUCKET, bucket_column(keys, nb)).repartition(BUCKET)
-        cur_parts, counted = write_buckets(store, cur_name, fresh, keys, nb)
+        cur_parts, counted = write_buckets(store, cur_name, by_bucket(fresh, keys, nb, subs), keys, nb)
         cur_written = int(counted["rows"])
     current_rows = _total(store, cur_name, cur_head if cur_live else None, cur_rewrite, cur_written)
     store.replace_parts(cur_name, cur_carry + cur_parts, hist_schema, current_rows, note)

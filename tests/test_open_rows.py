@@ -141,3 +141,20 @@ def test_file_count_stays_flat_over_ten_replays(spark):
         before = before or files
         assert files <= before + 4
     assert history(store) == rows
+
+
+def test_a_replay_writes_a_bucket_in_pieces(spark, monkeypatch):
+    """No task holds a whole bucket (nor a whole key) when a replay writes it again."""
+    monkeypatch.setattr(runs, "ROWS_PER_WINDOW_GROUP", 20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store, control, _ = run_days(spark, [batch(day, range(40)) for day in range(3)], "incremental", 1)
+        before = history(store), current(store)
+        control.submit_replay(1, "src", "ENTITY", entity_predicate="id = 7")
+        run_replay(spark, control, 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (history(store), current(store)) == before
+    for name, rows in (("demo.silver.src_history", 120), ("demo.silver.src_current", 40)):
+        sizes = [r["count"] for r in store.read(name).groupBy(F.input_file_name()).count().collect()]
+        assert sum(sizes) == rows and max(sizes) < rows * 0.5
