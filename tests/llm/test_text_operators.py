@@ -15,7 +15,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import (hashed_model, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
+from strata.llm import (common, hashed_model, jaccard_join, packing, page_text, piece_encoding, ppm_scores, quality_rules, secret_scan, suffix_dedup,
                         toxicity, vector_search)
 
 SF = "/root/testdata/sf0.001"
@@ -513,6 +513,13 @@ def test_pages_of_a_large_host_meet_their_nearest_path(spark):
     assert sum(got.values()) == len(rows) and got[900, "Alone"] == 1 and got[901, ""] == 1
 
 
+def test_scans_of_tables_hold_bounded_batches(spark):
+    """4,096 long pages a batch and task took an executor beyond its memory."""
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+    common.table(spark, SF, "pages")
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 1000
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
