@@ -14,10 +14,13 @@ document-frequency sketch over all documents) and breaks ties by its own hash.
    shares most prefix tokens, and the links found join components.  Large groups
    of near copies fall together here without their pairs being made.
 3. The exact step covers what can still join components: pairs of different
-   components that share a prefix token under order 1 and under each further
-   order (positions, sizes and parity signatures bound the overlap in each).  Half hashes can only
-   add to an overlap, so they drop no link; pairs that pass by a few tokens only
-   are decided on whole hashes, read for their classes alone.
+   components that share a prefix token under order 1.  A row holds 512 parity
+   bits of its set and the tokens before its own, so a pair is made only where
+   sizes, positions and signatures allow a link, and not again at a token that
+   follows another shared one.  The pairs must then pass longer sketches and share
+   a prefix token under each further order, which is looked up pair by pair.  Half
+   hashes can only add to an overlap, so they drop no link; pairs that pass by a
+   few tokens only are decided on whole hashes, read for their classes alone.
 
 A token's rows are walked as a sorted stream with one row kept, and where pairs
 are made the rows of a token with more than ``BLOCK`` classes are dealt to pairs
@@ -39,7 +42,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import (FOLD, components, hash_filter, keep_columns, materialize, mix, partitions_for, passes, slices, span_hashes,
@@ -52,6 +55,8 @@ ORDERS = 3
 SPREAD = 16
 HOOKS = ((1, 3), (3, 12))  # of each round: pivots a token, partners that a set is verified against
 BLOCK = 2048  # classes of one token that meet in one task
+BEFORE = 8  # shared tokens before its own that a row holds
+SIGNS = [f"s{k}" for k in range(8)]  # words of parity
 WHOLE_UP_TO = 256  # sets of so many tokens are stored with whole hashes
 SLICE = 500_000  # text bytes that are cut into shingles at a time
 
@@ -228,9 +233,14 @@ def _fit(n1, p1, n2, p2, percent):
 
 
 def _near(n1, x1, y1, n2, x2, y2, percent):
+    """The test of ``_signs_near`` for signatures of two words."""
+    return _signs_near(n1, (x1, y1), n2, (x2, y2), percent)
+
+
+def _signs_near(n1, words1, n2, words2, percent):
     """Whether signatures allow a link: bits of parity that differ are at most as
     many as the tokens that only one of the sets has."""
-    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in ((x1, x2), (y1, y2)))
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(words1, words2))
     return apart <= n1 + n2 - 2 * -(-percent * (n1 + n2) // (100 + percent))
 
 
@@ -282,50 +292,78 @@ def _groups(batches, names):
         yield [np.concatenate(c) for c in zip(*held)]
 
 
-def _crossings(percent: int):
-    """All pairs of different components in a group that sizes and positions
-    allow, smaller class first; between two blocks only pairs of both."""
+def _crossings(percent: int, signs: list[str]):
+    """All pairs of different components in a group that sizes, positions and
+    signatures allow, smaller class first; between two blocks only pairs of both.
+
+    A pair that also shares one of the tokens before is left to that token: there
+    both positions are smaller, so it passes wherever it passes here."""
+    names = ["token", "part", "cls", "at", "root", "block", *signs, *_before()]
+
+    def met(before, i, j):
+        """Whether the rows i and j hold an equal token before their own."""
+        return np.logical_or.reduce([a[i] == b[j] for a in before for b in before])
+
+    def pairs(a, b):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches):
-        for token, part, cls, at, root, x, y, block in _groups(batches, ["token", "part", *ROW[1:], "block"]):
+        for token, part, cls, at, root, block, *more in _groups(batches, names):
             if not len(token):
                 continue
+            words, before = more[: len(signs)], more[len(signs) :]
             n, pos = at >> 32, at & 0xFFFFFFFF
             edges = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (part[1:] != part[:-1]), True])
+
+            def linkable(i, j):
+                """Which of the pairs (i, j) of rows are made."""
+                ok = (root[i] != root[j]) & _fit(n[i], pos[i], n[j], pos[j], percent)
+                ok &= (part[i] < 0) | (block[i] != block[j])
+                for test in (lambda i, j: _signs_near(n[i], [w[i] for w in words], n[j], [w[j] for w in words], percent),
+                             lambda i, j: ~met(before, i, j)):
+                    ok[ok] = test(i[ok], j[ok])
+                return ok
+
             two = edges[:-1][np.diff(edges) == 2]  # most groups hold two classes
-            ok = (root[two] != root[two + 1]) & _fit(n[two], pos[two], n[two + 1], pos[two + 1], percent)
-            ok &= (part[two] < 0) | (block[two] != block[two + 1])
-            ok &= _near(n[two], x[two], y[two], n[two + 1], x[two + 1], y[two + 1], percent)
-            a, b = cls[two[ok]], cls[two[ok] + 1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            two = two[linkable(two, two + 1)]
+            yield pairs(cls[two], cls[two + 1])
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if hi - lo < 3:
                     continue
-                r, c, size, place, blk, u, v = (z[lo:hi] for z in (root, cls, n, pos, block, x, y))
+                r, c = root[lo:hi], cls[lo:hi]
                 if (r == r[0]).all():
                     continue
-                names, group, many = np.unique(r, return_inverse=True, return_counts=True)
+                _, group, many = np.unique(r, return_inverse=True, return_counts=True)
                 most = group == many.argmax()
                 for i in np.flatnonzero(~most):  # members of the largest component meet only the others
-                    ok = (r != r[i]) & _fit(size, place, size[i], place[i], percent) & _near(size, u, v, size[i], u[i], v[i], percent)
-                    ok &= most | (c > c[i])
-                    if part[lo] >= 0:
-                        ok &= blk != blk[i]
-                    if ok.any():
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[ok], c[i])), pa.array(np.maximum(c[ok], c[i]))], names=["a", "b"])
+                    j = np.flatnonzero(most | (c > c[i])) + lo
+                    j = j[linkable(np.full(len(j), lo + i), j)]
+                    if len(j):
+                        yield pairs(cls[j], np.full(len(j), c[i]))
 
     return run
 
 
-def crossings(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of different components that share a token of ``rows``.
+def _before() -> list[str]:
+    return [f"before{k}" for k in range(1, BEFORE + 1)]
+
+
+def crossings(rows: DataFrame, percent: int, signs: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs of different components that share a token of ``rows``;
+    ``signs`` holds longer signatures (cls, words) than the rows do.
 
     Tokens of one component make no pairs and are left out first.  A token of
     more than ``BLOCK`` classes is dealt to pairs of blocks: part -1 is a whole
     group or one block with itself, any other part is two blocks."""
     many = materialize(rows.groupBy("token").agg(F.count("*").alias("rows"), (F.min("root") != F.max("root")).alias("mixed"))
                        .where("mixed").select(F.col("token").alias("t"), F.ceil(F.col("rows") / BLOCK).cast("long").alias("blocks")))
-    rows = rows.join(many, F.col("token") == F.col("t")).drop("t")
+    words = ["x", "y"] if signs is None else [c for c in signs.columns if c != "cls"]
+    rows = rows.join(many, F.col("token") == F.col("t")).select("token", "cls", "at", "root", "blocks", *(words if signs is None else []))
+    # where there is no such token, a value of the class stands, which no other class has
+    order = Window.partitionBy("cls").orderBy("at", "token")
+    rows = rows.select("*", *[F.coalesce(F.lag("token", k).over(order), F.xxhash64("cls", F.lit(k))).alias(c) for k, c in enumerate(_before(), 1)])
+    if signs is not None:
+        rows = rows.join(signs, "cls")
     block = F.pmod(F.xxhash64("cls"), F.col("blocks"))
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     lower, upper = F.least("block", "other"), F.greatest("block", "other")
@@ -333,8 +371,8 @@ def crossings(rows: DataFrame, percent: int) -> DataFrame:
     alone = F.col("block") == F.col("other")
     rows = rows.select(
         F.when(F.col("blocks") == 1, F.col("token")).otherwise(F.xxhash64("token", lower, upper)).alias("token"),
-        F.when(alone, F.lit(-1)).otherwise(lower * F.col("blocks") + upper).alias("part"), *ROW[1:], "block")
-    return rows.repartition("token").sortWithinPartitions("token", "part", "cls").mapInArrow(_crossings(percent), "a long, b long").distinct()
+        F.when(alone, F.lit(-1)).otherwise(lower * F.col("blocks") + upper).alias("part"), "cls", "at", "root", "block", *words, *_before())
+    return rows.repartition("token").sortWithinPartitions("token", "part", "cls").mapInArrow(_crossings(percent, words), "a long, b long").distinct()
 
 
 def _overlap(x, y) -> int:
@@ -481,7 +519,7 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
     (sets_of(docs, left, width, False).repartition(buckets, "cls").dropDuplicates(["cls"])
      .write.bucketBy(buckets, "cls").sortBy("cls").saveAsTable(name))
     sets = spark.table(name)
-    known = materialize(sets.mapInArrow(_signatures, "cls long, x long, y long"))
+    known = materialize(sets.mapInArrow(_signatures, ", ".join(f"{c} long" for c in ("cls", "x", "y", *SIGNS))))
     links = roots = None
     for turn, (pivots, partners) in enumerate(HOOKS):
         votes = hooked(_with_roots(shared, known, roots), turn, pivots, percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
@@ -491,12 +529,11 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
         found = materialize(judged(alike(best, sets, percent), sets, percent).where("sure").select("a", "b"))
         links = found if links is None else links.union(found)
         roots = components(links)
-    found = materialize(crossings(materialize(_with_roots(shared, known, roots)), percent))
-    for order in range(1, ORDERS):
-        alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
-        prefixes = docs_prefixes(docs, alive.join(classes, "cls"), order, levels, width, percent)
-        found = materialize(found.join(crossings(_with_roots(prefixes, known, roots), percent), ["a", "b"], "left_semi"))
-    checked = materialize(judged(alike(found, sets, percent), sets, percent))
+    found = crossings(materialize(_with_roots(shared, known, roots)), percent, known.select("cls", *SIGNS))
+    found = materialize(alike(materialize(found), sets, percent))
+    alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
+    found = share_in_orders(found, docs_prefixes(docs, alive.join(classes, "cls"), levels, width, percent), percent)
+    checked = materialize(judged(materialize(found), sets, percent))
     close = checked.where("not sure").select("a", "b")
     classes_of_close = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "cls")
     whole = sets_of(docs, classes_of_close.join(classes, "cls").select("cls", "least"), width, True).dropDuplicates(["cls"])
@@ -505,24 +542,56 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
     return links.union(checked.where("sure").select("a", "b")).union(exact)
 
 
-def docs_prefixes(docs: DataFrame, wanted: DataFrame, order: int, levels: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Prefix rows under a further order that the wanted classes share with
-    another class, from their documents.  Classes that only pass the filter by
-    chance stay: they can only add pairs, and pairs are intersected."""
-    rows = _chosen(docs, wanted, width, lambda found: _rows_of(found, order, levels, percent), PREFIX_SCHEMA)
-    return _shared_rows(rows, percent)
+def docs_prefixes(docs: DataFrame, wanted: DataFrame, levels: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(cls, n, prefixes) of at least the wanted classes from their documents: half
+    hashes of the prefix under each further order, one after the other."""
+
+    def make(found):
+        prefixes = [np.concatenate([prefix(s, order, levels, percent) for order in range(1, ORDERS)]) if ORDERS > 1 else s[:0] for s in found]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([class_of(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
+             pa.array([(p >> np.uint64(32)).astype("<u4").tobytes() for p in prefixes], pa.binary())], names=["cls", "n", "prefixes"])
+
+    return _chosen(docs, wanted, width, make, "cls long, n long, prefixes binary").dropDuplicates(["cls"])
+
+
+def _share_in_orders(percent: int):
+    """Pairs that share a prefix token of a fitting place under each further order."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n1, x, n2, y in zip(*(batch.column(c) for c in ("n1", "p1", "n2", "p2"))):
+                n1, n2, shares = n1.as_py(), n2.as_py(), True
+                for a, b in zip(*(np.split(np.frombuffer(v.as_buffer(), "<u4"), max(ORDERS - 1, 1)) for v in (x, y))):
+                    _, at, bt = np.intersect1d(a, b, return_indices=True)
+                    shares = shares and bool(_fit(n1, at, n2, bt, percent).any())
+                keep.append(shares or ORDERS == 1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def share_in_orders(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the further orders leave, looked up pair by pair: no rows of a
+    frequent token meet, and no more pairs are made than come in."""
+    prefixes = materialize(prefixes)
+    x, y = (prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"n{i}"), F.col("prefixes").alias(f"p{i}")) for i, k in ((1, "a"), (2, "b")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(_share_in_orders(percent), "a long, b long")
 
 
 def _signatures(batches):
-    """128 bits of parity for each stored set, from half of each hash."""
+    """512 bits of parity for each stored set, from half of each hash, and the same
+    folded to 128 bits (x, y)."""
     for batch in batches:
-        words = []
-        for whole, half in zip(batch.column("tokens"), batch.column("halves")):
+        words = np.zeros((batch.num_rows, len(SIGNS)), np.uint64)
+        for i, (whole, half) in enumerate(zip(batch.column("tokens"), batch.column("halves"))):
             h = _halves(np.frombuffer(whole.as_buffer(), "<u8")) if whole.is_valid else np.frombuffer(half.as_buffer(), "<u4")
-            bit = np.uint64(1) << (h & np.uint32(63)).astype(np.uint64)
-            words.append([int(np.bitwise_xor.reduce(bit[(h >> 6 & 1) == k], initial=np.uint64(0)).astype(np.int64)) for k in (0, 1)])
-        x, y = zip(*words) if words else ((), ())
-        yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["cls", "x", "y"])
+            parity = np.bincount(h & np.uint32(64 * len(SIGNS) - 1), minlength=64 * len(SIGNS)) & 1
+            words[i] = np.packbits(parity.astype(np.uint8), bitorder="little").view("<u8")
+        words = words.view(np.int64)
+        x, y = (np.bitwise_xor.reduce(words[:, k::2], axis=1) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), *(pa.array(np.ascontiguousarray(w)) for w in (x, y, *words.T))], names=["cls", "x", "y", *SIGNS])
 
 
 def _with_roots(rows: DataFrame, known: DataFrame, roots: DataFrame | None) -> DataFrame:

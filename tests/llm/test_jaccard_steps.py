@@ -101,6 +101,50 @@ def test_crossings_in_blocks_equal_all_pairs(spark, monkeypatch):
         assert {tuple(r) for r in jj.crossings(df, 85).collect()} == want
 
 
+def test_crossings_make_a_pair_once(spark, monkeypatch):
+    """Sets that share many tokens make one row a pair, not one a token."""
+    rng = random.Random(8)
+    rows = []
+    for c in range(60):  # each is a component of its own and lacks two of 40 tokens
+        tokens = sorted(set(range(1000, 1040)) - set(rng.sample(range(1000, 1040), 2)))
+        rows += [(t, c, (300 << 32) + pos, c, 0, 0) for pos, t in enumerate(tokens)]
+    df = spark.createDataFrame(rows, "token long, cls long, at long, root long, x long, y long").repartition(4)
+    monkeypatch.setattr(type(df), "distinct", lambda self: self)
+    made = [tuple(r) for r in jj.crossings(df, 85).collect()]
+    assert set(made) == {(a, b) for b in range(60) for a in range(b)} and len(made) == 60 * 59 // 2
+
+
+def test_crossings_drop_pairs_by_long_signatures(spark):
+    rng = np.random.default_rng(9)
+    base = np.unique(mix(rng.integers(1 << 62, size=400).astype(np.uint64)))
+    sets = [np.r_[base[: 400 - 10 * k], mix(rng.integers(1 << 62, size=10 * k).astype(np.uint64))] for k in range(8)]
+    stored = [jj._stored(s, False) for s in sets]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8), pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*stored))], names=["cls", "tokens", "halves"])
+    known = spark.createDataFrame(next(jj._signatures([batch])).to_pandas())
+    rows = spark.createDataFrame([(7, c, len(s) << 32, c) for c, s in enumerate(sets)], "token long, cls long, at long, root long")
+    got = {tuple(r) for r in jj.crossings(rows, 85, known.select("cls", *jj.SIGNS)).collect()}
+    linked = {(a, b) for b in range(8) for a in range(b) if 185 * len(np.intersect1d(sets[a], sets[b])) >= 85 * (len(sets[a]) + len(sets[b]))}
+    assert got >= linked and len(linked) >= 5 and len(got) <= len(linked) + 4 < 28
+
+
+def test_further_orders_looked_up_by_pair(spark):
+    """Linked pairs stay, most pairs of few common tokens go."""
+    rng = np.random.default_rng(10)
+    levels, pairs, rows, linked = np.zeros(1 << jj.SKETCH_BITS, np.uint8), [], [], set()
+    for i in range(200):
+        n = int(rng.integers(20, 300))
+        a, b = sets_near(rng, n, int(rng.integers(0, n // 12 + 1)) if i % 2 else n - 3)
+        for c, s in ((2 * i, a), (2 * i + 1, b)):
+            p = np.concatenate([jj.prefix(s, order, levels, 85) for order in range(1, jj.ORDERS)])
+            rows.append((c, len(s), bytearray((p >> np.uint64(32)).astype("<u4").tobytes())))
+        pairs.append((2 * i, 2 * i + 1))
+        if 185 * len(np.intersect1d(a, b)) >= 85 * (len(a) + len(b)):
+            linked.add(pairs[-1])
+    left = jj.share_in_orders(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, "cls long, n long, prefixes binary"), 85)
+    got = {tuple(r) for r in left.collect()}
+    assert got >= linked and len(linked) >= 50 and len(got) < 120
+
+
 def test_shared_rows_over_small_batches(spark):
     """Rows of one token may come in any number of batches."""
     rows = [(t, c, at) for t, c, at, *_ in rows_of(random.Random(4), 40, 150)] * 2
