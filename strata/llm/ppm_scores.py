@@ -50,20 +50,21 @@ WORDS, GRAMS, TOTALS = 0, 1, 2
 def grams_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(6-gram, document) of every symbol, the end symbols included."""
     n = len(off) - 1
-    doc = np.repeat(np.arange(n), np.diff(off))
     stream = np.full(len(buf) + (ORDER + 1) * n, START, np.uint8)
     ends = off[1:] + (ORDER + 1) * np.arange(1, n + 1) - 1
-    stream[np.arange(len(buf)) + (ORDER + 1) * doc + ORDER] = FOLD[buf]
-    stream[ends] = END
-    symbol = np.ones(len(stream), bool)
     starts = off[:-1] + (ORDER + 1) * np.arange(n)
+    symbol = np.ones(len(stream), bool)
     for k in range(ORDER):
         symbol[starts + k] = False
-    at = np.flatnonzero(symbol)
-    g = np.zeros(len(at), np.int64)
-    for k in range(ORDER, -1, -1):
-        g = (g << 8) | stream[at - k]
-    return g, np.repeat(np.arange(n), np.diff(off) + 1)
+    text = symbol.copy()
+    text[ends] = False
+    stream[text] = FOLD[buf]
+    stream[ends] = END
+    g = np.zeros(max(len(stream) - ORDER, 0), np.int64)
+    for k in range(ORDER + 1):
+        g <<= 8
+        g |= stream[k : k + len(g)]
+    return g[symbol[ORDER:]], np.repeat(np.arange(n), np.diff(off) + 1)
 
 
 def words_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,11 +95,16 @@ def word_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and summed counts of several (keys, counts)."""
+    """Distinct keys and summed counts of several (distinct sorted keys, counts)."""
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, inv = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inv, np.concatenate([c for _, c in parts]), minlength=len(keys)).astype(np.int64)
+    if len(parts) == 1:
+        return parts[0][0], parts[0][1].astype(np.int64)
+    keys = np.unique(np.concatenate([k for k, _ in parts]))
+    total = np.zeros(len(keys), np.int64)
+    for k, c in parts:
+        total[np.searchsorted(keys, k)] += c.astype(np.int64)
+    return keys, total
 
 
 def _parts(data: pa.Table):
@@ -112,11 +118,14 @@ def distinct_of(data: pa.Table):
     for part in _parts(data):
         buf, off = text_buffer(part.column("text"))
         train = part.column("train").to_numpy(zero_copy_only=False)
-        for kind, get in ((WORDS, words_of), (GRAMS, grams_of)):
-            keys, doc = get(buf, off)
-            # one sort tells both the distinct keys and their training counts
-            keys, inv = np.unique(keys, return_inverse=True)
-            found[kind].append((keys, np.bincount(inv, train[doc], minlength=len(keys))))
+        keys, doc = words_of(buf, off)
+        keys, inv = np.unique(keys, return_inverse=True)
+        found[WORDS].append((keys, np.bincount(inv, train[doc], minlength=len(keys))))
+        # a 6-gram has 48 bits, so one plain sort takes the training mark along
+        g, doc = grams_of(buf, off)
+        marked = np.sort((g << 1) | train[doc])
+        first = np.flatnonzero(np.diff(marked >> 1, prepend=-1))
+        found[GRAMS].append((marked[first] >> 1, np.add.reduceat(marked & 1, first)))
         if len(found[GRAMS]) >= 8:
             found = {k: [_tally(v)] for k, v in found.items()}
     return {k: _tally(v) for k, v in found.items()}
@@ -218,9 +227,18 @@ def _score(buckets: int, n: int, v: int):
     floor = np.log10(n + 0.5 * (v + 1))
 
     def run(key, docs, answers):
-        table = {}
+        table, read = {}, []
         replies = {(r["kind"], r["bucket"]): r["data"] for r in answers.to_pylist()}
-        for kind, (keys, _) in distinct_of(docs).items():
+        for part in _parts(docs):  # one sort of each part tells its distinct keys and where they stand
+            buf, off = text_buffer(part.column("text"))
+            found = {}
+            for kind, get in ((WORDS, words_of), (GRAMS, grams_of)):
+                keys, doc = get(buf, off)
+                keys, inv = np.unique(keys, return_inverse=True)
+                found[kind] = keys, inv.astype(np.int32), doc.astype(np.int32)
+            read.append((part, found))
+        for kind in (WORDS, GRAMS) if read else ():
+            keys = np.unique(np.concatenate([found[kind][0] for _, found in read]))
             where = (word_bucket if kind == WORDS else gram_bucket)(keys, buckets)
             values = np.zeros(len(keys))
             order = np.argsort(where, kind="stable")
@@ -231,16 +249,12 @@ def _score(buckets: int, n: int, v: int):
                     values[pick] = np.frombuffer(replies[kind, b], "<u4" if kind == WORDS else "<f4")
             table[kind] = (keys, values)
         out = []
-        for part in _parts(docs):
-            buf, off = text_buffer(part.column("text"))
+        for part, found in read:
             rows = part.num_rows
-            keys, doc = words_of(buf, off)
-            count = table[WORDS][1][np.searchsorted(table[WORDS][0], keys)]
+            (count, doc), (value, gdoc) = ((table[kind][1][np.searchsorted(table[kind][0], found[kind][0])][found[kind][1]], found[kind][2]) for kind in (WORDS, GRAMS))
             tokens = np.bincount(doc, minlength=rows)
             base = np.bincount(doc, np.log10(count + 0.5), minlength=rows) - tokens * floor
-            g, gdoc = grams_of(buf, off)
-            g, inv = np.unique(g, return_inverse=True)
-            score = np.bincount(gdoc, table[GRAMS][1][np.searchsorted(table[GRAMS][0], g)][inv], minlength=rows)
+            score = np.bincount(gdoc, value, minlength=rows)
             train = part.column("train").to_numpy(zero_copy_only=False)
             out.append(pa.table([part.column("doc_id"), pa.array(~train), pa.array(tokens, pa.int64()),
                                  pa.array(np.bincount(doc, count > 0, minlength=rows).astype(np.int64)), pa.array([n] * rows, pa.int64()),

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -584,3 +585,27 @@ def test_restoring_equals_one_pattern_and_takes_long_strings():
     for text in ("(" * 200_000, "(" * 200_000 + "a", '"' * 200_000 + "a", "aaa," + "ab" * 100_000, "a1b(" * 20_000):
         assert restore(text)
     assert time.monotonic() - began < 60
+
+
+def test_ppm_block_is_sorted_once_for_its_scores(monkeypatch):
+    """Grams and their training counts equal a plain count; scoring cuts each text into grams once."""
+    texts = ["Ab abé ab", "", None, "zz" * 40, "Ab abé ab", "漢字 x"]
+    train = [True, False, True, True, False, False]
+    data = pa.table([pa.array(range(6), pa.int64()), pa.array(texts), pa.array(train)], names=["doc_id", "text", "train"])
+    want = {}
+    for text, marked in zip(texts, train):
+        stream = bytes([ppm_scores.START] * 5) + (text or "").encode().translate(bytes(common.FOLD)) + bytes([ppm_scores.END])
+        for k in range(5, len(stream)):
+            g = int.from_bytes(stream[k - 5 : k + 1], "big")
+            want[g] = want.get(g, 0) + marked
+    keys, counts = ppm_scores.distinct_of(data)[ppm_scores.GRAMS]
+    assert dict(zip(keys.tolist(), counts.tolist())) == want and (np.diff(keys) > 0).all()
+
+    request = ppm_scores._request(1)([pa.scalar(0)], data)
+    answers = ppm_scores._answer(np.ones((256, 256), np.int64))([pa.scalar(0)], request)
+    answers = answers.filter(pa.array([k != ppm_scores.TOTALS for k in answers["kind"].to_pylist()]))
+    calls, grams_of = [], ppm_scores.grams_of
+    monkeypatch.setattr(ppm_scores, "grams_of", lambda *a: calls.append(1) or grams_of(*a))
+    scored = ppm_scores._score(1, 10, 5)([pa.scalar(0)], data, answers)
+    assert scored["doc_id"].to_pylist() == list(range(6)) and scored["score"][0] == scored["score"][4]
+    assert len(calls) == 1
