@@ -348,15 +348,15 @@ def _before() -> list[str]:
     return [f"before{k}" for k in range(1, BEFORE + 1)]
 
 
-def crossings(rows: DataFrame, percent: int, signs: DataFrame | None = None) -> DataFrame:
+def crossings(rows: DataFrame, percent: int, signs: DataFrame | None = None, size: int | None = None) -> DataFrame:
     """Distinct pairs of different components that share a token of ``rows``;
-    ``signs`` holds longer signatures (cls, words) than the rows do.
+    ``signs`` holds longer signatures (cls, words) than the rows do; ``size`` is about how many rows there are.
 
     Tokens of one component make no pairs and are left out first.  A token of
     more than ``BLOCK`` classes is dealt to pairs of blocks: part -1 is a whole
     group or one block with itself, any other part is two blocks."""
     many = materialize(rows.groupBy("token").agg(F.count("*").alias("rows"), (F.min("root") != F.max("root")).alias("mixed"))
-                       .where("mixed").select(F.col("token").alias("t"), F.ceil(F.col("rows") / BLOCK).cast("long").alias("blocks")))
+                       .where("mixed").select(F.col("token").alias("t"), F.ceil(F.col("rows") / BLOCK).cast("long").alias("blocks")), size)
     words = ["x", "y"] if signs is None else [c for c in signs.columns if c != "cls"]
     rows = rows.join(many, F.col("token") == F.col("t")).select("token", "cls", "at", "root", "blocks", *(words if signs is None else []))
     # where there is no such token, a value of the class stands, which no other class has
@@ -513,31 +513,35 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
     """Verified links (a, b) of classes that connect all that is linked."""
     spark = docs.sparkSession
-    left = materialize(shared.select("cls").distinct().join(classes, "cls").select("cls", "least"))
+    n_rows = shared.count()
+    left = materialize(shared.select("cls").distinct().join(classes, "cls").select("cls", "least"), n_rows)
+    n_sets = left.count()
     buckets = partitions_for(spark)
     name = f"strata_sets_{uuid.uuid4().hex}"
     (sets_of(docs, left, width, False).repartition(buckets, "cls").dropDuplicates(["cls"])
      .write.bucketBy(buckets, "cls").sortBy("cls").saveAsTable(name))
     sets = spark.table(name)
-    known = materialize(sets.mapInArrow(_signatures, ", ".join(f"{c} long" for c in ("cls", "x", "y", *SIGNS))))
+    known = materialize(sets.mapInArrow(_signatures, ", ".join(f"{c} long" for c in ("cls", "x", "y", *SIGNS))), n_sets)
     links = roots = None
     for turn, (pivots, partners) in enumerate(HOOKS):
         votes = hooked(_with_roots(shared, known, roots), turn, pivots, percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
         ranked = F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False)  # at most a few per prefix token
         best = votes.groupBy("a").agg(F.slice(ranked, 1, partners).alias("few")).select("a", F.explode("few.b").alias("b"))
         # pairs that are not sure are left to the exact step
-        found = materialize(judged(alike(best, sets, percent), sets, percent).where("sure").select("a", "b"))
+        found = materialize(judged(alike(best, sets, percent), sets, percent).where("sure").select("a", "b"), partners * n_sets)
         links = found if links is None else links.union(found)
         roots = components(links)
-    found = crossings(materialize(_with_roots(shared, known, roots)), percent, known.select("cls", *SIGNS))
-    found = materialize(alike(materialize(found), sets, percent))
+    found = materialize(crossings(materialize(_with_roots(shared, known, roots), n_rows), percent, known.select("cls", *SIGNS), n_rows))
+    found = materialize(alike(found, sets, percent), found.count())
+    n_pairs = found.count()  # of a written table, as the other counts here
     alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
-    found = share_in_orders(found, docs_prefixes(docs, alive.join(classes, "cls"), levels, width, percent), percent)
-    checked = materialize(judged(materialize(found), sets, percent))
+    prefixes = materialize(docs_prefixes(docs, alive.join(classes, "cls"), levels, width, percent), min(n_sets, 2 * n_pairs))
+    found = materialize(share_in_orders(found, prefixes, percent), n_pairs)
+    checked = materialize(judged(found, sets, percent), n_pairs)
     close = checked.where("not sure").select("a", "b")
     classes_of_close = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "cls")
     whole = sets_of(docs, classes_of_close.join(classes, "cls").select("cls", "least"), width, True).dropDuplicates(["cls"])
-    exact = materialize(judged(close, whole, percent).select("a", "b"))
+    exact = materialize(judged(close, whole, percent).select("a", "b"), n_pairs)
     spark.sql(f"DROP TABLE {name}")  # the links are written
     return links.union(checked.where("sure").select("a", "b")).union(exact)
 
@@ -575,7 +579,6 @@ def _share_in_orders(percent: int):
 def share_in_orders(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """The pairs that the further orders leave, looked up pair by pair: no rows of a
     frequent token meet, and no more pairs are made than come in."""
-    prefixes = materialize(prefixes)
     x, y = (prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"n{i}"), F.col("prefixes").alias(f"p{i}")) for i, k in ((1, "a"), (2, "b")))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(_share_in_orders(percent), "a long, b long")
 
@@ -609,7 +612,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     component is named by an id or they repeat such a row."""
     found = materialize(similar_components(docs, width, percent))
     own, rows = f"id_{uuid.uuid4().hex}", f"rows_{uuid.uuid4().hex}"  # names that no input column has
-    stay = materialize(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(rows)))
+    stay = materialize(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(rows)), found.count())
     kept = docs.join(stay.select(own), F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
     if stay.where(F.col(rows) > 1).limit(1).count() == 0:
         return kept

@@ -178,6 +178,35 @@ def test_rows_of_repeated_keys(spark, monkeypatch):
         assert sorted(tuple(r) for r in common.rows_of_repeated(rows, ["h"], counts, 20).collect()) == want
 
 
+def test_small_results_take_few_files(spark):
+    rows = spark.range(100).repartition(8)
+    written = common.materialize(rows, 100)
+    assert len(written.inputFiles()) == 1
+    assert sorted(r[0] for r in written.collect()) == list(range(100))
+    assert len(common.materialize(rows, 100 * common.ROWS_PER_FILE).inputFiles()) == 8
+
+
+def test_components_write_few_files(spark, monkeypatch):
+    files = []
+    write = common.materialize
+
+    def counted(df, *rows):
+        out = write(df, *rows)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(common, "materialize", counted)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        chain = spark.createDataFrame([(i, i + 1) for i in range(0, 90) if i % 30 != 29], "a long, b long")
+        got = {r["node"]: r["root"] for r in common.components(chain).collect()}
+    finally:
+        spark.conf.unset(key)
+    assert got == {i: i // 30 * 30 for i in range(90)}
+    assert max(files) == 1
+
+
 def test_keep_one_with_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (None, "x")], "doc_id long, text string")
     docs = docs.withColumns({c: F.lit(1) for c in ("__id", "__rows", "id_hash", "cls", "component_id")})
