@@ -71,7 +71,7 @@ class WordTokens(dict):
         parts = {}
         for w in words:
             core, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" else (w, "")
-            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
                 parts[w] = (core.lower(), mark)
         self._encode({p for pair in parts.values() for p in pair if p and p not in self} | {w for w in words if w not in parts})
         for w, (core, mark) in parts.items():
@@ -97,10 +97,27 @@ class WordTokens(dict):
             self.clear()
         plain = [not (any(c in t for c in _ODD_BLANKS) or any(s in t for s in self.special)) for t in texts]
         split = [t.split() if ok else None for t, ok in zip(texts, plain)]
-        self.learn({w for words in split if words for w in words if w not in self})
-        get = self.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") if words is not None
-                else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4") for text, words in zip(texts, split)]
+        # each string is looked up once; those that were not known are filled in behind
+        known = [list(map(self.get, words)) if words is not None else None for words in split]
+        unknown = [_places_of_none(ids) if ids is not None else [] for ids in known]
+        self.learn({words[i] for words, places in zip(split, unknown) for i in places})
+        out = []
+        for text, words, ids, places in zip(texts, split, known, unknown):
+            if words is None:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"))
+                continue
+            for i in places:
+                ids[i] = self[words[i]]
+            out.append(np.frombuffer(b"".join(ids), "<u4"))
+        return out
+
+
+def _places_of_none(values: list) -> list[int]:
+    places, i = [], -1
+    for _ in range(values.count(None)):
+        i = values.index(None, i + 1)
+        places.append(i)
+    return places
 
 
 _TOKENS: dict[str, WordTokens] = {}

@@ -349,6 +349,32 @@ def test_word_cache_equals_tokenizer():
         assert got.tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_looks_up_a_known_string_once():
+    class Counting(packing.WordTokens):
+        lookups = 0
+
+        def _count(self, found):
+            Counting.lookups += 1
+            return found
+
+        def get(self, word):
+            return self._count(super().get(word))
+
+        def __contains__(self, word):
+            return self._count(super().__contains__(word))
+
+        def __getitem__(self, word):
+            return self._count(super().__getitem__(word))
+
+    words = Counting(packing._default_path())
+    texts = ["Alpha beta, beta alpha", "", "x\x1cy 0 b0b", "gamma beta ALPHA. alpha"]
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in words.encode_all(texts)] == want
+    Counting.lookups = 0
+    assert [ids.tolist() for ids in words.encode_all(texts)] == want
+    assert Counting.lookups == 8  # words of the texts that Python splits
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty).count() == 0
 
