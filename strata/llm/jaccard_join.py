@@ -531,7 +531,7 @@ def _links(docs, classes, shared, levels, width, percent) -> DataFrame:
         found = materialize(judged(alike(best, sets, percent), sets, percent).where("sure").select("a", "b"), partners * n_sets)
         links = found if links is None else links.union(found)
         roots = components(links)
-    found = materialize(crossings(materialize(_with_roots(shared, known, roots), n_rows), percent, known.select("cls", *SIGNS), n_rows))
+    found = materialize(crossings(materialize(_with_roots(shared, known, roots), n_rows), percent, known.select("cls", *SIGNS), n_rows), n_rows)
     found = materialize(alike(found, sets, percent), found.count())
     n_pairs = found.count()  # of a written table, as the other counts here
     alive = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cls")
