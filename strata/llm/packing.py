@@ -21,6 +21,8 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -44,6 +46,20 @@ _ROW_SCHEMA = "shard int, seq int, doc_id long, start long, length long, ids_crc
 
 # the tokenizer's own blank characters; a text with another control blank is not split by Python
 _ODD_BLANKS = tuple(chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x180E, 0x200B, 0xFEFF))
+# a run of these is one piece of its own for the tokenizer; the apostrophe may start a suffix
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+
+
+def _pieces_only(tokenizer):
+    """The same model for strings that are one piece in normal form: cut at blanks
+    alone.  A tokenizer made of other steps than these is used as it is."""
+    config = json.loads(tokenizer.to_str())
+    normal, cut = (config[k] or {} for k in ("normalizer", "pre_tokenizer"))
+    last = (cut.get("pretokenizers") or [cut])[-1]
+    if {n.get("type") for n in normal.get("normalizers", [normal])} != {"NFC", "Replace", "Lowercase"} or last.get("type") != "ByteLevel" or last.get("add_prefix_space"):
+        return tokenizer
+    config.update(normalizer=None, added_tokens=[], pre_tokenizer={"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, last]})
+    return type(tokenizer).from_str(json.dumps(config))
 
 
 class WordTokens(dict):
@@ -57,6 +73,7 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = _pieces_only(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: str) -> bytes:
@@ -65,26 +82,31 @@ class WordTokens(dict):
         return ids
 
     def learn(self, words: list[str]) -> None:
-        """Encode new strings.  A word of plain letters with at most one mark
-        behind it has the ids of the lower-cased word, then those of the mark, so
-        such strings share their words' ids."""
-        parts = {}
+        """Encode new strings.  A word of plain letters with a run of marks behind
+        it has the ids of the lower-cased word, then those of the run, so such
+        strings share their words' ids."""
+        known, cores, runs, others = [], [], [], set()
         for w in words:
-            core, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" else (w, "")
+            core = w.rstrip(_MARKS)
             if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
-                parts[w] = (core.lower(), mark)
-        self._encode({p for pair in parts.values() for p in pair if p and p not in self} | {w for w in words if w not in parts})
-        for w, (core, mark) in parts.items():
-            self[w] = self[core] + (self[mark] if mark else b"")
-
-    def _encode(self, words: set[str]) -> None:
+                known.append(w)
+                cores.append(core.lower())
+                runs.append(w[len(core):])
+            else:
+                others.add(w)
+        self._encode(self.pieces, {p for p in (*cores, *runs) if p and p not in self})
+        self._encode(self.tokenizer, others)
+        for w, core, run in zip(known, cores, runs):
+            self[w] = self[core] + self[run] if run else self[core]
+
+    def _encode(self, tokenizer, words: set[str]) -> None:
         """Many strings in one call, told apart by a lone digit (always a token
         of its own); strings that hold that digit are left to ``__missing__``."""
         words = [w for w in words if "0" not in w]
         stop = self.tokenizer.encode("0", add_special_tokens=False).ids
         if len(words) < 2 or len(stop) != 1:
             return
-        ids = np.array(self.tokenizer.encode_batch_fast([" 0 ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(tokenizer.encode_batch_fast([" 0 ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(ids == stop[0])
         if len(cuts) == len(words) - 1:
             data = ids.tobytes()

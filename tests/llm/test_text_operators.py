@@ -375,6 +375,20 @@ def test_packing_looks_up_a_known_string_once():
     assert Counting.lookups == 8  # words of the texts that Python splits
 
 
+def test_packing_words_with_runs_of_marks_share_their_ids():
+    """A word and the run of marks behind it are encoded once each, whatever they
+    stand with, by the tokenizer that skips the steps such strings do not need."""
+    words = packing.WordTokens(packing._default_path())
+    assert words.pieces is not words.tokenizer
+    words.learn(["Thedon.%%%", "thedon&&&", "\u00c9re\u00dft.%%%", "don't.", "a'.s"])
+    assert {"thedon", ".%%%", "&&&", "\u00e9re\u00dft"} <= set(words)
+    rng = random.Random(5)
+    letters, marks = "abcZQ\u00e9\u00df\u00c0\u0131\u0141\u0180\u024f\u01c5\u00aa\u212a\u6f220159\u0338\u0301", ".,;:!?#*$%&|<>()[]{}\"'`~^=+-_/\\@"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(0, 6))) + "".join(rng.choices(marks, k=rng.randint(0, 4))) for _ in range(50)) for _ in range(300)]
+    for text, ids in zip(texts, words.encode_all(texts)):
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty).count() == 0
 
