@@ -33,7 +33,7 @@ from strata.operators.scd2 import build_scd2
 from strata.operators.scope import rows_for_keys, rows_without_keys
 from strata.plans.control import ControlPlane
 from strata.sources.extract import extract_window, run_instant, source_frame
-from strata.sources.tables import TableStore
+from strata.sources.tables import WRITE_OPTIONS, TableStore
 
 # The one silver transform and gold publish step, by name.
 SCD2_TRANSFORM = "SCD2_CURRENT_HISTORY"
@@ -134,7 +134,7 @@ def write_buckets(store: TableStore, name: str, df: DataFrame, keys: list[str],
     if segment is not None:
         counted = counted.withColumn(BUCKET, F.concat_ws("-", BUCKET, segment))
     folder = store.new_folder(name)
-    counted.write.partitionBy(BUCKET).parquet(folder)
+    counted.write.options(**WRITE_OPTIONS).partitionBy(BUCKET).parquet(folder)
     return store.subfolders(folder), obs.get
 
 
@@ -471,7 +471,7 @@ def run_source(
         if earlier is None:
             obs = Observation(f"land_{uuid.uuid4().hex[:12]}")
             folder = store.new_folder(cfg.bronze_table)
-            landed.observe(obs, *metrics).write.parquet(folder)
+            landed.observe(obs, *metrics).write.options(**WRITE_OPTIONS).parquet(folder)
             seen = obs.get
         else:
             seen = {"rows": earlier["rows"], "mark": earlier["mark"]}

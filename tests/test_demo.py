@@ -99,6 +99,15 @@ def test_serving_table(demo):
     ]
 
 
+def test_every_layer_is_written_with_the_compact_codec(demo):
+    """Landed, silver, gold and serving folders hold zstd files only."""
+    store, _ = demo
+    for name in ("demo.bronze.orders_incremental", "demo.silver.orders_history", "demo.silver.orders_current",
+                 "demo.gold.orders_serving", "demo.gold.sales_order_fulfillment"):
+        files = store.read(name).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files), name
+
+
 def test_unchanged_source_third_run_has_no_data(spark, demo):
     from strata.plans.runs import run_source
 
